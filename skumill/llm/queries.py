@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from .bpe import round_trip_digests
 from .common import table
+from .decontam import contamination
 from .neardup import near_duplicates
+from .quality import quality_scores
+from .tokencount import token_counts
 
 
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,9 +38,51 @@ FROM documents d JOIN sets s USING (doc_id) JOIN reach r USING (doc_id) GROUP BY
 """
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), " + _LETTERS + r"), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP4_SQL = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT item_id, least(10, len(w)) AS k, unnest(list_transform(range(1, greatest(1, len(w) - 9) + 1), lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS x
+  FROM item WHERE len(w) > 0),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+runs AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS p, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS x
+  FROM doc, (SELECT DISTINCT k FROM win) WHERE len(w) >= k),
+found AS (SELECT DISTINCT doc_id, runs.k, p, item_id FROM runs JOIN win ON runs.x = win.x AND runs.k = win.k),
+places AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(places.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(places.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_minhash_neardup": op7_minhash_neardup}
+    return {
+        "op4_decontaminate": op4_decontaminate,
+        "op5_bpe_round_trip": op5_bpe_round_trip,
+        "op6_token_counts": op6_token_counts,
+        "op7_minhash_neardup": op7_minhash_neardup,
+        "op9_quality": op9_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_minhash_neardup": OP7_SQL}
+    return {"op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL}
