@@ -12,7 +12,9 @@ from .common import table
 from .decontam import contamination
 from .neardup import near_duplicates
 from .quality import quality_scores
+from .sharding import shard_table
 from .tokencount import token_counts
+from .warc import archive_and_read
 
 
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,15 +76,37 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_table(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(spark, table(spark, sf_dir, "pages"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x FROM p),
+e AS (
+  SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)), '') AS digest FROM d),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM e)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM f
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_shard_tree": op3_shard_tree,
         "op4_decontaminate": op4_decontaminate,
         "op5_bpe_round_trip": op5_bpe_round_trip,
         "op6_token_counts": op6_token_counts,
         "op7_minhash_neardup": op7_minhash_neardup,
         "op9_quality": op9_quality,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL}
+    return {"op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL, "op10_warc": OP10_SQL}
