@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import round_trip_digests
 from .common import table
 from .decontam import contamination
+from .kdsearch import top_k
 from .neardup import near_duplicates
 from .quality import quality_scores
 from .sharding import shard_table
@@ -80,6 +81,19 @@ def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"))
 
 
+def op2_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(spark, table(spark, sf_dir, "pages"))
 
@@ -98,6 +112,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CA
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_kdtree_topk": op2_kdtree_topk,
         "op3_shard_tree": op3_shard_tree,
         "op4_decontaminate": op4_decontaminate,
         "op5_bpe_round_trip": op5_bpe_round_trip,
@@ -109,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL, "op10_warc": OP10_SQL}
+    return {"op2_kdtree_topk": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL, "op10_warc": OP10_SQL}
