@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip_digests
+from .chat import canonical_turns
 from .common import table
 from .decontam import contamination
+from .html_text import extracted
 from .kdsearch import top_k
 from .neardup import near_duplicates
 from .quality import quality_scores
@@ -81,6 +83,10 @@ def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"))
 
 
+def op1_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_turns(table(spark, sf_dir, "conversations"))
+
+
 def op2_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +100,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(spark, table(spark, sf_dir, "pages"))
 
@@ -112,12 +122,14 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CA
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_turns": op1_chat_turns,
         "op2_kdtree_topk": op2_kdtree_topk,
         "op3_shard_tree": op3_shard_tree,
         "op4_decontaminate": op4_decontaminate,
         "op5_bpe_round_trip": op5_bpe_round_trip,
         "op6_token_counts": op6_token_counts,
         "op7_minhash_neardup": op7_minhash_neardup,
+        "op8_html_text": op8_html_text,
         "op9_quality": op9_quality,
         "op10_warc": op10_warc,
     }
