@@ -108,10 +108,10 @@ def live_quantity(in_stock: Column, available: Column, cap: int = 5) -> Column:
 
 
 def size_text(c: Column) -> Column:
-    """`24.0` as `24`; letters stay, trimmed."""
-    value = number(c)
-    short = F.regexp_replace(value.cast("string"), r"\.0$", "")
-    return F.when(value.isNotNull() & (F.abs(value) < 1e6), short).otherwise(F.trim(c.cast("string")))
+    """`24.0` as `24`, `024.50` as `24.5`; anything but plain digits with a point stays, trimmed."""
+    text = F.regexp_replace(F.trim(c.cast("string")), r"^(\d+)\.0*$", "$1")
+    text = F.regexp_replace(text, r"^(\d+\.\d*[1-9])0+$", "$1")
+    return F.regexp_replace(text, r"^\+?0+(?=\d+(?:\.\d+)?$)", "")
 
 
 def cost_number(c: Column) -> Column:

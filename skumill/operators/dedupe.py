@@ -18,8 +18,13 @@ def _order(order: Sequence[str]) -> Column:
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by `order`; a pre-aggregated minimum, so a popular key is no single task's work."""
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), _order(order)).alias("_r")).select("_r.*")
+    """The first row of each key by `order`.
+
+    Spark keeps one row a key in each task before it shuffles, so a popular key
+    is no single task's work.
+    """
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_first_row", first).where("_first_row = 1").drop("_first_row")
 
 
 def first_rows_keep_blank(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

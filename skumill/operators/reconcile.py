@@ -28,6 +28,7 @@ class Profile:
     wants: adds `_wants`, array<struct<color, size>>, to a listing; the second argument is the colour sheet.
     supply_color, supply_size: the supply's keys, '' where it has none.
     contains: a wanted colour need only hold the supply's colour (`_wants` has one entry; a null colour wants a blank one).
+    single: a listing wants one colour and size at most, so it joins the supply directly.
     compare_discounted: the discounted price, where there is one, is compared with the cost.
     margin_only: the cost becomes the discounted price and only the margin is judged.
     """
@@ -38,29 +39,46 @@ class Profile:
     supply_color: Callable[[Column], Column] = lambda c: F.lit("")
     supply_size: Callable[[Column], Column] = lambda c: F.lit("")
     contains: bool = False
+    single: bool = False
     multiplier: float = 1.15
     compare_discounted: bool = False
     margin_only: bool = False
 
 
-def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
-    """(pos, sku_id, supply): the first fitting supply row of each listing that has one."""
-    asks = profile.wants(listing, sheet).select("pos", "sku_id", F.upper(profile.listing_model(F.col("article"))).alias("_model"), "_wants").where("_model is not null")
-    asks = asks.select("pos", "sku_id", "_model", F.explode("_wants").alias("_w"))
+def _earliest(supply: DataFrame, profile: Profile) -> DataFrame:
+    """The first supply row, by position, of each (model, colour, size)."""
     keyed = supply.select(
         F.upper(profile.supply_model(F.col("model").cast("string"))).alias("_model"),
         profile.supply_color(F.col("color")).alias("_color"),
         profile.supply_size(F.col("size")).alias("_size"),
-        F.struct("pos", "msrp", "discounted_price", "quantity").alias("_s"),
+        F.struct("pos", "msrp", "discounted_price", "quantity").alias("supply"),
     )
-    firsts = keyed.where("_model is not null and _size is not null").groupBy("_model", "_color", "_size").agg(F.min_by("_s", "_s.pos").alias("_s"))
+    return keyed.where("_model is not null and _size is not null").groupBy("_model", "_color", "_size").agg(F.min_by("supply", "supply.pos").alias("supply"))
+
+
+def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None, cols: list[str]) -> DataFrame:
+    """The listing's columns with its model and, for a profile of single wants, its colour and size."""
+    rows = profile.wants(listing, sheet).withColumn("_model", F.upper(profile.listing_model(F.col("article"))))
+    if profile.single:
+        want = F.get("_wants", F.lit(0))
+        return rows.select(*cols, "_model", want["color"].alias("_color"), want["size"].alias("_size"))
+    return rows.select(*cols, "_model", "_wants")
+
+
+def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
+    """(pos, sku_id, supply): the first fitting supply row of each listing that has one."""
+    asks = _asked(listing, profile, sheet, ["pos", "sku_id"]).where("_model is not null")
+    firsts = _earliest(supply, profile)
+    if profile.single:
+        return asks.join(firsts, ["_model", "_color", "_size"]).select("pos", "sku_id", "supply")
+    asks = asks.select("pos", "sku_id", "_model", F.explode("_wants").alias("_w"))
     asks = asks.select("pos", "sku_id", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
     if profile.contains:
         fits = F.when(F.col("_want").isNull(), F.col("_color") == "").otherwise(F.col("_want").contains(F.col("_color")))
         joined = asks.join(firsts, ["_model", "_size"]).where(fits)
     else:
         joined = asks.withColumnRenamed("_want", "_color").join(firsts, ["_model", "_color", "_size"])
-    return joined.groupBy("pos").agg(F.first("sku_id").alias("sku_id"), F.min_by("_s", "_s.pos").alias("supply"))
+    return joined.groupBy("pos").agg(F.first("sku_id").alias("sku_id"), F.min_by("supply", "supply.pos").alias("supply"))
 
 
 def _models(df: DataFrame, model: Column) -> DataFrame:
@@ -79,9 +97,13 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     """
     made = ["status", "new_lead_time", "new_bid", "new_stock", "old_cost", "bid_price"]
     rows = listing.drop(*made)
-    matches = first_match(listing, supply, profile, sheet) if matches is None else matches
     known = _models(supply, profile.supply_model(F.col("model").cast("string")))
-    rows = rows.withColumn("_model", F.upper(profile.listing_model(F.col("article")))).join(known, "_model", "left").join(matches.select("pos", "supply"), "pos", "left")
+    if profile.single and matches is None:
+        rows = _asked(rows, profile, sheet, rows.columns).join(_earliest(supply, profile), ["_model", "_color", "_size"], "left")
+    else:
+        matches = first_match(listing, supply, profile, sheet) if matches is None else matches
+        rows = rows.withColumn("_model", F.upper(profile.listing_model(F.col("article")))).join(matches.select("pos", "supply"), "pos", "left")
+    rows = rows.join(known, "_model", "left")
     s = F.col("supply")
     hit = s.isNotNull()
     # one step a projection: each is used several times below

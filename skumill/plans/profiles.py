@@ -205,16 +205,16 @@ def _plain(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
 
 
 PROFILES: dict[str, Profile] = {
-    "plain_spec": Profile(_exact, _exact, _plain, _text, _size_supply),
+    "plain_spec": Profile(_exact, _exact, _plain, _text, _size_supply, single=True),
     "size_list": Profile(_exact, _exact, _size_list, supply_size=_size_supply),
     "lettered_article": Profile(_first_part_digits, _digits, _lettered, _text, _size_supply),
     "colour_in_word": Profile(lambda c: _digits(P.first_digits(c)), _digits, _ages, _text, _size_supply, contains=True, multiplier=1.2),
     "suffix_article": Profile(_suffix_model, _exact, _suffix, _text, lambda c: F.replace(_text(c), F.lit(".0"), F.lit("")), multiplier=1.2),
-    "dotted_model": Profile(_dotted_model, _exact, _dotted, supply_size=_size_supply, compare_discounted=True),
-    "canvas_sizes": Profile(_exact, _exact, _canvas, supply_size=_canvas_supply),
-    "outdoor_sizes": Profile(lambda c: _digits(F.regexp_replace(c, r"\D", "")), _digits, _outdoor, supply_size=_size_supply),
-    "gendered_sizes": Profile(_exact, _exact, _gendered, supply_size=_size_supply),
-    "model_only": Profile(_exact, _exact, lambda df, sheet: df.withColumn("_wants", _only_size(F.lit(""))), margin_only=True),
+    "dotted_model": Profile(_dotted_model, _exact, _dotted, supply_size=_size_supply, compare_discounted=True, single=True),
+    "canvas_sizes": Profile(_exact, _exact, _canvas, supply_size=_canvas_supply, single=True),
+    "outdoor_sizes": Profile(lambda c: _digits(F.regexp_replace(c, r"\D", "")), _digits, _outdoor, supply_size=_size_supply, single=True),
+    "gendered_sizes": Profile(_exact, _exact, _gendered, supply_size=_size_supply, single=True),
+    "model_only": Profile(_exact, _exact, lambda df, sheet: df.withColumn("_wants", _only_size(F.lit(""))), margin_only=True, single=True),
 }
 
 
