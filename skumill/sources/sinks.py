@@ -31,7 +31,8 @@ def write_failures(failed: DataFrame, path: str) -> bool:
 def reconciled(df: DataFrame, positions: Sequence[str]) -> DataFrame:
     """A reconciled table in its column order; offer, SKU and barcode numbers stay text."""
     text = {"offer_id", "sku_id", "barcode"}
-    return df.select(*[F.col(c).cast("string").alias(c) if c in text else F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in positions])
+    own = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    return df.select(*[own(c).cast("string").alias(c) if c in text else own(c).alias(c) for c in positions])
 
 
 def listing_output(df: DataFrame) -> DataFrame:
