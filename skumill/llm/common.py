@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows with one key are dealt to this many tasks by `spread_join`.
-SALTS = 32
+SALTS = 8
 
 #: Largest driver-built value that is sent to every executor, in bytes.
 BROADCAST_BYTES = 64 << 20
@@ -49,12 +49,15 @@ def discard(df: DataFrame) -> None:
 def spread_join(many: DataFrame, one: DataFrame, on: str, spread_by: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join `many` to `one` (a row per key at most), where one key may hold most rows of `many`.
 
-    A key's rows are dealt over `salts` tasks by `spread_by`; the rows of `one`
-    are repeated for each salt, so they should be narrow.
+    A key's rows are dealt over `salts` tasks by `spread_by`, and adaptive
+    execution can split what is still large, as both sides have a shuffle of
+    their own.  The rows of `one` are repeated for each salt, so they should be
+    narrow; Spark's size estimate does not know of the repetition, so the join is
+    never left to a broadcast.
     """
     left = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     right = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -312,14 +312,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, m
 
     bands = classes.select("rep", "sig").mapInArrow(keys, "bucket long, doc_id long")
     sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(spread_join(bands, stored(sizes, "buckets"), "bucket", F.col("doc_id"), salts=8), "members")
+    shared = stored(spread_join(bands, stored(sizes, "buckets"), "bucket", F.col("doc_id")), "members")
     reps = classes.select(F.col("rep").alias("doc_id"), "sig")
     edges = stored(_plausible_edges(shared.join(reps, "doc_id"), percent, miss), "plausible")
     discard(shared)
 
     clusters = stored(components(edges), "clusters")
     many = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    inside = spread_join(clusters, many, "component", F.col("node"), salts=8).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "size")
+    inside = spread_join(clusters, many, "component", F.col("node")).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "size")
     inside = stored(inside.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "sig"), "doc_id"), "inside")
     # a repeated doc_id may stand for several texts: the fingerprint picks the class's own
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -331,6 +331,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, m
     named_classes = stored(classes.select("fp1", "fp2", "n_shingles", "rep").join(found, "rep", "left").select("fp1", F.col("fp2").alias("_fp2"), F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("_component")), "named")
     linked = rows.where("doc_id is not null and fp1 is not null")
     alone = rows.where("doc_id is null or fp1 is null")
-    out = spread_join(linked, named_classes, "fp1", F.col("doc_id"), salts=8).where("fp2 = _fp2 and n_shingles = _n").select("doc_id", "n_shingles", F.col("_component").alias("component_id"))
+    out = spread_join(linked, named_classes, "fp1", F.col("doc_id")).where("fp2 = _fp2 and n_shingles = _n").select("doc_id", "n_shingles", F.col("_component").alias("component_id"))
     out = out.unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

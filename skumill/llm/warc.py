@@ -66,7 +66,7 @@ def with_revisits(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
     narrow = rows.where((F.octet_length("payload") >= least_bytes) & F.col("page_id").isNotNull()).select("page_id", payload_digest(F.col("payload")).alias("digest"))
     narrow = stored(narrow, "digests")
     last = narrow.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("_first")).where("last <> _first").drop("_first")
-    again = spread_join(narrow, last, "digest", F.col("page_id"), salts=8).where("page_id <> last").select("page_id", F.col("digest").alias("_d"), F.col("last").alias("refers_to")).distinct()
+    again = spread_join(narrow, last, "digest", F.col("page_id")).where("page_id <> last").select("page_id", F.col("digest").alias("_d"), F.col("last").alias("refers_to")).distinct()
     rows = rows.withColumn("digest", payload_digest(F.col("payload")))
     return rows.join(again, (rows.page_id == again.page_id) & (rows.digest == again._d), "left").select(rows.page_id, "url", "payload", "digest", "refers_to")
 
