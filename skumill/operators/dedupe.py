@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: A key with more rows than this is cut into parts along its order.
+PLAIN_ROWS = 1_000_000
+
+
 def _order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
@@ -41,27 +45,93 @@ def dedupe_report(df: DataFrame, key: str) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(kept, F.lit(0)).cast("bigint").alias("kept")).withColumn("removed", F.col("rows") - F.col("kept"))
 
 
-def with_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, run: str = "run") -> DataFrame:
-    """A number for each run of equal neighbouring codes within `by`, from 1; nulls are equal."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    changed = F.when(F.row_number().over(w) == 1, 1).when(code.eqNullSafe(F.lag(code).over(w)), 0).otherwise(1)
-    return df.withColumn("_changed", changed).withColumn(run, F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_changed")
+def with_parts(df: DataFrame, order: str, part: str = "_part") -> DataFrame:
+    """A part number that grows with a sortable number or time column, about as many rows in each.
 
+    Equal values share a part and nulls are in part 0.  The bounds are fixed
+    values in the plan, so a recomputed task deals its rows as before.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = dict(df.dtypes)[order]
+    number = F.col(order).cast("timestamp").cast("double") if kind.startswith("timestamp") or kind == "date" else F.col(order).cast("double")
+    bounds = df.select(F.percentile_approx(number, [k / parts for k in range(1, parts)] or [0.5], 1000)).first()[0] or []
+    limits = F.array(*map(F.lit, sorted(set(bounds)))) if bounds else F.array().cast("array<double>")
+    return df.withColumn(part, F.coalesce(F.size(F.filter(limits, lambda b: b < number)), F.lit(0)))
 
-def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, value: Column, out: str = "carried") -> DataFrame:
-    """The value of the first row of each run of equal codes, on every row of the run; a run whose first value is null stays null."""
-    runs = with_runs(df, by, order, code, "_run").withColumn("_v", value)
-    w = Window.partitionBy(*by, "_run").orderBy(*order)
-    return runs.withColumn(out, F.first("_v").over(w)).drop("_run", "_v")
+
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """A null-safe join on keys that both sides have; the right side's keys go."""
+    right = b.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in b.columns])
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return a.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def failure_streaks(df: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, out: str = "streak") -> DataFrame:
-    """How many failures in a row end at each row; a success sets it to 0."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    bad = F.coalesce(failed, F.lit(False)).cast("int")
-    marked = df.withColumn("_bad", bad).withColumn("_block", F.sum(1 - F.col("_bad")).over(w))
-    inner = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn(out, F.when(F.col("_bad") == 1, F.sum("_bad").over(inner)).otherwise(0)).drop("_bad", "_block")
+def _largest(df: DataFrame, by: Sequence[str]) -> int:
+    """The rows of the largest key, by a pre-aggregated count."""
+    return df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
+def with_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, run: str = "run", plain_rows: int = PLAIN_ROWS) -> DataFrame:
+    """A number for each run of equal neighbouring codes within `by`, from 1; nulls are equal.
+
+    Where a key has more than `plain_rows` rows, keys are cut into parts along
+    the order, so that one that holds most rows is shared by many tasks; what
+    crosses a part's bounds comes from a table with one row for each key and part.
+    """
+    if plain_rows >= 1 << 62 or _largest(df, by) <= plain_rows:
+        one = Window.partitionBy(*by).orderBy(*order)
+        changed = F.when(F.row_number().over(one) == 1, 1).when(code.eqNullSafe(F.lag(code).over(one)), 0).otherwise(1)
+        return df.withColumn("_changed", changed).withColumn(run, F.sum("_changed").over(one.rowsBetween(Window.unboundedPreceding, 0))).drop("_changed")
+    w = Window.partitionBy(*by, "_part").orderBy(*order)
+    rows = with_parts(df, order[0]).withColumn("__code", F.struct(code.alias("c")))
+    inner = F.when(F.row_number().over(w) == 1, 0).when(F.col("__code").eqNullSafe(F.lag("__code").over(w)), 0).otherwise(1)
+    rows = rows.withColumn("_changed", inner)
+    place = F.struct(*order)
+    edges = rows.groupBy(*by, "_part").agg(F.min_by("__code", place).alias("_first"), F.max_by("__code", place).alias("_last"), F.sum("_changed").alias("_n"))
+    over = Window.partitionBy(*by).orderBy("_part")
+    edges = edges.withColumn("_new", F.when(F.col("_first").eqNullSafe(F.lag("_last").over(over)), 0).otherwise(1))
+    edges = edges.withColumn("_start", F.sum(F.col("_n") + F.col("_new")).over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    joined = _same(rows, edges.select(*by, "_part", "_start"), [*by, "_part"])
+    return joined.withColumn(run, F.col("_start") + F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__code", "_changed", "_start", "_part")
+
+
+def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, value: Column, out: str = "carried", plain_rows: int = PLAIN_ROWS) -> DataFrame:
+    """The value of the first row of each run of equal codes, on every row of the run; a run whose first value is null stays null."""
+    if _largest(df, by) <= plain_rows:
+        runs = with_runs(df, by, order, code, "_run", 1 << 62).withColumn("_v", value)
+        return runs.withColumn(out, F.first("_v").over(Window.partitionBy(*by, "_run").orderBy(*order))).drop("_run", "_v")
+    rows = with_parts(with_runs(df, by, order, code, "_run", plain_rows), order[0]).withColumn("_v", F.struct(value.alias("v")))
+    w = Window.partitionBy(*by, "_part", "_run").orderBy(*order)
+    rows = rows.withColumn("_own", F.first("_v").over(w))
+    # the first value of a run that began in an earlier part: one row for each run and part
+    pieces = rows.groupBy(*by, "_run", "_part").agg(F.min_by("_v", F.struct(*order)).alias("_f"))
+    over = Window.partitionBy(*by, "_run").orderBy("_part")
+    pieces = pieces.withColumn("_head", F.first("_f").over(over)).withColumn("_k", F.row_number().over(over)).where("_k > 1")
+    joined = _same(rows, pieces.select(*by, "_run", "_part", "_head"), [*by, "_run", "_part"])
+    return joined.withColumn(out, F.coalesce("_head", "_own")["v"]).drop("_run", "_part", "_v", "_own", "_head")
+
+
+def failure_streaks(df: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, out: str = "streak", plain_rows: int = PLAIN_ROWS) -> DataFrame:
+    """How many failures in a row end at each row; a success sets it to 0.  Large keys are cut into parts as in `with_runs`."""
+    if _largest(df, by) <= plain_rows:
+        one = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        marked = df.withColumn("_bad", F.coalesce(failed, F.lit(False)).cast("int")).withColumn("_block", F.sum(1 - F.col("_bad")).over(one))
+        block = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return marked.withColumn(out, F.when(F.col("_bad") == 1, F.sum("_bad").over(block)).otherwise(0).cast("bigint")).drop("_bad", "_block")
+    rows = with_parts(df, order[0]).withColumn("_bad", F.coalesce(failed, F.lit(False)).cast("int"))
+    w = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_block", F.sum(1 - F.col("_bad")).over(w))
+    inner = Window.partitionBy(*by, "_part", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_s", F.sum("_bad").over(inner))
+    edges = rows.groupBy(*by, "_part").agg(F.count("*").alias("_n"), F.sum("_bad").alias("_f"), F.max_by("_s", F.struct(*order)).alias("_tail"))
+    over = Window.partitionBy(*by).orderBy("_part")
+    edges = edges.withColumn("_whole", F.col("_n") == F.col("_f")).withColumn("_island", F.sum(F.when(F.col("_whole"), 0).otherwise(1)).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    # a part's carry: the tails since the last part with a success, up to the part before
+    within = Window.partitionBy(*by, "_island").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    edges = edges.withColumn("_sum", F.sum("_tail").over(within)).withColumn("_carry", F.coalesce(F.lag("_sum").over(over), F.lit(0)))
+    joined = _same(rows, edges.select(*by, "_part", "_carry"), [*by, "_part"])
+    streak = F.when(F.col("_bad") == 0, 0).when(F.col("_block") == 0, F.col("_s") + F.col("_carry")).otherwise(F.col("_s"))
+    return joined.withColumn(out, streak.cast("bigint")).drop("_bad", "_block", "_s", "_part", "_carry")
 
 
 def streak_alerts(df: DataFrame, streak: str = "streak", every: int = 6, abort: int = 18) -> DataFrame:
@@ -109,11 +179,7 @@ def batch_ids(df: DataFrame, order: str, size: int = 60, out: str = "batch_id")
     The rank of a row is its rank within a range of the column plus the rows of
     the ranges before, so no task sorts the whole table.
     """
-    spark = df.sparkSession
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = df.select(F.percentile_approx(order, [k / ranges for k in range(1, ranges)] or [0.5], 10000)).first()[0] or []
-    part = reduce(lambda x, b: x + F.when(F.col(order) > F.lit(b), 1).otherwise(0), sorted(set(bounds)), F.lit(0))
-    marked = df.withColumn("_part", part)
+    marked = with_parts(df, order)
     counts = marked.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(order))

@@ -42,6 +42,22 @@ def test_runs_and_streaks(spark):
     assert [(r.pos, r.alert) for r in W.streak_alerts(s, every=3, abort=6).orderBy("pos").collect()] == [(5, "pause"), (8, "abort")]
 
 
+def test_large_keys_in_parts_give_the_same(spark):
+    import random
+
+    rng = random.Random(3)
+    data = [(i, rng.choice("ab"), rng.choice(["x", "x", "y", None]), rng.choice([None, i])) for i in range(400)] + [(i, "c", "x", i) for i in range(400, 700)]
+    df = spark.createDataFrame(data, "pos int, k string, code string, v int")
+    by, order = ["k"], ["pos"]
+    for f in (
+        lambda n: W.with_runs(df, by, order, F.col("code"), plain_rows=n),
+        lambda n: W.carry_forward(df, by, order, F.col("code"), F.col("v"), plain_rows=n),
+        lambda n: W.failure_streaks(df, by, order, F.col("code") == "x", plain_rows=n),
+    ):
+        assert rows(f(0), "pos") == rows(f(10_000), "pos")
+    assert W.with_runs(df.limit(0), by, order, F.col("code"), plain_rows=-1).count() == 0
+
+
 def test_unions_and_pending(spark):
     a, b = spark.createDataFrame([(1, "k1"), (2, "k2")], "pos int, k string"), spark.createDataFrame([(0, "k2"), (1, "k3")], "pos int, k string")
     assert rows(W.union_first([a, b], ["k"], ["pos"]), "k") == [(1, "k1"), (2, "k2"), (1, "k3")]
