@@ -138,7 +138,7 @@ def without_benchmark(docs: DataFrame, bench: DataFrame, remove: str = "document
     neighbouring hit words.
     """
     marked = mark_hits(docs, bench, n, part_bytes)
-    own = [c for c in marked.columns if not c.startswith("__")]
+    own = docs.columns
     if remove == "documents":
         return marked.where("__n_hit = 0").select(*own)
     if remove != "spans":

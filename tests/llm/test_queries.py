@@ -41,3 +41,18 @@ def test_pipeline_stages(spark):
     assert contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").count() == 0
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == counts[-1] and out.join(first, "doc_id").count() == counts[-1]
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    odd = [(None, "no id at all, but words enough to be a text.", "en", None), (1, None, None, "s"), (2, "", "en", "s"), (2, "", "en", "s"), (3, "w " * 100_000, "en", "s"), (4, "same five words and one more", None, None), (5, "same five words and one more", "de", "x")]
+    docs = spark.createDataFrame([(*r, 0, 1, "k", [1]) for r in odd], "doc_id long, text string, lang string, source string, n_chars int, cluster int, __extra string, size array<int>")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() <= docs.count(), name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    kept = corpus_pipeline.near_duplicate(spark, docs, SF)
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.where("doc_id is not null").collect()) == [(False, k) for k in (1, 2, 2, 3, 4)]
+    assert corpus_pipeline.decontamination(spark, docs, SF).count() == len(odd)
+    last = corpus_pipeline.bpe(spark, docs, SF)
+    assert last.count() == len(odd) and last.where("n_tokens = 0").count() == 3
+    assert corpus_pipeline.bpe(spark, docs.limit(0), SF).count() == 0
