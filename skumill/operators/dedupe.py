@@ -185,3 +185,18 @@ def batch_ids(df: DataFrame, order: str, size: int = 60, out: str = "batch_id")
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(order))
     # one row for each range at most
     return marked.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(out, F.floor((F.col("_before") + F.col("_rank") - 1) / size)).drop("_part", "_rank", "_before")
+
+
+def grouped(df: DataFrame, key: str, order: Sequence[str], rows: str = "rows") -> DataFrame:
+    """(key, rows): each key's rows as an array in order, keys in upper case and null as ''.
+
+    For groups that are small by nature, such as the variants of one model.
+    """
+    name = F.upper(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    ordered = F.sort_array(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order])))
+    return df.groupBy(name.alias(key)).agg(ordered.alias(rows))
+
+
+def first_n(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
+    """The first n rows by `order`, all of them for None."""
+    return df if n is None else df.orderBy(*order).limit(n)

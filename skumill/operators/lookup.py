@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Words of a dictionary that is scanned in order.
+MOST_WORDS = 5_000
+
 
 def color_lookups(sheet: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(by code, by English name, by Chinese word) of a sheet (pos, code, english, chinese).
@@ -50,12 +53,16 @@ def equal_lookup(df: DataFrame, key: str, dictionary: DataFrame, default: Column
 def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, out: str = "value") -> DataFrame:
     """The value of the first dictionary row (pos, word, value) whose word the text holds.
 
-    The dictionary becomes one array that is scanned in order, so a row meets it
-    once and nothing is joined pair by pair.
+    The dictionary, MOST_WORDS rows at most (more raise), becomes one literal
+    array that is scanned in order: no join, and no pair of rows.
     """
-    entries = dictionary.agg(F.sort_array(F.collect_list(F.struct("pos", "word", "value"))).alias("_entries"))
-    hit = F.get(F.filter("_entries", lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"]
-    return df.crossJoin(F.broadcast(entries)).withColumn(out, hit).drop("_entries")
+    rows = dictionary.select("pos", F.col(key).alias("word"), F.col("value").cast("string").alias("value")).orderBy("pos", "word").take(MOST_WORDS + 1)
+    if len(rows) > MOST_WORDS:
+        raise ValueError(f"a dictionary of more than {MOST_WORDS} words has to be split")
+    if not rows:
+        return df.withColumn(out, F.lit(None).cast("string"))
+    entries = F.array(*[F.struct(F.lit(r.word).alias("word"), F.lit(r.value).alias("value")) for r in rows])
+    return df.withColumn(out, F.get(F.filter(entries, lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"])
 
 
 def multi_value(*charts: DataFrame) -> DataFrame:

@@ -73,10 +73,18 @@ def test_unions_and_pending(spark):
     assert W.batch_ids(spark.range(0), "id").count() == 0
 
 
+def test_groups_and_heads(spark):
+    df = spark.createDataFrame([(2, "a", "x"), (1, "A", "y"), (3, None, "z")], "pos int, k string, v string")
+    got = {r.k: [x.v for x in r["rows"]] for r in W.grouped(df, "k", ["pos"]).collect()}
+    assert got == {"A": ["y", "x"], "": ["z"]}
+    assert [r.pos for r in W.first_n(df, ["pos"], 2).collect()] == [1, 2] and W.first_n(df, ["pos"], None).count() == 3
+
+
 def test_lookups(spark):
     d = spark.createDataFrame([(1, "深蓝", "DB"), (0, "蓝", "B")], "pos int, word string, value string")
     t = spark.createDataFrame([("深蓝色",), ("红",)], "t string")
     assert rows(N.first_contained(t, "t", "word", d, "c"), "t") == [("深蓝色", "B"), ("红", None)]
+    assert N.first_contained(t, "t", "word", d.limit(0), "c").where("c is not null").count() == 0
     assert rows(N.equal_lookup(t, "t", spark.createDataFrame([("红", "R")], "key string, value string"), F.lit("-")), "t") == [("深蓝色", "-"), ("红", "R")]
     m = N.multi_value(spark.createDataFrame([(1, 2.0), (1, 1.0)], "key int, value double"), spark.createDataFrame([(1, 2.0), (2, 9.0)], "key int, value double"))
     assert rows(m, "key") == [(1, [1.0, 2.0]), (2, [9.0])]
