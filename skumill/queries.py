@@ -268,13 +268,13 @@ def failure_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.counts_by(_table(spark, sf_dir, "events").withColumnRenamed("event_type", "reason"), "reason")
 
 
-@_query("SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS found, (SELECT count(DISTINCT doc_id) FROM labels) AS done, count(*) AS rows, count(CASE WHEN trim(source) <> '' THEN 1 END) AS with_sku, 0 AS failed_seeds, 0 AS removed FROM documents")
+@_query("SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS found, (SELECT count(DISTINCT doc_id) FROM labels) AS done, count(*) AS rows, count(CASE WHEN trim(source) <> '' THEN 1 END) AS with_sku, CAST(0 AS BIGINT) AS failed_seeds, 0 AS removed FROM documents")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return A.run_summary(docs, labels, docs, 0, docs.where("doc_id is null"), "doc_id", "source")
 
 
-@_query("SELECT count(*) AS total, count(*) - (SELECT count(DISTINCT doc_id) FROM labels) AS remaining, 0 AS failed_seeds, false AS complete FROM documents")
+@_query("SELECT count(*) AS total, count(*) - (SELECT count(DISTINCT doc_id) FROM labels) AS remaining, CAST(0 AS BIGINT) AS failed_seeds, false AS complete FROM documents")
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return A.completeness(docs, _table(spark, sf_dir, "labels"), docs.where("doc_id is null"), "doc_id")
@@ -314,7 +314,7 @@ SELECT key, array_to_string(v, ',') AS joined, len(v) AS n FROM m"""
 def multi_value_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part")
     m = N.multi_value(p.select(F.col("p_size").alias("key"), F.col("p_brand").alias("value")), p.select(F.col("p_size") + 1, "p_type").toDF("key", "value"))
-    return m.select("key", F.array_join("values", ",").alias("joined"), F.size("values").alias("n"))
+    return m.select("key", F.array_join("values", ",").alias("joined"), F.size("values").cast("bigint").alias("n"))
 
 
 @_query(
@@ -516,7 +516,7 @@ def generic_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.generic_products(pages, "house").select("url", "model", "color", F.array_join("sizes", ",").alias("sizes"), "msrp")
 
 
-@_query("SELECT n_nationkey // 5 AS seed, n_nationkey % 5 AS step, 'https://shop.example/list/' || CAST(n_nationkey AS VARCHAR) AS url FROM nation")
+@_query("SELECT CAST(n_nationkey // 5 AS BIGINT) AS seed, n_nationkey % 5 AS step, 'https://shop.example/list/' || CAST(n_nationkey AS VARCHAR) AS url FROM nation")
 def next_page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     at = lambda c: F.concat(F.lit("https://shop.example/list/"), c.cast("string"))
