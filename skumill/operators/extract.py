@@ -50,7 +50,8 @@ def one_link_per_model(pages: DataFrame, base: str) -> DataFrame:
 def page_chain(pages: DataFrame, seeds: DataFrame, most: int = 1000) -> DataFrame:
     """(seed_url, url, step): the list pages that follow from each seed, until a page has no next or names itself."""
     spark = pages.sparkSession
-    nexts = pages.select("url", U.absolute(U.plain_url(H.next_page(F.col("html"))), F.col("url")).alias("next_url")).where("next_url is not null and next_url <> url")
+    found = _bound(pages.select("url", "html"), _l=U.plain_url(H.next_page(F.col("html"))))
+    nexts = found.select("url", U.absolute(F.col("_l"), F.col("url")).alias("next_url")).where("next_url is not null and next_url <> url")
     nexts = nexts.persist()  # every step of the recursion reads it
     nexts.createOrReplaceTempView("_chain_nexts")
     seeds.select("seed_url").createOrReplaceTempView("_chain_seeds")
