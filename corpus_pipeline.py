@@ -16,6 +16,9 @@ from skumill.llm.decontam import without_benchmark
 from skumill.llm.neardup import near_duplicates
 from skumill.llm.quality import train, with_scores
 
+#: Documents of this similarity or more are near-duplicates; the contract of op7_ has a figure of its own.
+SIMILAR = 80
+
 #: The classifier, the near-duplicate components and the encoder have no SQL form.
 ORACLE_SQL = None
 
@@ -28,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: that with the smallest doc_id."""
-    copies = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    copies = near_duplicates(docs, percent=SIMILAR).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

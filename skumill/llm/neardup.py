@@ -34,8 +34,9 @@ from .textscan import LOWER, NON_SPACE, column_bytes, mix, slices, span_hashes,
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 32, 6
-HASHES = BANDS * ROWS
+HASHES = 192
+#: Chance of a pair at the threshold to share no band.
+UNSEEN = 3e-7
 #: Signature places compared between two looks at the posterior.
 BATCH = 32
 #: Chance of pruning a pair that reaches the threshold.
@@ -76,11 +77,21 @@ def signatures_of(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+@lru_cache
+def bands_for(percent: int = PERCENT) -> tuple[int, int]:
+    """(bands, rows) with the most rows that miss a pair at the threshold with a chance of `UNSEEN` at most."""
+    for rows in range(HASHES, 0, -1):
+        bands = HASHES // rows
+        if (1 - (percent / 100) ** rows) ** bands <= UNSEEN:
+            return bands, rows
+    raise ValueError(f"{HASHES} places cannot find pairs at {percent} percent")
+
+
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each band of each signature; the band's number is part of it."""
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15) + np.zeros((len(sig), 1), np.uint64)
-    for r in range(ROWS):
+    parts = sig[:, : bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
+    key = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15) + np.zeros((len(sig), 1), np.uint64)
+    for r in range(rows):
         key = mix(key * np.uint64(0xD1342543DE82EF95) + parts[:, :, r])
     return key
 
@@ -227,13 +238,14 @@ def _plausible_edges(members: DataFrame, percent: int, miss: float) -> DataFrame
 
 def _exact_edges(members: DataFrame, percent: int, miss: float) -> DataFrame:
     """Spanning edges of the exact links in each cluster; members: (cluster, doc_id, sig, shingles, size)."""
+    bands, width = bands_for(percent)
 
     def linked(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, sig = t["doc_id"].to_numpy(), _matrix(t["sig"])
         a, b = _sides(t)
-        keys = band_keys(sig)
+        keys = band_keys(sig, bands, width)
         share = np.zeros((len(a), len(b)), dtype=bool)
-        for k in range(BANDS):
+        for k in range(bands):
             share |= keys[a, k][:, None] == keys[b, k][None, :]
         if a is b:
             share = np.triu(share, 1)
@@ -300,6 +312,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, m
     Repeated rows are equal documents.  Other columns of `docs` are ignored.
     An empty table gives an empty result.
     """
+    n_bands, width = bands_for(percent)
     sigs = stored(scan(docs, k), "signatures")
     named = sigs.where("doc_id is not null and fp1 is not null")
     classes = stored(named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
@@ -307,8 +320,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, m
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                key = band_keys(_matrix(pa.chunked_array([batch.column(1)]))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel(), pa.int64()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS), pa.int64())], ["bucket", "doc_id"])
+                key = band_keys(_matrix(pa.chunked_array([batch.column(1)])), n_bands, width).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel(), pa.int64()), pa.array(np.repeat(batch.column(0).to_numpy(), n_bands), pa.int64())], ["bucket", "doc_id"])
 
     bands = classes.select("rep", "sig").mapInArrow(keys, "bucket long, doc_id long")
     sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")

@@ -9,8 +9,9 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from skumill.llm import bpe, decontam, quality, tokencount
-from skumill.llm.neardup import HASHES, least_matches, near_duplicates, shingle_sets, signatures_of
+from skumill.llm.neardup import HASHES, UNSEEN, bands_for, least_matches, near_duplicates, shingle_sets, signatures_of
 from skumill.llm.textscan import LOWER, NON_SPACE, WORD, span_hashes, word_spans
 
 PIECES = ["a", "B", "é", "é", " ", "  ", "\n", "\t", "'s", "'LL", "'re", "'ve", "'", "<|endoftext|>", "<|startoftext|>", "<|", "Σ", "ΑΣ ", "İ", "ß", "中文", "日本", "１", "½", " ", "　", "\x1c", "🙂", "👍🏽", "!!", "...", "_", "x" * 450, "ab" * 40, "ﬁ", "123", "\x00", "the", "ing", " the", "    "]
@@ -155,6 +156,29 @@ def test_near_duplicates_against_all_pairs(spark):
     assert got == _components(rows)
 
 
+def test_pipeline_stage_against_all_pairs(spark):
+    rng = random.Random(13)
+    rows = []
+    for k in range(40):
+        w = [f"w{rng.randrange(9999)}" for _ in range(200)]
+        rows.append((10 * k, " ".join(w)))
+        for j in range(1, 4):  # 3, 4 or 5 words apart: similarities of about 0.86, 0.81 and 0.77
+            v = list(w)
+            for at in rng.sample(range(8, 190, 6), j + 2):
+                v[at] = f"n{rng.randrange(99999)}"
+            rows.append((10 * k + j, " ".join(v)))
+    want = [d for d, _, _, kept in _components(rows, 80) if kept]
+    assert len(want) < sum(kept for *_, kept in _components(rows))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs(spark, rows, extra=True), "").collect()) == want
+
+
+def test_bands_follow_the_threshold():
+    assert bands_for(85) == (32, 6)
+    for percent in range(10, 100):
+        bands, width = bands_for(percent)
+        assert bands * width <= HASHES and (1 - (percent / 100) ** width) ** bands <= UNSEEN
+
+
 def test_near_duplicates_odd_tables(spark):
     assert near_duplicates(docs(spark, [])).count() == 0
     text = "a b c d e f g h"
