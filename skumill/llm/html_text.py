@@ -1,8 +1,8 @@
 """Visible text of HTML pages with its layout: blocks, lists and aligned tables.
 
 A page is cut into tags, comments and text, and built into a tree with the usual
-implied tags: void elements have no content, block elements end an open
-paragraph, list items, table cells, rows, options and definition entries end
+implied tags: void elements have no content, text and body elements end an open head,
+block elements end an open paragraph, list items, table cells, rows, options and definition entries end
 their open siblings, and what is still open at the end is closed.  Rendering
 walks the tree without recursion, so any depth of nesting works.
 
@@ -25,7 +25,7 @@ from .textscan import column_bytes, slices
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math select datalist meta link title base param".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg annotation annotation-xml select datalist meta link title base param".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks with a blank line before and after.
 SPACED = HEADINGS | frozenset("p blockquote pre ul ol dl table figure hr".split())
@@ -46,6 +46,10 @@ ENDS = {
 }
 ENDS = {k: (frozenset(v.split()), frozenset(s)) for k, (v, s) in ENDS.items()}
 _CELLS, _ROW, _TABLE = frozenset(("td", "th")), frozenset(("tr",)), frozenset(("table",))
+#: What a head may hold; any other tag and text end it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Content of these inside a head is no text of its body.
+_OWN_TEXT = frozenset(("template", "noscript"))
 #: An end tag does not reach through these.
 SCOPES = frozenset("table td th caption html body".split())
 
@@ -140,8 +144,14 @@ def build_tree(page: str) -> Node:
                     return None
         return None
 
+    def end_head() -> None:
+        if opened.get("head") and not any(opened.get(t) for t in _OWN_TEXT):
+            close(next(i for i, node in enumerate(stack) if node.tag == "head"))
+
     while (got := cutter.next()) is not None:
         text, slash, tag, attrs = got
+        if text and not text.isspace():
+            end_head()
         if text:
             stack[-1].kids.append(html.unescape(text))
         if not tag:
@@ -156,6 +166,8 @@ def build_tree(page: str) -> Node:
                     if stack[i].tag in SCOPES and tag not in SCOPES and tag not in ("tr", "tbody", "thead", "tfoot"):
                         break
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in BLOCK and opened.get("p"):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":

@@ -178,6 +178,20 @@ def test_end_tags_close_what_they_imply():
     assert text("<td>x<td>y") == "xy" or text("<td>x<td>y")
 
 
+def test_pages_without_head_or_body_tags_keep_their_text():
+    text = html_text.page_text
+    assert text("<html><head><title>t</title><body><p>text</p>") == "text"
+    assert text("<html><head><title>t</title><meta charset=x><style>p{}</style>\n<p>one<p>two</html>") == "one\n\ntwo"
+    assert text("<head><title>t</title><script>var a</script>words <b>bold</b>") == "words bold"
+    assert text("<title>t</title><h1>a</h1>b") == "a\n\nb" and text("<head><base href=x>&amp;<body>b") == "&\nb"
+    assert text("<head><noscript><p>no</p></noscript><template><p>no</p></template><title>t</title></head><body>yes") == "yes"
+    assert text("<head><noscript><link rel=x></noscript><body>yes") == "yes"
+
+
+def test_formulas_are_visible():
+    assert html_text.page_text("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math> holds") == "so x=2 holds"
+
+
 def _brute(model, turns):
     import itertools
 
