@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,14 @@ def _bound(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", made.alias("_made")).select(*[c for c in df.columns if c not in columns], "_made.*")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again, so that rounds don't pile up in one plan."""
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="skumill-")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good pages, failures (url, error)) of pages (url, status, html)."""
     marked = pages.withColumn("error", H.page_error(F.col("status"), F.col("html")))
@@ -47,20 +58,26 @@ def one_link_per_model(pages: DataFrame, base: str) -> DataFrame:
     return first_rows(found, ["url", "model"], ["pos"]).select("url", "model", "link")
 
 
-def page_chain(pages: DataFrame, seeds: DataFrame, most: int = 1000) -> DataFrame:
-    """(seed_url, url, step): the list pages that follow from each seed, until a page has no next or names itself."""
-    spark = pages.sparkSession
+def page_chain(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(seed_url, url, step): the list pages that follow from each seed, until a page has no next or one that the seed has seen.
+
+    Round r knows each seed's pages under 2^r steps and each page's 2^r-th next
+    one, so a chain of n pages takes about log2(n) rounds, however long it is.
+    """
     found = _bound(pages.select("url", "html"), _l=U.plain_url(H.next_page(F.col("html"))))
     nexts = found.select("url", U.absolute(F.col("_l"), F.col("url")).alias("next_url")).where("next_url is not null and next_url <> url")
-    nexts = nexts.persist()  # every step of the recursion reads it
-    nexts.createOrReplaceTempView("_chain_nexts")
-    seeds.select("seed_url").createOrReplaceTempView("_chain_seeds")
-    return spark.sql(f"""
-        WITH RECURSIVE chain(seed_url, url, step) MAX RECURSION LEVEL {most} AS (
-          SELECT seed_url, seed_url, 0 FROM _chain_seeds
-          UNION ALL
-          SELECT c.seed_url, n.next_url, c.step + 1 FROM chain c JOIN _chain_nexts n ON c.url = n.url WHERE c.step < {most - 2})
-        SELECT seed_url, url, step FROM chain""")
+    jump = _written(nexts.distinct(), "chain-jumps")
+    chain = _written(seeds.select("seed_url", F.col("seed_url").alias("url"), F.lit(0).alias("step")).distinct(), "chain")
+    leap = 1
+    while True:
+        ahead = chain.join(jump, "url").select("seed_url", F.col("next_url").alias("url"), (F.col("step") + leap).alias("step"))
+        ahead = ahead.groupBy("seed_url", "url").agg(F.min("step").alias("step"))
+        new = _written(ahead.join(chain, ["seed_url", "url"], "left_anti"), "chain-new")
+        if new.isEmpty():
+            return chain
+        chain = _written(chain.unionByName(new), "chain")
+        far = jump.select("url", F.col("next_url").alias("_mid")).join(jump.toDF("_mid", "next_url"), "_mid")
+        jump, leap = _written(far.select("url", "next_url").distinct(), "chain-jumps"), 2 * leap
 
 
 def seed_links(pages: DataFrame, seeds: DataFrame) -> DataFrame:

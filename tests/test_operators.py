@@ -312,3 +312,15 @@ def test_streak_alerts_in_a_stream(spark, tmp_path):
     q = I.streak_stream(log).writeStream.format("memory").queryName("alerts").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).outputMode("append").start()
     q.awaitTermination()
     assert rows(spark.sql("select ts, streak, alert from alerts"), "ts") == [(5, 6, "pause"), (11, 12, "pause"), (17, 18, "abort"), (18, 19, "abort"), (19, 20, "abort")]
+
+
+def test_page_chains_of_any_length_and_cycles(spark):
+    at = "https://shop.example/list/"
+    link = lambda k: f'<a class="see-more-button" data-url="/list/{k}">'
+    pages = [(f"{at}{k}", link(k + 1) if k < 1300 else "") for k in range(1301)]
+    pages += [(at + "a", link("b")), (at + "b", link("c")), (at + "c", link("b")), (at + "self", link("self")), (at + "last", link("gone"))]
+    seeds = [(at + k, n) for n, k in enumerate(("0", "1290", "a", "self", "last", "none"))]
+    got = rows(E.page_chain(spark.createDataFrame(pages, "url string, html string"), spark.createDataFrame(seeds, "seed_url string, pos int")))
+    want = [(at + "0", f"{at}{k}", k) for k in range(1301)] + [(at + "1290", f"{at}{k}", k - 1290) for k in range(1290, 1301)]
+    want += [(at + "a", at + k, n) for n, k in enumerate("abc")] + [(at + "self", at + "self", 0), (at + "last", at + "last", 0), (at + "last", at + "gone", 1), (at + "none", at + "none", 0)]
+    assert sorted(got) == sorted(want)
