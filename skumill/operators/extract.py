@@ -326,17 +326,19 @@ def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: in
     return rows.select(*[F.coalesce(made.get(c, F.col(c)), F.lit("")).alias(c) for c in S.CATALOGUE_COLUMNS], F.col("url").alias("page_url"), F.col("c.pos").alias("color_pos"), "size_pos")
 
 
-def nested_objects(pages: DataFrame, depth: int = 6) -> DataFrame:
-    """(url, pos, object VARIANT): every JSON object of a page's JSON scripts, at any level down to `depth`."""
+def nested_objects(pages: DataFrame) -> DataFrame:
+    """(url, pos, object VARIANT): every JSON object of a page's JSON scripts, at any level."""
     scripts = F.regexp_extract_all("html", F.lit(r"(?is)<script[^>]*type=[\"']application/(?:ld\+)?json[\"'][^>]*>(.*?)</script>"), F.lit(1))
+    kind = F.schema_of_variant("object")
+    holds = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     level = pages.select("url", F.posexplode(scripts).alias("_k", "_t")).select("url", F.lpad(F.col("_k").cast("string"), 6, "0").alias("pos"), F.try_parse_json("_t").alias("object")).where("object is not null")
-    found = None
-    for _ in range(depth):
-        own = level.where(F.schema_of_variant("object").startswith("OBJECT"))
-        found = own if found is None else found.unionByName(own)
-        inner = level.where(F.schema_of_variant("object").startswith("OBJECT") | F.schema_of_variant("object").startswith("ARRAY"))
-        inner.createOrReplaceTempView("_nested_level")
-        level = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM _nested_level t, LATERAL variant_explode(t.object) v")
+    level = _written(level.where(holds), "nested")
+    found = level.where(kind.startswith("OBJECT"))
+    while not level.isEmpty():
+        level.createOrReplaceTempView("_nested_level")
+        inner = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM _nested_level t, LATERAL variant_explode(t.object) v")
+        level = _written(inner.where(holds), "nested")
+        found = found.unionByName(level.where(kind.startswith("OBJECT")))
     return found
 
 

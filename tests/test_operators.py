@@ -324,3 +324,16 @@ def test_page_chains_of_any_length_and_cycles(spark):
     want = [(at + "0", f"{at}{k}", k) for k in range(1301)] + [(at + "1290", f"{at}{k}", k - 1290) for k in range(1290, 1301)]
     want += [(at + "a", at + k, n) for n, k in enumerate("abc")] + [(at + "self", at + "self", 0), (at + "last", at + "last", 0), (at + "last", at + "gone", 1), (at + "none", at + "none", 0)]
     assert sorted(got) == sorted(want)
+
+
+def test_products_at_any_level_of_a_script(spark):
+    pages = []
+    for level in range(5, 13):  # the product is on this level, under objects and arrays by turns
+        node = {"@type": "Product", "sku": f"9999{level}-AAA-S"}
+        for k in range(level - 1):
+            node = {"k": node} if (level - k) % 2 else [node]
+        pages.append((f"https://h/{level}.html", f'<script type="application/json">{json.dumps(node)}</script>'))
+    pages.append(("https://h/next.html", '<script type="application/json">' + json.dumps({"props": {"pageProps": {"dehydratedState": {"queries": [{"state": {"data": {"product": {"@type": "Product", "sku": "77777-AAA-S"}}}}]}}}}) + "</script>"))
+    got = E.nested_objects(spark.createDataFrame(pages, "url string, html string")).select("url", F.try_variant_get("object", "$.sku", "string").alias("sku")).where("sku is not null")
+    assert sorted(r.url for r in got.collect()) == sorted(u for u, _ in pages)
+    assert E.generic_products(spark.createDataFrame(pages, "url string, html string"), "house").count() == len(pages)
