@@ -62,6 +62,11 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int = SHINGLE) -> list[np
     return out
 
 
+def fingerprints(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Both 64-bit halves of the fingerprint of each set."""
+    return [np.array([int(f(s).sum(dtype=np.uint64)) for s in sets], dtype=np.uint64).view(np.int64) for f in (lambda s: s, lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)))]
+
+
 def signatures_of(sets: list[np.ndarray]) -> np.ndarray:
     """A row of HASHES minima (upper 32 bits) for each non-empty set, else all ones."""
     xors, mults = _seeds()
@@ -130,14 +135,14 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest connected index of each of n items."""
     label = np.arange(n)
     while len(i):
-        m = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, m)
-        np.minimum.at(label, j, m)
-        label = label[label]
+        a, b = label[i], label[j]  # roots, as every label is one between passes
+        low = np.minimum(a, b)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
         live = label[i] != label[j]
         i, j = i[live], j[live]
-    while not np.array_equal(label, label[label]):
-        label = label[label]
     return label
 
 
@@ -200,7 +205,7 @@ def scan(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 sets = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
                 sig = signatures_of(sets)
                 empty = np.array([not len(s) for s in sets], dtype=bool)
-                fp = [np.array([int(f(s).sum(dtype=np.uint64)) for s in sets], dtype=np.uint64).view(np.int64) for f in (lambda s: s, lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)))]
+                fp = fingerprints(sets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64(), mask=empty) for x in fp), pa.array([row.tobytes() for row in sig], pa.binary())],
                     ["doc_id", "n_shingles", "fp1", "fp2", "sig"],
@@ -296,9 +301,11 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             for i, j in slices(offs, 1 << 20):
                 sets = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
                 part = batch.slice(i, j - i)
+                own = np.all([part.column(n).to_numpy() == f for n, f in zip(("fp1", "fp2"), fingerprints(sets), strict=True)], axis=0)
+                sets, part = [s for s, o in zip(sets, own.tolist(), strict=True) if o], part.filter(pa.array(own))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("cluster"), part.column("size"), part.column("sig"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "cluster", "size", "sig", "shingles"])
 
-    return docs.select("doc_id", "cluster", "size", "sig", "text").mapInArrow(run, "doc_id long, cluster long, size long, sig binary, shingles binary")
+    return docs.select("doc_id", "cluster", "size", "sig", "text", "fp1", "fp2").mapInArrow(run, "doc_id long, cluster long, size long, sig binary, shingles binary")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, miss: float = MISS) -> DataFrame:
@@ -333,10 +340,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, m
     clusters = stored(components(edges), "clusters")
     many = clusters.groupBy("component").agg(F.count("*").alias("size"))
     inside = spread_join(clusters, many, "component", F.col("node")).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "size")
-    inside = stored(inside.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "sig"), "doc_id"), "inside")
+    inside = stored(inside.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2", "sig"), "doc_id"), "inside")
     # a repeated doc_id may stand for several texts: the fingerprint picks the class's own
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = _sets(texts.join(inside.drop("fp1").dropDuplicates(["doc_id"]), "doc_id"), k)
+    sets = _sets(texts.join(inside, "doc_id"), k)
     links = stored(_exact_edges(sets, percent, miss), "links")
 
     found = stored(components(links), "components").withColumnRenamed("node", "rep")

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from skumill.llm import bpe, decontam, quality, tokencount
-from skumill.llm.neardup import HASHES, UNSEEN, bands_for, least_matches, near_duplicates, shingle_sets, signatures_of
+from skumill.llm.neardup import HASHES, UNSEEN, _forest, bands_for, least_matches, near_duplicates, shingle_sets, signatures_of
 from skumill.llm.textscan import LOWER, NON_SPACE, WORD, span_hashes, word_spans
 
 PIECES = ["a", "B", "é", "é", " ", "  ", "\n", "\t", "'s", "'LL", "'re", "'ve", "'", "<|endoftext|>", "<|startoftext|>", "<|", "Σ", "ΑΣ ", "İ", "ß", "中文", "日本", "１", "½", " ", "　", "\x1c", "🙂", "👍🏽", "!!", "...", "_", "x" * 450, "ab" * 40, "ﬁ", "123", "\x00", "the", "ing", " the", "    "]
@@ -172,6 +172,27 @@ def test_pipeline_stage_against_all_pairs(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs(spark, rows, extra=True), "").collect()) == want
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    word = lambda n, k: [f"{n}{i}" if i not in k else f"x{n}{i}" for i in range(200)]
+    rows = [(j, " ".join(word(f"t{j}_{k}_", ()))) for j in range(6) for k in range(3)]
+    rows += [(100 + 10 * j + k, " ".join(word(f"t{j}_{k}_", (60, 150)))) for j in range(6) for k in range(3)]
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect()}
+    assert got == {j: (j, True) for j in range(6)} | {100 + 10 * j + k: (j, False) for j in range(6) for k in range(3)}
+
+
+def test_forest_is_a_full_union():
+    assert _forest(6, np.array([1, 3, 4]), np.array([4, 5, 5])).tolist() == [0, 1, 2, 1, 1, 1]
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(rng.integers(2, 40))
+        i, j = rng.integers(0, n, (2, int(rng.integers(0, n))))
+        want = list(range(n))
+        for _ in range(n):
+            for a, b in zip(i.tolist(), j.tolist()):
+                want[a] = want[b] = min(want[a], want[b])
+        assert _forest(n, i, j).tolist() == want
+
+
 def test_bands_follow_the_threshold():
     assert bands_for(85) == (32, 6)
     for percent in range(10, 100):
