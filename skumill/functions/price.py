@@ -12,6 +12,8 @@ BID_TIERS = [(11500, 2600.0, 0.99), (78500, 1900.0, 0.94), (None, 5930.0, 0.99)]
 #: Quantity by stock word. Fixed values.
 QUANTITIES = {"in-stock": "6", "low-stock": "3", "out-of-stock": "0"}
 TAX = 1.1
+#: Markup of a product page's price, as patterns in order. Fixed values.
+PRICE_MARKUP = (r'itemprop="price"[^>]*content="([\d.,]+)"', r'class="value"[^>]*content="([\d.,]+)"')
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -78,9 +80,7 @@ def differing(sale: Column, listed: Column) -> Column:
 
 def page_price(html: Column) -> Column:
     """The price of a product page by two patterns in order, without commas; '' without one."""
-    first = extract(html, r'itemprop="price"[^>]*content="([\d.,]+)"')
-    second = extract(html, r'class="value"[^>]*content="([\d.,]+)"')
-    return F.coalesce(F.replace(F.coalesce(first, second), F.lit(",")), F.lit(""))
+    return F.coalesce(F.replace(F.coalesce(*[extract(html, p) for p in PRICE_MARKUP]), F.lit(",")), F.lit(""))
 
 
 def first_yen(text: Column) -> Column:
