@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .functions import html as H
 from .functions import price as M
 from .functions import sizes as Z
-from .functions import spec as P
 from .functions import text as X
 from .functions import urls as U
 from .operators import dedupe as W
@@ -21,7 +20,7 @@ from .operators import metrics as A
 from .operators import reconcile as R
 from .operators import stores as K
 from .operators import titles as Ti
-from .plans.profiles import PROFILES, profile
+from .plans.profiles import profile
 from .sources import sinks as O
 from .streaming import incremental as I
 
@@ -336,9 +335,9 @@ def color_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.match_color(rows, "k1", "k2", sheet, "color").select("p_partkey", "color")
 
 
-@_query("SELECT p_partkey, CASE p_size WHEN 24 THEN '15.5' WHEN 25 THEN '15.5' WHEN 26 THEN '16' WHEN 27 THEN '17' WHEN 28 THEN '17.25' WHEN 30 THEN '18.5' WHEN 33 THEN '20.5' WHEN 35 THEN '22' WHEN 36 THEN '22.5' WHEN 37 THEN '23' WHEN 38 THEN '24' WHEN 39 THEN '24.5' WHEN 40 THEN '25.25' WHEN 42 THEN '26.5' WHEN 44 THEN '28' WHEN 45 THEN '28.5' WHEN 46 THEN '29' WHEN 47 THEN '30' WHEN 48 THEN '30.5' WHEN 49 THEN '31' WHEN 17 THEN '10.5' WHEN 18 THEN '11' WHEN 21 THEN '13' END AS jp FROM part WHERE p_size <> 24")
+@_query("SELECT p_partkey, CASE p_size WHEN 25 THEN '15.5' WHEN 26 THEN '16' WHEN 27 THEN '17' WHEN 28 THEN '17.25' WHEN 30 THEN '18.5' WHEN 33 THEN '20.5' WHEN 35 THEN '22' WHEN 36 THEN '22.5' WHEN 37 THEN '23' WHEN 38 THEN '24' WHEN 39 THEN '24.5' WHEN 40 THEN '25.25' WHEN 42 THEN '26.5' WHEN 44 THEN '28' WHEN 45 THEN '28.5' WHEN 46 THEN '29' WHEN 47 THEN '30' WHEN 48 THEN '30.5' WHEN 49 THEN '31' WHEN 17 THEN '10.5' WHEN 18 THEN '11' WHEN 21 THEN '13' END AS jp FROM part")
 def size_charts_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").where("p_size <> 24").select("p_partkey", Z.eu_or_letter(F.col("p_size").cast("string")).alias("jp"))
+    return _table(spark, sf_dir, "part").select("p_partkey", Z.eu_or_letter(F.col("p_size").cast("string")).alias("jp"))
 
 
 # --- pages and URLs ----------------------------------------------------------
@@ -549,6 +548,3 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
-
-
-__all__ = ["PROFILES", "P", "oracle_sql", "queries"]
