@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skumill.llm.bpe import encode
 from skumill.llm.common import stored, table
 from skumill.llm.decontam import without_benchmark
-from skumill.llm.neardup import near_duplicates
+from skumill.llm.neardup import without_near_duplicates
 from skumill.llm.quality import train, with_scores
 
 #: Documents of this similarity or more are near-duplicates; the contract of op7_ has a figure of its own.
@@ -31,8 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: that with the smallest doc_id."""
-    copies = near_duplicates(docs, percent=SIMILAR).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs, percent=SIMILAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set."""
+    """The folder that the driver and all executors share; a temporary one only in local mode where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("skumill.work.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
         root = "file://" + tempfile.mkdtemp(prefix="skumill-")
         spark.conf.set("skumill.work.dir", root)
     return root.rstrip("/")
@@ -32,6 +34,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front until no column of `df` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def refuse_clashes(df: DataFrame, *names: str) -> None:
+    """Raise where `df` already has a column that an operator is about to add."""
+    taken = {c.lower() for c in df.columns}
+    if clash := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"the table already has {', '.join(clash)}; choose other names")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends here and survives lost executors."""
     path = fresh_path(df.sparkSession, name)

@@ -6,7 +6,8 @@ a component is what links connect.
 
 1. One scan cuts every whole text into shingles and keeps a MinHash signature,
    the set size and a 128-bit fingerprint of the set.  Documents with equal sets
-   are one class with the smallest doc_id as its representative.
+   are one class with a number of its own; the smallest (doc_id, digest of the
+   text) represents it, as a doc_id alone may stand for several texts.
 2. Signatures are banded.  A bucket's members are compared in blocks of a fixed
    size: the matches of successive signature batches give a Beta posterior of the
    similarity, and a pair goes as soon as the chance of reaching the threshold
@@ -16,6 +17,12 @@ a component is what links connect.
    and survive the same pruning are verified on the full sets, again in blocks.
 
 No bucket, cluster or candidate list is capped: a large one only has more blocks.
+
+Shingles are compared as 64-bit hashes and sets as fingerprints and sizes.  Two
+texts of m shingles in all hold two shingles of one hash with a chance under
+m^2 / 2^65 (3e-12 for 10 000 shingles); only then could a verified similarity be
+wrong.  Two of n different sets share a fingerprint with a chance under n^2 / 2^129
+(2e-17 for 10^11 texts).
 """
 
 from __future__ import annotations
@@ -26,10 +33,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, spread_join, stored
+from .common import components, discard, free_name, spread_join, stored
 from .textscan import LOWER, NON_SPACE, column_bytes, mix, slices, span_hashes, window_hashes, word_spans
 
 SHINGLE = 5
@@ -186,7 +193,7 @@ def _edge_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _in_blocks(df: DataFrame, group: str, size: str, by: str = "doc_id") -> DataFrame:
+def _in_blocks(df: DataFrame, group: str, size: str, by: str = "cls") -> DataFrame:
     """One row for each pair of blocks that a row takes part in: (group, i, j), i <= j."""
     blocks = F.ceil(F.col(size) / BLOCK).cast("int")
     dealt = df.withColumn("_n", blocks).withColumn("blk", F.pmod(F.xxhash64(by), F.col("_n")).cast("int"))
@@ -195,34 +202,41 @@ def _in_blocks(df: DataFrame, group: str, size: str, by: str = "doc_id") -> Data
     return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
+def _digest(text: Column) -> Column:
+    """128 bits that tell the texts of one doc_id apart."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def scan(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, fp1, fp2, sig) of every document; fp1 is null for an empty set."""
+    """(doc_id, digest, n_shingles, fp1, fp2, sig) of every document; fp1 is null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offs = column_bytes(batch.column(1))
+            buf, offs = column_bytes(batch.column("text"))
             for i, j in slices(offs, 1 << 20):
                 sets = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
                 sig = signatures_of(sets)
                 empty = np.array([not len(s) for s in sets], dtype=bool)
                 fp = fingerprints(sets)
+                own = [batch.column(n).slice(i, j - i) for n in ("doc_id", "digest")]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64(), mask=empty) for x in fp), pa.array([row.tobytes() for row in sig], pa.binary())],
-                    ["doc_id", "n_shingles", "fp1", "fp2", "sig"],
+                    [*own, pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64(), mask=empty) for x in fp), pa.array([row.tobytes() for row in sig], pa.binary())],
+                    ["doc_id", "digest", "n_shingles", "fp1", "fp2", "sig"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), _digest(text).alias("digest")).mapInArrow(run, "doc_id long, digest binary, n_shingles long, fp1 long, fp2 long, sig binary")
 
 
 def _plausible_edges(members: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Spanning edges of what the posterior leaves in each bucket; members: (bucket, doc_id, sig, size)."""
+    """Spanning edges of what the posterior leaves in each bucket; members: (bucket, cls, sig, size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for t in _groups(batches, ["bucket", "i", "j"]):
             if t.num_rows < 2:
                 continue
-            ids, sig = t["doc_id"].to_numpy(), _matrix(t["sig"])
+            ids, sig = t["cls"].to_numpy(), _matrix(t["sig"])
             a, b = _sides(t)
             if not len(a) or not len(b):
                 continue
@@ -242,11 +256,11 @@ def _plausible_edges(members: DataFrame, percent: int, miss: float) -> DataFrame
 
 
 def _exact_edges(members: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Spanning edges of the exact links in each cluster; members: (cluster, doc_id, sig, shingles, size)."""
+    """Spanning edges of the exact links in each cluster; members: (cluster, cls, sig, shingles, size)."""
     bands, width = bands_for(percent)
 
     def linked(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, sig = t["doc_id"].to_numpy(), _matrix(t["sig"])
+        ids, sig = t["cls"].to_numpy(), _matrix(t["sig"])
         a, b = _sides(t)
         keys = band_keys(sig, bands, width)
         share = np.zeros((len(a), len(b)), dtype=bool)
@@ -300,57 +314,86 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             buf, offs = column_bytes(batch.column("text"))
             for i, j in slices(offs, 1 << 20):
                 sets = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
-                part = batch.slice(i, j - i)
-                own = np.all([part.column(n).to_numpy() == f for n, f in zip(("fp1", "fp2"), fingerprints(sets), strict=True)], axis=0)
-                sets, part = [s for s, o in zip(sets, own.tolist(), strict=True) if o], part.filter(pa.array(own))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("cluster"), part.column("size"), part.column("sig"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "cluster", "size", "sig", "shingles"])
+                own = [batch.column(n).slice(i, j - i) for n in ("cls", "cluster", "size", "sig")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "cluster", "size", "sig", "shingles"])
 
-    return docs.select("doc_id", "cluster", "size", "sig", "text", "fp1", "fp2").mapInArrow(run, "doc_id long, cluster long, size long, sig binary, shingles binary")
+    return docs.select("cls", "cluster", "size", "sig", "text").mapInArrow(run, "cls long, cluster long, size long, sig binary, shingles binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, miss: float = MISS) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
-
-    component_id is the smallest doc_id that links reach, the document itself
-    included; kept says that it is this document.  Words end at ASCII white
-    space and A-Z counts as a-z.  A null or wordless text has no shingles and is
-    linked with nothing; a text of one to k - 1 words is one shingle.  A row whose
-    doc_id is null is never linked: its component is null and it is kept.
-    Repeated rows are equal documents.  Other columns of `docs` are ignored.
-    An empty table gives an empty result.
-    """
+def _labelled(docs: DataFrame, percent: int, k: int, miss: float) -> DataFrame:
+    """(doc_id, digest, n_shingles, component_id, leads) of every row; leads marks one text of each component."""
     n_bands, width = bands_for(percent)
     sigs = stored(scan(docs, k), "signatures")
     named = sigs.where("doc_id is not null and fp1 is not null")
-    classes = stored(named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    classes = named.groupBy("fp1", "fp2", "n_shingles").agg(F.min(F.struct("doc_id", "digest")).alias("rep"), F.first("sig").alias("sig"))
+    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")  # numbers stay as written
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 key = band_keys(_matrix(pa.chunked_array([batch.column(1)])), n_bands, width).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel(), pa.int64()), pa.array(np.repeat(batch.column(0).to_numpy(), n_bands), pa.int64())], ["bucket", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel(), pa.int64()), pa.array(np.repeat(batch.column(0).to_numpy(), n_bands), pa.int64())], ["bucket", "cls"])
 
-    bands = classes.select("rep", "sig").mapInArrow(keys, "bucket long, doc_id long")
-    sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(spread_join(bands, stored(sizes, "buckets"), "bucket", F.col("doc_id")), "members")
-    reps = classes.select(F.col("rep").alias("doc_id"), "sig")
-    edges = stored(_plausible_edges(shared.join(reps, "doc_id"), percent, miss), "plausible")
+    bands = classes.select("cls", "sig").mapInArrow(keys, "bucket long, cls long")
+    sizes = stored(bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    shared = stored(spread_join(bands, sizes, "bucket", F.col("cls")), "members")
+    edges = stored(_plausible_edges(shared.join(classes.select("cls", "sig"), "cls"), percent, miss), "plausible")
     discard(shared)
+    discard(sizes)
 
     clusters = stored(components(edges), "clusters")
+    discard(edges)
     many = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    inside = spread_join(clusters, many, "component", F.col("node")).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "size")
-    inside = stored(inside.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2", "sig"), "doc_id"), "inside")
-    # a repeated doc_id may stand for several texts: the fingerprint picks the class's own
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = _sets(texts.join(inside, "doc_id"), k)
+    inside = spread_join(clusters, many, "component", F.col("node")).select(F.col("node").alias("cls"), F.col("component").alias("cluster"), "size")
+    inside = stored(inside.join(classes.select("cls", "sig", "rep.doc_id", "rep.digest"), "cls"), "inside")
+    discard(clusters)
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text")).where("doc_id is not null and digest is not null")
+    # rows that repeat an id and its text are one member; the join needs no shuffle beyond this one's
+    sets = _sets(texts.dropDuplicates(["doc_id", "digest"]).join(inside, ["doc_id", "digest"]), k)
     links = stored(_exact_edges(sets, percent, miss), "links")
+    discard(inside)
+
+    found = stored(components(links), "components")
+    discard(links)
+    of_class = found.join(classes.select(F.col("cls").alias("node"), "rep"), "node")
+    leads = of_class.groupBy("component").agg(F.min("rep").alias("lead"))
+    leads = spread_join(found, leads, "component", F.col("node")).select(F.col("node").alias("cls"), "lead")
+    named_classes = classes.join(leads, "cls", "left").select("fp1", F.col("fp2").alias("_fp2"), F.col("n_shingles").alias("_n"), F.coalesce("lead", "rep").alias("_lead"))
+    named_classes = stored(named_classes, "named")
+    rows = sigs.select("doc_id", "digest", "n_shingles", "fp1", "fp2")
+    linked = spread_join(rows.where("doc_id is not null and fp1 is not null"), named_classes, "fp1", F.col("doc_id")).where("fp2 = _fp2 and n_shingles = _n")
+    linked = linked.select("doc_id", "digest", "n_shingles", F.col("_lead.doc_id").alias("component_id"), ((F.col("doc_id") == F.col("_lead.doc_id")) & (F.col("digest") == F.col("_lead.digest"))).alias("leads"))
+    alone = rows.where("doc_id is null or fp1 is null").select("doc_id", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("leads"))
+    return linked.unionByName(alone)
+
 
-    found = stored(components(links), "components").withColumnRenamed("node", "rep")
-    rows = sigs.select("doc_id", "n_shingles", "fp1", "fp2")
-    named_classes = stored(classes.select("fp1", "fp2", "n_shingles", "rep").join(found, "rep", "left").select("fp1", F.col("fp2").alias("_fp2"), F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("_component")), "named")
-    linked = rows.where("doc_id is not null and fp1 is not null")
-    alone = rows.where("doc_id is null or fp1 is null")
-    out = spread_join(linked, named_classes, "fp1", F.col("doc_id")).where("fp2 = _fp2 and n_shingles = _n").select("doc_id", "n_shingles", F.col("_component").alias("component_id"))
-    out = out.unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, miss: float = MISS) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
+
+    component_id is the smallest doc_id that links reach, the document itself
+    included; kept says that it is this document.  Words end at ASCII white
+    space and A-Z counts as a-z.  A null or wordless text has no shingles and is
+    linked with nothing; a text of one to k - 1 words is one shingle.  A row whose
+    doc_id is null is never linked: its component is null and it is kept.
+    Repeated rows are equal documents; the texts of a repeated doc_id are linked
+    each for itself.  Other columns of `docs` are ignored.  An empty table gives
+    an empty result.
+    """
+    found = _labelled(docs, percent, k, miss).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, miss: float = MISS) -> DataFrame:
+    """The rows of `docs`, all columns, that near-duplicate removal leaves: one text of each component, that of its smallest doc_id.
+
+    A row goes by its doc_id and text, so that a text stays although another one
+    of its doc_id goes.  Of a component with several texts of its smallest
+    doc_id one stays, by digest; rows that repeat a doc_id and its text stay or go
+    together.  Rows without doc_id or words stay.
+    """
+    gone = _labelled(docs, percent, k, miss).where(~F.col("leads"))
+    by_id, by_text = free_name(docs, "_gone_id"), free_name(docs, "_gone_text")
+    gone = stored(gone.select(F.col("doc_id").alias(by_id), F.col("digest").alias(by_text)).distinct(), "gone")
+    here = (docs["doc_id"].cast("long") == gone[by_id]) & (_digest(docs["text"].cast("string")) == gone[by_text])
+    return docs.join(gone, here, "left_anti")

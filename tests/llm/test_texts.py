@@ -242,3 +242,15 @@ def test_quality_learns_held_out_labels(spark):
     none = quality.quality_scores(docs(spark, rows[:3]), table.limit(0)).collect()
     assert {round(r.score, 3) for r in none} == {0.5}
     assert quality.quality_scores(docs(spark, []), table).count() == 0
+
+
+def test_texts_of_one_id_keep_their_own_links(spark):
+    word = lambda n, k=(): " ".join(f"{n}{i}" if i not in k else f"x{n}{i}" for i in range(200))
+    rows = [(1, word("a")), (1, word("b")), (2, word("a", (60,))), (3, word("b", (60,))), (4, word("c")), (3, word("d")), (5, word("d", (9,))), (1, word("a"))]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(spark, rows)).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (3, 3, True), (4, 4, True), (5, 3, False)]
+    left = corpus_pipeline.near_duplicate(spark, docs(spark, rows, extra=True), "")
+    assert left.columns == docs(spark, rows, extra=True).columns
+    assert sorted((r.doc_id, r.text[:1]) for r in left.collect()) == [(1, "a"), (1, "a"), (1, "b"), (3, "d"), (4, "c")]
+    near = [(1, word("a")), (1, word("a", (3,))), (1, word("a").upper())]
+    assert corpus_pipeline.near_duplicate(spark, docs(spark, near), "").count() == 1
