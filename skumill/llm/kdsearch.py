@@ -1,7 +1,9 @@
 """Exact top-k inner-product search with a KD-tree for each shard.
 
-Vectors are scaled to integers, dealt into shards of about SHARD_ROWS rows, and
-each shard becomes a KD-tree: median splits of the widest dimension, a tight box
+Components become the integers floor(256 x), whatever their size: scores are summed
+in doubles where they are exact, else in 64-bit integers, else in integers without
+a bound.  Vectors are dealt into shards of about SHARD_ROWS rows, and each shard
+becomes a KD-tree: median splits of the widest dimension, a tight box
 and the smallest vec_id in every node.  A query walks a tree best first by the
 largest inner product that a node's box allows; equal bounds go by the smaller
 vec_id, and the walk ends once no node can beat the k-th result.
@@ -30,20 +32,44 @@ SHARD_ROWS = 4096
 LEAF = 64
 #: Blocks of queries that one copy of a tree meets.
 FAN = 64
-#: Larger components could overflow a 64-bit score.
-MOST = 1 << 27
+#: Bounds of what a score, and each part of its sum, may reach in doubles and in 64-bit integers.
+EXACT = ((2**53, np.float64), (2**62, np.int64))
+
+WIDER = (np.float64, np.int64, object)
 
 Result = list[tuple[int, int]]
 
 
+def kind_for(most: int) -> type:
+    """The narrowest number type that holds every sum up to `most` in size exactly."""
+    return next((kind for bound, kind in EXACT if most < bound), object)
+
+
+def largest(*arrays: np.ndarray) -> int:
+    return max((int(abs(x)) for a in arrays if a.size for x in (a.max(), a.min())), default=0)
+
+
+def as_integers(scaled: np.ndarray) -> np.ndarray:
+    """256 times the values, which are whole 256ths: as doubles where those hold the products, else as Python integers."""
+    if np.abs(scaled).max(initial=0) < 2.0**990:
+        return scaled * 256
+    return np.array([[int(x) * 256 if abs(x) > 2.0**60 else int(x * 256) for x in row] for row in scaled.tolist()], dtype=object).reshape(scaled.shape)
+
+
+def converted(values: np.ndarray, kind: type) -> np.ndarray:
+    if kind is not object or values.dtype == object:
+        return values.astype(kind, copy=False)
+    return np.array([int(x) for x in values.ravel().tolist()], dtype=object).reshape(values.shape)
+
+
 class KDTree:
     """Points in the order of their vec_id, and the nodes over them."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, leaf: int = LEAF) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.points = ids[order], points[order]
-        wide = float(np.abs(points).max(initial=0)) ** 2 * max(1, points.shape[1])
-        self.kind = np.float64 if wide < 2**53 else np.int64
+        self.most = largest(points)
+        self.kind = kind_for(self.most**2 * max(1, points.shape[1]))
         perm = np.arange(len(ids))
         lo, hi, low_id, spans, kids = [], [], [], [], []
         stack = [(0, len(ids), -1)]
@@ -63,15 +89,15 @@ class KDTree:
                 perm[a:b] = perm[a:b][np.argsort(self.points[perm[a:b], axis], kind="stable")]
                 mid = (a + b) // 2
                 stack += [(mid, b, me), (a, mid, me)]
-        self.ids, self.points = self.ids[perm], self.points[perm].astype(self.kind)
-        self.lo, self.hi = np.array(lo).astype(self.kind), np.array(hi).astype(self.kind)
+        self.ids, self.points = self.ids[perm], converted(self.points[perm], self.kind)
+        self.lo, self.hi = converted(np.array(lo, dtype=points.dtype), self.kind), converted(np.array(hi, dtype=points.dtype), self.kind)
         self.low_id, self.spans, self.kids = low_id, spans, kids
 
     def search(self, query: np.ndarray, own: int, k: int, kth: tuple[int, int] | None = None) -> Result:
         """Up to k pairs (score, vec_id), best first, without the query's own id; with `kth`, only pairs that beat it."""
-        wide = float(np.abs(query).max(initial=0)) * max(float(np.abs(self.lo).max(initial=0)), float(np.abs(self.hi).max(initial=0))) * max(1, len(query))
-        kind = np.float64 if self.kind is np.float64 and wide < 2**53 else np.int64
-        q, points, lo, hi = (x.astype(kind, copy=False) for x in (query, self.points, self.lo, self.hi))
+        size, most = max(1, len(query)), largest(query)
+        kind = max(self.kind, kind_for(max(most * self.most, most) * size), key=WIDER.index)
+        q, points, lo, hi = (converted(x, kind) for x in (query, self.points, self.lo, self.hi))
         bound = np.maximum(lo * q, hi * q).sum(axis=1).tolist()
         best: list[tuple[int, int]] = []  # heap of (score, -vec_id): the worst on top
         floor = (kth[0], -kth[1]) if kth else None
@@ -89,8 +115,8 @@ class KDTree:
             start, end = self.spans[node]
             scores = points[start:end] @ q
             if limit:
-                some = np.flatnonzero(scores >= limit[0])
-            elif len(scores) > 8 * k:
+                some = np.flatnonzero(np.asarray(scores >= limit[0], dtype=bool))
+            elif len(scores) > 8 * k and kind is not object:
                 some = np.flatnonzero(scores >= np.partition(scores, -k - 1)[-k - 1])
             else:
                 some = np.arange(len(scores))
@@ -106,20 +132,24 @@ class KDTree:
 
 
 def integer_vectors(df: DataFrame) -> DataFrame:
-    """(vec_id, v): floor(256 x) of each component; rows that take no part are gone.
+    """(vec_id, v): floor(256 x) / 256 of each component, a double that holds it exactly; rows that take no part are gone.
 
-    A vector that is null, empty, holds a null or non-finite component, or one
-    whose scaled value is over 2**27 in size takes no part, nor does a null
-    vec_id.  Equal rows count once.
+    A vector that is null, holds a null or non-finite component or has none at
+    all takes no part, nor does a null vec_id.  Equal rows count once.
     """
-    x = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: F.floor(c.cast("double") * 256)).alias("v"), F.col("embedding").alias("_e")).where("vec_id is not null and _e is not null and size(_e) > 0")
-    fine = F.forall("_e", lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double") * 256) <= MOST))
-    return x.where(fine).select("vec_id", "v").distinct()
+    x = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("_e")).where("vec_id is not null and _e is not null and size(_e) > 0")
+    fine = F.forall("_e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    # from 2^45 on, 256 x is whole
+    whole = F.transform("_e", lambda c: F.when(F.abs(c) < 2.0**45, F.floor(c * 256).cast("double") / 256).otherwise(c))
+    return x.where(fine).select("vec_id", whole.alias("v")).distinct()
 
 
 def _rows(result: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
-    return pa.RecordBatch.from_arrays([pa.array(result[n], t) for n, t in kinds.items()], list(kinds))
+    """Pairs with their scores; `beyond` is 1 or -1 where no long holds the score, which then is the nearest one."""
+    score = result["score"]
+    near = [min(max(s, -(2**63)), 2**63 - 1) for s in score]
+    cols = [pa.array(result["query_id"], pa.int64()), pa.array(result["vec_id"], pa.int64()), pa.array(near, pa.int64()), pa.array([(s > n) - (s < n) for s, n in zip(score, near, strict=True)], pa.int32())]
+    return pa.RecordBatch.from_arrays(cols, ["query_id", "vec_id", "score", "beyond"])
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -127,7 +157,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
 
     Queries are the vectors whose vec_id is divisible by `every`; candidates are
     all vectors of the same length but those of the query's own id.  Ties go to
-    the smaller vec_id; a query with fewer candidates has fewer rows.
+    the smaller vec_id; a query with fewer candidates has fewer rows.  Null vectors,
+    empty ones and those with a null or non-finite component take no part; an
+    empty table gives an empty result.  Components of any size are searched
+    exactly; a returned score that no long holds raises.
     """
     spark = vectors.sparkSession
     rows = stored(integer_vectors(vectors), "vectors")
@@ -140,7 +173,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
         for t in _groups(batches, ["dim", "shard"]):
             dim = t["dim"][0].as_py()
             ids = t["vec_id"].to_numpy()
-            points = t["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
+            points = as_integers(t["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim))
             tree = KDTree(ids, points)
             asked = np.flatnonzero(ids % every == 0)
             home = [tree.search(points[i], int(ids[i]), k) for i in asked.tolist()]
@@ -180,7 +213,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
     asks = built.select("dim", F.col("shard").alias("_home"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "block").where("shard <> _home")
     asks = asks.join(built.select("dim", "shard"), ["dim", "shard"], "left_semi").select("dim", "shard", F.floor(F.col("_home") / FAN).cast("int").alias("fan"), F.lit(None).cast("binary").alias("tree"), "block")
     met = trees.unionByName(asks).repartition(many, "dim", "shard", "fan").sortWithinPartitions("dim", "shard", "fan", F.col("tree").isNull())
-    kind = "query_id long, vec_id long, score long"
+    kind = "query_id long, vec_id long, score long, beyond int"
     found = met.mapInArrow(visit, kind).unionByName(built.select("home").mapInArrow(unpack, kind))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    best = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    unfit = F.raise_error(F.concat(F.lit("a score of query "), F.col("query_id").cast("string"), F.lit(" does not fit a long")))
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", F.when(F.col("beyond") == 0, F.col("score")).otherwise(unfit.cast("long")).alias("score"))

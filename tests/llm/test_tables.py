@@ -260,3 +260,44 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)] + [(200, k) for k in range(201, 260)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[101] == 100 and all(got[k] == 200 for k in range(200, 260)) and len(got) == 41 + 2 + 60
+
+
+def _best(rows, k=5, every=50):
+    """All results by brute force in integers without a bound; rows are (vec_id, list of doubles)."""
+    from fractions import Fraction
+
+    whole = [(i, [math.floor(256 * Fraction(x)) for x in v]) for i, v in rows]
+    out = []
+    for q, a in whole:
+        if q % every == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q and len(b) == len(a))
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e5, 4e6, 2.0**27, 1e11])
+def test_components_of_any_size_are_searched(spark, scale):
+    rng = np.random.default_rng(12)
+    big = 1 if scale < 1e9 else 1e-13  # the largest meet only small ones, so that every score fits a long
+    rows = [(i, [float(x) for x in rng.normal(0, scale if i % 7 == 1 and (scale < 1e9 or i % 50) else big, 8)]) for i in range(260)]
+    if scale < 1e9:
+        rows[0] = (0, [scale / 4] * 8)
+        rows[50] = (50, [-scale / 4, *[0.0] * 7])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    if scale == 2.0**27:  # two of them have a score of over 2**63
+        with pytest.raises(Exception, match="does not fit a long"):
+            top_k(df, shard_rows=80).collect()
+        return
+    assert sorted(map(tuple, top_k(df, shard_rows=80).collect())) == _best(rows)
+
+
+def test_many_dimensions_and_a_tree_of_unbounded_integers(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-(2**19), 2**19, 1024)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(df, shard_rows=25).collect())) == _best(rows)
+    points = np.array([[int(x) * 2**70 for x in row] for row in rng.integers(-9, 9, (300, 3))], dtype=object)
+    tree = KDTree(np.arange(300), points, leaf=16)
+    for q in ([1, -2, 3], [2**65, 5, -(2**66)]):
+        want = sorted(((sum(a * b for a, b in zip(p, q)), -i) for i, p in enumerate(points.tolist())), reverse=True)[:5]
+        assert tree.search(np.array(q, dtype=object), -1, 5) == [(s, -i) for s, i in want]
