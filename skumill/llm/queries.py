@@ -84,7 +84,7 @@ def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical_turns(table(spark, sf_dir, "conversations"))
+    return canonical_turns(table(spark, sf_dir, "conversations"), labels="hidden")
 
 
 def op2_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
