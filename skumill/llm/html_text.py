@@ -6,14 +6,22 @@ block elements end an open paragraph, list items, table cells, rows, options and
 their open siblings, and what is still open at the end is closed.  Rendering
 walks the tree without recursion, so any depth of nesting works.
 
-Not visible: head, script, style, template and the like, comments, and elements
-with a hidden attribute, display:none, visibility:hidden or type="hidden".
+Not visible: head, script, style, template and the like, the choices of a select,
+comments, what a closed details holds behind its summary, and elements with a hidden
+attribute, type="hidden" or display:none.  visibility:hidden hides text down to
+elements that turn it visible again; what is hidden that way keeps its table cells.
+Both properties are read from style attributes and from the page's own style rules
+that name a single tag, class or id.
+
+Table cells stand in a grid: a cell that spans rows or columns keeps its places, and
+columns are as wide as their text is shown, wide characters counting as two.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import refuse_clashes
 from .textscan import column_bytes, slices
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,7 +67,10 @@ _OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>\"']*)")
 _PLAIN = re.compile(r"[^>\"']*")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_LOOK = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)", re.I)
+_SIMPLE = re.compile(r"([a-z][\w-]*)?(?:([.#])([\w-]+))?", re.I)
+#: Inputs that show their value as a label.
+BUTTONS = frozenset("submit button reset".split())
 
 
 class Node:
@@ -194,6 +206,8 @@ def build_tree(page: str) -> Node:
             end = len(page) if end < 0 else end
             body = page[cutter.at : end]
             node.kids.append(html.unescape(body) if tag in ("textarea", "title") else body)
+            if tag == "style":
+                root.attrs["css"] = root.attrs.get("css", "") + body + "\n"
             stop = page.find(">", end)
             cutter.at = len(page) if stop < 0 else stop + 1
         elif tag in VOID:
@@ -203,9 +217,48 @@ def build_tree(page: str) -> Node:
     return root
 
 
-def hidden(node: Node) -> bool:
+def style_rules(css: str) -> dict[tuple[str, str], list[tuple[tuple[int, int], str, dict[str, str]]]]:
+    """By ("." or "#" or "", name): (weight, tag, display and visibility) of the rules for a single tag, class or id.
+
+    Rules inside @media and the like are left out.
+    """
+    rules: dict[tuple[str, str], list] = {}
+    css = re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)
+    depth, at, head, order = 0, 0, "", 0
+    for m in re.finditer(r"[{}]", css):
+        if m[0] == "{":
+            if not depth:
+                head = css[at : m.start()].rsplit(";", 1)[-1].strip()
+            depth, at = depth + 1, m.end()
+            continue
+        if depth == 1 and not head.startswith("@") and (found := {k.lower(): v.lower() for k, v in _LOOK.findall(css[at : m.start()])}):
+            for selector in head.split(","):
+                one = _SIMPLE.fullmatch(selector.strip())
+                if one and selector.strip():
+                    tag, kind, name = (one[1] or "").lower(), one[2] or "", one[3] or ""
+                    weight = ({"#": 100, ".": 10, "": 0}[kind] + bool(tag), order)
+                    rules.setdefault((kind, name or tag), []).append((weight, tag, found))
+            order += 1
+        depth, at = max(0, depth - 1), m.end()
+    return rules
+
+
+def looks(node: Node, rules: dict) -> dict[str, str]:
+    """The display and visibility that a node's style attribute, else the rules give it."""
+    a = node.attrs
+    out: dict[str, str] = {}
+    if rules:
+        keys = [("", node.tag), *[("#", i) for i in (a.get("id"),) if i], *[(".", c) for c in a.get("class", "").split()]]
+        for _, tag, found in sorted((r for k in keys for r in rules.get(k, ()) if not r[1] or r[1] == node.tag), key=lambda r: r[0]):
+            out |= found
+    if "style" in a:
+        out |= {k.lower(): v.lower() for k, v in _LOOK.findall(a["style"])}
+    return out
+
+
+def hidden(node: Node, look: dict[str, str]) -> bool:
     a = node.attrs
-    return node.tag in UNSEEN or bool(a) and ("hidden" in a or bool(_HIDES.search(a.get("style", ""))) or node.tag == "input" and a.get("type", "").lower() == "hidden")
+    return node.tag in UNSEEN or "hidden" in a or look.get("display") == "none" or node.tag == "input" and a.get("type", "").lower() == "hidden"
 
 
 class _Lines:
@@ -268,39 +321,67 @@ class _Lines:
         return self.lines
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Lines of a table: cells (lines, columns spanned) start at their columns' common offsets, two spaces apart."""
-    widths: list[int] = []
-    for row in rows:
-        c = 0
-        for lines, span in row:
-            widths += [0] * (c + span - len(widths))
-            if span == 1:
-                widths[c] = max(widths[c], *map(len, lines), 0)
-            c += span
-    for row in rows:  # a spanning cell widens its last column
-        c = 0
-        for lines, span in row:
-            if span > 1:
-                widths[c + span - 1] += max(0, max(map(len, lines), default=0) - sum(widths[c : c + span]) - 2 * (span - 1))
+def shown_width(s: str) -> int:
+    """Columns that a text takes: two for a wide character, none for a combining or format one."""
+    if s.isascii():
+        return len(s)
+    return sum(0 if unicodedata.category(c) in ("Mn", "Me", "Cf") else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
+
+
+def placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """(first column, columns, lines) of the cells of each row; cells are (lines, columns, rows), no rows mean all that follow."""
+    busy: list[int] = []  # the row from which each column is free again
+    out = []
+    for r, row in enumerate(rows):
+        own, c = [], 0
+        for lines, span, down in row:
+            while c < len(busy) and busy[c] > r:
+                c += 1
+            busy += [0] * (c + span - len(busy))
+            for k in range(c, c + span):
+                busy[k] = max(busy[k], r + down if down else len(rows))
+            own.append((c, span, lines))
             c += span
+        out.append(own)
+    return out
+
+
+def aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Lines of a table: cells (lines, columns, rows) start at their columns' common offsets, two spaces apart."""
+    grid = placed(rows)
+    widths = [0] * max((c + span for row in grid for c, span, _ in row), default=0)
+    for single in (True, False):  # a spanning cell widens its last column
+        for row in grid:
+            for c, span, lines in row:
+                if (span == 1) == single:
+                    need = max(map(shown_width, lines), default=0) - sum(widths[c : c + span - 1]) - 2 * (span - 1)
+                    widths[c + span - 1] = max(widths[c + span - 1], need)
+    starts = [0]
+    for w in widths:
+        starts.append(starts[-1] + w + 2)
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            parts, c = [], 0
-            for lines, span in row:
-                width = sum(widths[c : c + span]) + 2 * (span - 1)
-                parts.append((lines[k] if k < len(lines) else "").ljust(width))
-                c += span
-            out.append("  ".join(parts).rstrip())
+    for row in grid:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line, at = [], 0
+            for c, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    line += [" " * (starts[c] - at), lines[k]]
+                    at = starts[c] + shown_width(lines[k])
+            out.append("".join(line).rstrip())
     return out
 
 
+#: Stands on the stack where an element's own visibility ends.
+_SEEN = Node("")
+
+
 def render(root: Node) -> str:
     """The visible text of a tree, without recursion."""
     out = _Lines()
     writers: list[_Lines] = [out]
-    tables: list[list[list[tuple[list[str], int]]]] = []
+    tables: list[list[list[tuple[list[str], int, int]]]] = []
+    rules = style_rules(root.attrs["css"]) if "css" in root.attrs else {}
+    seen = [True]  # visibility, for each element that sets it
     lists: list[list] = []  # kind and next number
     pre = 0
     stack: list[tuple[Node | str, bool]] = [(root, False)]
@@ -308,6 +389,8 @@ def render(root: Node) -> str:
         node, leaving = stack.pop()
         w = writers[-1]
         if node.__class__ is str:
+            if not seen[-1]:
+                continue
             if pre:
                 w.exact(node)
             else:
@@ -315,7 +398,13 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if tag and hidden(node):
+            look = looks(node, rules) if node.attrs or rules else {}
+            if tag and hidden(node, look):
+                continue
+            if "visibility" in look and tag:
+                seen.append(look["visibility"] not in ("hidden", "collapse"))
+                stack.append((_SEEN, True))
+            if tag in VOID and not seen[-1]:
                 continue
             if tag == "br":
                 w.flush(True)
@@ -324,6 +413,10 @@ def render(root: Node) -> str:
                 if alt := node.attrs.get("alt", "").strip():
                     w.text(alt)
                 continue
+            if tag == "input":
+                if node.attrs.get("type", "").lower() in BUTTONS and (label := node.attrs.get("value", "").strip()):
+                    w.text(label)
+                continue
             if tag == "hr":
                 w.margin(True)
                 w.put(["---"])
@@ -361,19 +454,25 @@ def render(root: Node) -> str:
                 w.margin(tag in SPACED)
             if tag in ("pre", "xmp"):
                 pre += 1
-            stack += [(kid, False) for kid in reversed(node.kids)]
+            kids = node.kids
+            if tag == "details" and "open" not in node.attrs:
+                kids = [kid for kid in kids if kid.__class__ is Node and kid.tag == "summary"][:1]
+            stack += [(kid, False) for kid in reversed(kids)]
+            continue
+        if node is _SEEN:
+            seen.pop()
             continue
         if tag in ("pre", "xmp"):
             pre -= 1
         if tag == "table" and tables:
             rows = tables.pop()
-            w.put(aligned([r for r in rows if r]))
+            w.put(aligned(rows))
             w.margin(True)
         elif tag in ("td", "th") and tables:
             cell = writers.pop().done()
             lists.pop()
-            span = node.attrs.get("colspan", "1")
-            tables[-1][-1].append((cell, min(1000, max(1, int(span))) if re.fullmatch(r"\d{1,9}", span) else 1))
+            span, down = (int(x) if re.fullmatch(r"\d{1,9}", x) else 1 for x in (node.attrs.get(n, "1").strip() for n in ("colspan", "rowspan")))
+            tables[-1][-1].append((cell, min(1000, max(1, span)), min(65534, down)))
         elif tag in ("ul", "ol", "menu"):
             lists.pop()
             w.margin(not any(x[0] for x in lists))
@@ -401,6 +500,7 @@ def page_title(page: str | None) -> str | None:
 
 def with_text(pages: DataFrame, text: str = "__text", title: str = "__title") -> DataFrame:
     """`pages` with the visible text of `html` and the page's title (null if it has none)."""
+    refuse_clashes(pages, text, title)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

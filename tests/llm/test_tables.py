@@ -301,3 +301,52 @@ def test_many_dimensions_and_a_tree_of_unbounded_integers(spark):
     for q in ([1, -2, 3], [2**65, 5, -(2**66)]):
         want = sorted(((sum(a * b for a, b in zip(p, q)), -i) for i, p in enumerate(points.tolist())), reverse=True)[:5]
         assert tree.search(np.array(q, dtype=object), -1, 5) == [(s, -i) for s, i in want]
+
+
+def _grid(rows):
+    """Cells (text, columns, rows) on squared paper: {(row, column): text} of the cells' first squares."""
+    paper, out = {}, {}
+    for r, row in enumerate(rows):
+        for text, wide, tall in row:
+            c = next(c for c in range(10_000) if (r, c) not in paper)
+            out[r, c] = text
+            for i in range(r, r + tall if tall else len(rows)):
+                for j in range(c, c + wide):
+                    paper[i, j] = True
+    return out
+
+
+def test_cells_stand_in_a_grid(spark):
+    text = html_text.page_text
+    assert text("<table><tr><td rowspan=2>A<td>b<tr><td>c</table>") == "A  b\n   c"
+    assert text("<table><tr><td>日本<td>x<tr><td>abc<td>y</table>") == "日本  x\nabc   y"
+    assert text("<table><tr><td colspan=2>wide heading<td>z<tr><td>a<td>b<td>c</table>") == "wide heading  z\na  b          c"
+    rng = random.Random(17)
+    for _ in range(200):
+        names = iter(range(1000))
+        rows = [[(f"c{next(names)}", rng.choice((1, 1, 1, 2, 3)), rng.choice((1, 1, 2, 3, 0))) for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(1, 6))]
+        want = _grid(rows)
+        got = {(r, c): lines[0] for r, row in enumerate(html_text.placed([[([t], w, h) for t, w, h in row] for row in rows])) for c, _, lines in row}
+        assert got == want
+        page = "<table>" + "".join("<tr>" + "".join(f"<td colspan={w} rowspan={h}>{t}</td>" for t, w, h in row) + "</tr>" for row in rows) + "</table>"
+        at = {}
+        for line in text(page).split("\n"):
+            for word in line.split():
+                at[word] = line.index(word)
+        columns = {}
+        for (_, c), t in want.items():
+            columns.setdefault(c, set()).add(at[t])
+        assert all(len(v) == 1 for v in columns.values())  # a column's cells start at one offset
+
+
+def test_visibility_follows_the_cascade():
+    text = html_text.page_text
+    assert text("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</div>") == "yes"
+    assert text("<div style='display:none'>no<b style='display:block'>no</b></div>yes") == "yes"
+    assert text("<style>.gone, p#x{display:none} .out{visibility:hidden} @media print{.kept{display:none}} .back{display:none}.back{display:block}</style><p class='a gone'>no<p id=x>no<p class=out>no<p class=kept>one<p class=back>two") == "one\n\ntwo"
+    assert text("<style>b{display:none} b.on{display:inline}</style><b>no</b><b class=on>yes</b> <i style='display:inline' hidden>no</i>") == "yes"
+    assert text("<details><summary>more</summary><p>inside</details><details open><summary>less</summary><p>shown</details>") == "more\nless\n\nshown"
+    assert text("<form><input type=submit value=' Go '><input type=text value=typed><input type=hidden value=no></form>") == "Go"
+    assert text("<table><tr><td style='visibility:hidden'>secret<td>b<tr><td>x<td>y</table>") == "   b\nx  y"
+    long = "<p style='visibility:hidden'>" + "no <i>no</i> " * 100_000 + "</p>" + "<div>" * 5000 + "yes"
+    assert text(long) == "yes"
