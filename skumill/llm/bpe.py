@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, stored
+from .common import discard, refuse_clashes, stored
 from .textscan import column_bytes, slices
 
 #: Least share of all words that puts a word into the automaton.
@@ -230,14 +230,12 @@ class Automaton:
     """The mapped file image of `compile_words`."""
 
     def __init__(self, image: bytes, sha: str) -> None:
-        # a scratch copy of the broadcast value beside this worker, so that the workers of a machine share its pages
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{sha}.fst")
-        if not os.path.exists(path):
-            fd, own = tempfile.mkstemp(dir=tempfile.gettempdir())
-            with os.fdopen(fd, "wb") as f:
-                f.write(image)
-            os.replace(own, path)
-        raw = np.memmap(path, dtype=np.uint8, mode="r")
+        self.sha = sha
+        # a file without a name, gone with this worker, so that the pages of the lexicon can be dropped and read again
+        with tempfile.TemporaryFile() as f:
+            f.write(image)
+            f.flush()
+            raw = np.memmap(f, dtype=np.uint8, mode="r")
         size = struct.unpack("<q", raw[:8].tobytes())[0]
         for k, (at, n, kind) in json.loads(raw[8 : 8 + size].tobytes()).items():
             width = np.dtype(kind).itemsize
@@ -349,6 +347,7 @@ def encode(docs: DataFrame, path: str, share: float = SHARE, decoded: bool = Tru
     its special strings in a text become their ids.  A null text counts as
     empty, and an empty one has no ids and decodes to an empty text.
     """
+    refuse_clashes(docs, *([ids, text] if decoded else [ids]))
     spark = docs.sparkSession
     model = WordBPE(path)
     image = lexicon(docs.select("text"), model, share)
