@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skumill.llm.bpe import encode
-from skumill.llm.common import stored, table
+from skumill.llm.common import free_name, stored, table
 from skumill.llm.decontam import without_benchmark
 from skumill.llm.neardup import without_near_duplicates
 from skumill.llm.quality import train, with_scores
@@ -26,7 +26,8 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return with_scores(docs, model).where("__score >= 0.5").drop("__score")
+    score = free_name(docs, "__score")
+    return with_scores(docs, model, score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

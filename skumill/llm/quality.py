@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import refuse_clashes
 from .textscan import LOWER, NON_SPACE, column_bytes, row_of, slices, span_hashes, window_hashes, word_spans
 
 PASSAGE = 48
@@ -174,7 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> AttentionMode
     """A model of labels.quality from at most `most` documents that are not held out.
 
     Labels other than 0 and 1 are ignored; several labels of one document count
-    as their rounded mean.  With no usable label the model scores everything 0.5.
+    as their rounded mean.  Of the rows of a repeated doc_id the least text teaches.
+    With no usable label the model scores everything 0.5.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out())
     known = known.groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("quality"))
@@ -188,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> AttentionMode
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), batch.column("quality").slice(i, j - i), pa.array([x[a:b].tobytes() for a, b in zip(pb[:-1], pb[1:], strict=True)], pa.binary())], ["doc_id", "quality", "x"])
 
     # at most `most` ids: a bound that does not grow with the tables
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     rows = sorted(chosen.mapInArrow(run, "doc_id long, quality int, x binary").collect())
     bags = [(np.frombuffer(r[2], np.float32).reshape(-1, FEATURES), r[1]) for r in rows if len(r[2])]
     model = AttentionModel()
@@ -199,7 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> AttentionMode
 
 
 def with_scores(docs: DataFrame, model: AttentionModel, name: str = "__score") -> DataFrame:
-    """`docs` with the score of each whole text in the column `name`; null and empty texts get one too."""
+    """`docs` with the score of each whole text in the column `name`, which must be new; null and empty texts get one too."""
+    refuse_clashes(docs, name)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import byte_letters, merge_ids
+from .common import refuse_clashes
 from .textscan import column_bytes, slices
 
 #: How the byte-level vocabulary splits text before merging.
@@ -196,6 +197,7 @@ def with_prefix_counts(docs: DataFrame, path: str, steps: str = "__steps", total
     A null text counts as empty: no steps, 0 tokens.  The vocabulary's special
     strings in a text are one token each, as the library encodes by default.
     """
+    refuse_clashes(docs, steps, total)
     sent = docs.sparkSession.sparkContext.broadcast(ByteBPE(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

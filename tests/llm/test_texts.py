@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -254,3 +255,35 @@ def test_texts_of_one_id_keep_their_own_links(spark):
     assert sorted((r.doc_id, r.text[:1]) for r in left.collect()) == [(1, "a"), (1, "a"), (1, "b"), (3, "d"), (4, "c")]
     near = [(1, word("a")), (1, word("a", (3,))), (1, word("a").upper())]
     assert corpus_pipeline.near_duplicate(spark, docs(spark, near), "").count() == 1
+
+
+def test_benchmark_set_is_arrays_within_its_bound(spark):
+    rng = random.Random(6)
+    items = [(str(k), " ".join(f"w{rng.randrange(50)}" for _ in range(rng.choice((4, 30, 200))))) for k in range(300)]
+    built = decontam.item_windows(items)
+    words = sum(len(t.split()) for _, t in items)
+    assert built.nbytes() <= sum(len(t) for _, t in items) + words * decontam.WORD_BYTES
+    assert all((w.keys[1:] >= w.keys[:-1]).all() for w in built.by_length.values())
+    # a null id is an item of its own, beside one that is called so
+    bench = spark.createDataFrame([(None, "one two three"), ("null", "three four"), ("a", "one two three")], "item_id string, text string")
+    rows = [(1, "x one two three four"), (2, "three four"), (3, "ONE, two - three")]
+    got = {r.doc_id: (r.n_items, r.items_sha256) for r in decontam.contamination(docs(spark, rows), bench).collect()}
+    assert got == {1: (3, decontam.sha256_of_items(["a", "null", "null"])), 2: (1, decontam.sha256_of_items(["null"])), 3: (2, decontam.sha256_of_items(["a", "null"]))}
+
+
+def test_columns_of_the_operators_own_names(spark):
+    rows = [(1, "one two three"), (2, "other words"), (3, None)]
+    df = docs(spark, rows).selectExpr("*", "1 AS __n_words", "2 AS __items", "3 AS __score", "4 AS ___score", "5 AS __spans", "6 AS __N_HIT")
+    bench = spark.createDataFrame([("a", "two three")], "item_id string, text string")
+    assert [r.doc_id for r in decontam.without_benchmark(df, bench).orderBy("doc_id").collect()] == [2, 3]
+    cut = decontam.without_benchmark(df, bench, remove="spans")
+    assert cut.columns == df.columns and cut.count() == 3
+    with pytest.raises(ValueError, match="__n_words"):
+        decontam.mark_hits(df, bench)
+    with pytest.raises(ValueError, match="__score"):
+        quality.with_scores(df, quality.AttentionModel())
+    with pytest.raises(ValueError, match="__ids"):
+        bpe.encode(df.selectExpr("*", "1 AS __ids"), public_tokenizers.path("word_bpe_49k.json"))
+    long = [(1, ("one two three " * 200_000)), (2, "x " * 500_000)]
+    got = decontam.contamination(docs(spark, long), bench).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit) for r in got] == [(600_000, 400_000), (500_000, 0)]
