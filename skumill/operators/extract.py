@@ -32,7 +32,12 @@ def _bound(df: DataFrame, **columns: Column) -> DataFrame:
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again, so that rounds don't pile up in one plan."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="skumill-")
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
+        root = "file://" + tempfile.mkdtemp(prefix="skumill-")
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -95,16 +100,25 @@ def failed_seeds(seeds: DataFrame, links: DataFrame) -> DataFrame:
     return seeds.join(links.select("seed_url").distinct(), "seed_url", "left_anti")
 
 
-def variant_prices(pages: DataFrame) -> DataFrame:
-    """(url, sku, msrp, discounted_price) of the variants in the satellite data, whose list may be an object."""
-    raw = pages.select("url", F.get_json_object(H.satellite(F.col("html")), "$.linkedProduct").alias("_j")).where("_j is not null")
+def _own_prices(satellite: Column) -> Column:
+    """array<struct<sku, msrp, discounted_price>> of the variants in the satellite data, whose list may be an object; null without one."""
+    text = F.get_json_object(satellite, "$.linkedProduct")
     kind = "struct<sku:string,productInfo:struct<sku:string>,price:string>"
-    many = F.when(F.col("_j").startswith("["), F.from_json("_j", f"array<{kind}>")).otherwise(F.map_values(F.from_json("_j", f"map<string,{kind}>")))
-    v = raw.select("url", F.posexplode(many).alias("pos", "v"))
-    sku = F.coalesce(X.nonblank(X.clean_text(F.col("v.sku"))), X.nonblank(X.clean_text(F.col("v.productInfo.sku"))))
-    listed, shown = _two_prices(F.col("v.price"))
-    rows = v.select("url", "pos", sku.alias("sku"), listed.alias("msrp"), M.differing(shown, listed).alias("discounted_price")).where("sku is not null")
-    return rows.groupBy("url", "sku").agg(F.max_by(F.struct("msrp", "discounted_price"), "pos").alias("p")).select("url", "sku", "p.*")
+    many = F.when(text.startswith("["), F.from_json(text, f"array<{kind}>")).otherwise(F.map_values(F.from_json(text, f"map<string,{kind}>")))
+
+    def one(v: Column) -> Column:
+        listed, shown = _two_prices(v["price"])
+        sku = F.coalesce(X.nonblank(X.clean_text(v["sku"])), X.nonblank(X.clean_text(v["productInfo"]["sku"])))
+        return F.struct(sku.alias("sku"), listed.alias("msrp"), M.differing(shown, listed).alias("discounted_price"))
+
+    return F.filter(F.transform(many, one), lambda v: v["sku"].isNotNull())
+
+
+def variant_prices(pages: DataFrame) -> DataFrame:
+    """(url, sku, msrp, discounted_price) of the variants in the satellite data of each page; of a repeated SKU the last counts."""
+    own = _bound(pages.select("url", H.satellite(F.col("html")).alias("_sat")), _own=_own_prices(F.col("_sat")))
+    later = lambda v, i: ~F.exists(F.slice("_own", i + 2, 1_000_000), lambda w: w["sku"] == v["sku"])
+    return own.select("url", F.inline(F.filter("_own", later)))
 
 
 def _two_prices(price: Column) -> tuple[Column, Column]:
@@ -116,7 +130,8 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
     """(rows of VARIANT, failures): from the data layer, else from JSON-LD, else one bare row a page.
 
     A page whose data layer is no JSON fails.  Rows of a page that agree in
-    colour, size and stock are one, the first.
+    colour, size and stock are one, the first.  Every page is parsed once, in its
+    own row; nothing is shuffled.
     """
     raw = pages.select(
         "url",
@@ -134,6 +149,7 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
     good = good.select(
         "url",
         "_dl",
+        "_sat",
         H.category(F.col("html")).alias("type"),
         H.title(F.col("html")).alias("_title"),
         H.model(F.col("html"), F.col("url"), F.col("_data")).alias("model"),
@@ -174,13 +190,15 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
     ours = F.filter("_ld", lambda o: (o["@type"] == "Product") & ((F.col("model") == "") | F.coalesce(H.offer_field(o["offers"], "url"), F.lit("")).contains(F.col("model"))))
     ld = F.coalesce(F.transform(ours, from_ld), empty)
     bare = F.array(F.struct(F.col("_title").alias("title"), *[F.lit("").alias(c) for c in ("color", "size", "msrp", "discounted_price", "stock_status", "sku")]))
-    good = _bound(good, _layer=layer, _from_ld=ld)
+    good = _bound(good, _layer=layer, _from_ld=ld, _own=_own_prices(F.col("_sat")))
     chosen = F.when(F.size("_layer") > 0, F.col("_layer")).when(F.size("_from_ld") > 0, F.col("_from_ld")).otherwise(bare)
-    rows = good.select("url", "type", "model", "u_model", F.posexplode(chosen).alias("pos", "v")).select("url", "type", "model", "u_model", "pos", "v.*")
-    rows = first_rows(rows, ["url", "color", "size", "stock_status"], ["pos"])
-    own = variant_prices(pages).select(F.col("url").alias("_u"), F.col("sku").alias("_s"), F.col("msrp").alias("_m"), F.col("discounted_price").alias("_d"))
-    rows = rows.join(own, (rows.url == own._u) & (rows.sku == own._s) & (rows.sku != ""), "left")
-    rows = rows.withColumn("discounted_price", F.when(F.col("_s").isNotNull(), F.col("_d")).otherwise(F.col("discounted_price"))).withColumn("msrp", F.when(F.col("_s").isNotNull(), F.col("_m")).otherwise(F.col("msrp")))
+    good = _bound(good, _rows=chosen)
+    good = _bound(good, _keys=F.transform("_rows", lambda v: F.struct(v["color"], v["size"], v["stock_status"])))
+    firsts = F.filter(F.transform("_rows", lambda v, i: F.struct(i.alias("pos"), v.alias("v"))), lambda x: F.array_position("_keys", F.struct(x["v"]["color"], x["v"]["size"], x["v"]["stock_status"])) == x["pos"] + 1)
+    rows = good.select("url", "type", "model", "u_model", "_own", F.inline(firsts)).select("url", "type", "model", "u_model", "_own", "pos", "v.*")
+    rows = _bound(rows, _price=F.when(F.col("sku") != "", F.try_element_at(F.filter("_own", lambda o: o["sku"] == F.col("sku")), F.lit(-1))))
+    for c in ("msrp", "discounted_price"):
+        rows = rows.withColumn(c, F.when(F.col("_price").isNotNull(), F.col(f"_price.{c}")).otherwise(F.col(c)))
     return rows.select(*[F.lit(brand).alias(c) if c == "brand" else M.stock_quantity(F.col("stock_status")).alias(c) if c == "quantity" else F.col(c) for c in S.VARIANT_COLUMNS], "pos"), failed
 
 
@@ -188,6 +206,7 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
     """(products, failures) of grouped product pages: one row a page with its nested colours.
 
     A page without a ProductGroup is a failure; `generic_products` reads those.
+    Every page is parsed once, in its own row; nothing is shuffled.
     """
     h = F.col("html")
     raw = _bound(pages.select("url", "html"), _o=H.json_objects(H.json_blocks(h), _PRODUCT))
@@ -203,58 +222,63 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
     )
     good = _bound(good, _items=F.transform(F.filter("_o", lambda o: o["@type"] == "Product"), lambda o: F.struct(H.variant_color(o, F.col("model"), F.transform("_allowed", X.one_space)).alias("code"), o.alias("item"))))
     good = _bound(good, _codes=F.transform("_items", lambda i: i["code"]), _page_price=M.first_yen(F.col("_text")))
-    # one row a colour: a swatch each, or the schema's own colours where a page has no swatches
+    # an element a colour: a swatch each, or the schema's own colours where a page has no swatches
     swatch = F.transform(
         F.regexp_extract_all(h, F.lit(r"(?is)<button[^>]*product-swatch[^>]*>"), F.lit(0)),
         lambda t: F.struct(H.swatch_color(t, F.col("model"), F.col("_codes")).alias("code"), t.alias("tag")),
     )
     swatch = F.filter(swatch, lambda s: s["code"].isNotNull())
     from_schema = F.transform(F.array_distinct("_codes"), lambda c: F.struct(c.alias("code"), F.lit("").alias("tag")))
-    colors = _bound(good, _swatches=swatch)
-    colors = colors.withColumn("_sw", F.when(F.size("_swatches") > 0, F.col("_swatches")).otherwise(from_schema)).drop("_swatches").select("*", F.posexplode("_sw").alias("pos", "_c"))
-    colors = first_rows(colors.withColumn("code", F.col("_c.code")).withColumn("_tag", F.col("_c.tag")).drop("_sw", "_c"), ["url", "code"], ["pos"])
-    item = F.element_at(F.filter("_items", lambda i: i["code"] == F.col("code")), -1)["item"]
-    own = F.filter("_items", lambda i: i["code"] == F.col("code"))
-    colors = _bound(colors, _i=F.when(F.size(own) > 0, item)).drop("_o", "_g", "_items", "_codes", "_allowed", "_text", "images")
-    strings = lambda name: F.coalesce(F.from_json(H.attribute(F.col("_tag"), name), "array<string>"), F.array().cast("array<string>"))
-    colors = _bound(
-        colors,
-        **{
-            "_in": strings("data-size-stock"),
-            "_out": strings("data-size-oos"),
-            "_oos": F.coalesce(F.from_json(H.attribute(F.col("_tag"), "data-product-oos"), "map<string,string>"), F.create_map().cast("map<string,string>")),
-            "_fall": F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<input[^>]*name="size"[^>]*>'), F.lit(0)), lambda t: H.attribute(t, "value")),
-            "_sale": F.coalesce(X.nonblank(H.offer_field(F.col("_i.offers"), "price")), F.col("_page_price")),
-            "_img": F.coalesce(X.nonblank(F.col("_i.image")), H.offer_field(F.col("_i.offers"), "image")),
-            "_size": X.one_space(F.col("_i.size")),
-        },
+    good = _bound(good, _swatches=swatch, _fall=F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<input[^>]*name="size"[^>]*>'), F.lit(0)), lambda t: H.attribute(t, "value")))
+    good = _bound(good, _sw=F.when(F.size("_swatches") > 0, F.col("_swatches")).otherwise(from_schema))
+    no_code = lambda c: F.coalesce(c["code"], F.lit("\x00"))
+    good = _bound(good, _named=F.transform("_sw", no_code))
+    # of a repeated colour the first swatch counts, and its last item
+    strings = lambda tag, name: F.coalesce(F.from_json(H.attribute(tag, name), "array<string>"), F.array().cast("array<string>"))
+    colors = F.filter(F.transform("_sw", lambda c, i: F.struct(i.alias("pos"), c.alias("c"))), lambda x: F.array_position("_named", no_code(x["c"])) == x["pos"] + 1)
+    good = _bound(good, _colors=colors)
+    read = lambda x: F.struct(
+        x["pos"].alias("pos"),
+        x["c"]["code"].alias("code"),
+        F.try_element_at(F.filter("_items", lambda i: i["code"] == x["c"]["code"]), F.lit(-1))["item"].alias("i"),
+        X.one_space(H.attribute(x["c"]["tag"], "data-caption")).alias("caption"),
+        strings(x["c"]["tag"], "data-size-stock").alias("has"),
+        strings(x["c"]["tag"], "data-size-oos").alias("lacks"),
+        F.coalesce(F.from_json(H.attribute(x["c"]["tag"], "data-product-oos"), "map<string,string>"), F.create_map().cast("map<string,string>")).alias("oos"),
     )
-    colors = _bound(colors, _sizes=F.array_distinct(F.filter(F.concat("_fall", "_in", "_out", F.map_keys("_oos")), lambda s: s.isNotNull())))
-    offers, sale = F.col("_i.offers"), F.col("_sale")
-    spec = F.coalesce(F.get_json_object(offers, "$.priceSpecification.price"), F.get_json_object(offers, "$.priceSpecification[0].price"), F.col("_i.listPrice"))
-    size_of = F.col("_size")
-    pair = lambda v: F.when((F.coalesce(size_of, F.lit("")) != "") & (F.coalesce(v, F.lit("")) != ""), F.create_map(size_of, v)).otherwise(F.create_map().cast("map<string,string>"))
-    colors = colors.withColumn("_spec", spec)
-    spec = F.col("_spec")
-    image = F.when(F.col("_img").startswith("["), F.get_json_object("_img", "$[0]")).otherwise(F.col("_img"))
-    colors = colors.select(
-        "url",
-        "pos",
-        "code",
-        F.coalesce(X.nonblank(X.one_space(H.attribute(F.col("_tag"), "data-caption"))), X.one_space(F.col("_i.color")), F.lit("")).alias("name"),
-        F.when(F.size("_sizes") > 0, F.col("_sizes")).otherwise(F.array(F.lit(""))).alias("sizes"),
-        F.col("_in").alias("in_stock_sizes"),
-        F.col("_oos").alias("out_of_stock_upcs"),
-        pair(X.one_space(F.coalesce(X.nonblank(F.col("_i.sku")), F.col("_i.mpn")))).alias("sku_by_size"),
-        pair(X.one_space(F.coalesce(F.col("_i.gtin13"), F.col("_i.gtin12"), F.col("_i.gtin")))).alias("upc_by_size"),
-        F.coalesce(U.clean_image(image, H.IMAGE_HOST), F.lit("")).alias("main_image"),
-        U.canonical_product(F.coalesce(X.nonblank(H.offer_field(offers, "url")), F.col("url")), base).alias("color_url"),
-        sale.alias("offer_price"),
-        F.coalesce(spec, sale).alias("msrp"),
-        F.when(spec.isNotNull() & (spec != sale), sale).alias("discounted_price"),
+    good = _bound(good, _colors=F.transform("_colors", read))
+    spec_of = lambda i: F.coalesce(F.get_json_object(i["offers"], "$.priceSpecification.price"), F.get_json_object(i["offers"], "$.priceSpecification[0].price"), i["listPrice"])
+    priced = lambda x: F.struct(
+        x.alias("c"),
+        F.coalesce(X.nonblank(H.offer_field(x["i"]["offers"], "price")), F.col("_page_price")).alias("sale"),
+        spec_of(x["i"]).alias("spec"),
+        F.coalesce(X.nonblank(x["i"]["image"]), H.offer_field(x["i"]["offers"], "image")).alias("img"),
+        X.one_space(x["i"]["size"]).alias("size"),
+        F.array_distinct(F.filter(F.concat("_fall", x["has"], x["lacks"], F.map_keys(x["oos"])), lambda s: s.isNotNull())).alias("sizes"),
     )
-    own = F.collect_list(F.struct("pos", *[c for c in colors.columns if c not in ("url", "pos")]))
-    nested = colors.groupBy("url").agg(F.array_sort(own, lambda a, b: a["pos"] - b["pos"]).alias("colors"))
+    good = _bound(good, _colors=F.transform("_colors", priced))
+    pair = lambda k, v: F.when((F.coalesce(k, F.lit("")) != "") & (F.coalesce(v, F.lit("")) != ""), F.create_map(k, v)).otherwise(F.create_map().cast("map<string,string>"))
+
+    def color(x: Column) -> Column:
+        c, i = x["c"], x["c"]["i"]
+        image = F.when(x["img"].startswith("["), F.get_json_object(x["img"], "$[0]")).otherwise(x["img"])
+        return F.struct(
+            c["pos"].alias("pos"),
+            c["code"].alias("code"),
+            F.coalesce(X.nonblank(c["caption"]), X.one_space(i["color"]), F.lit("")).alias("name"),
+            F.when(F.size(x["sizes"]) > 0, x["sizes"]).otherwise(F.array(F.lit(""))).alias("sizes"),
+            c["has"].alias("in_stock_sizes"),
+            c["oos"].alias("out_of_stock_upcs"),
+            pair(x["size"], X.one_space(F.coalesce(X.nonblank(i["sku"]), i["mpn"]))).alias("sku_by_size"),
+            pair(x["size"], X.one_space(F.coalesce(i["gtin13"], i["gtin12"], i["gtin"]))).alias("upc_by_size"),
+            F.coalesce(U.clean_image(image, H.IMAGE_HOST), F.lit("")).alias("main_image"),
+            U.canonical_product(F.coalesce(X.nonblank(H.offer_field(i["offers"], "url")), F.col("url")), base).alias("color_url"),
+            x["sale"].alias("offer_price"),
+            F.coalesce(x["spec"], x["sale"]).alias("msrp"),
+            F.when(x["spec"].isNotNull() & (x["spec"] != x["sale"]), x["sale"]).alias("discounted_price"),
+        )
+
+    good = _bound(good, colors=F.transform("_colors", color))
     weight = F.coalesce(
         X.nonblank(X.one_space(F.regexp_replace(F.regexp_extract(h, r'(?is)<h3[^>]*content-feature__heading[^>]*>\s*重さ\s*</h3>\s*<[^>]+>(.*?)</', 1), "<[^>]+>", " "))),
         X.nonblank(F.regexp_extract("_text", r"(?i)(?:重量|weight)\s*[:：]?\s*([0-9.,]+\s*(?:kg|g|グラム))", 1)),
@@ -272,28 +296,36 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
         X.material_text(care).alias("material"),
         X.metric_weight(weight).alias("weight"),
         "images",
+        F.when(F.size("colors") > 0, F.col("colors")).alias("colors"),
         M.displayed_price(h, "sales").alias("display_price"),
         M.displayed_price(h, "strike-through list").alias("display_list_price"),
         F.regexp_replace(H.unescaped(X.extract(h, r'data-url="([^"]*Product-Variation[^"]*)"')), r"\?.*$", "").alias("variation_endpoint"),
     )
-    return products.join(nested, "url", "left"), failed
+    return products, failed
 
 
 def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: int = 5) -> DataFrame:
     """Rows of CATALOGUE (and pos): colour x size, with live stock and price where `variation` has them.
 
-    variation: (model, color, size, ats, list, sales).  Prices: live, else shown
+    variation: (model, color, size, ats, list, sales); its rows of a colour meet a
+    page's colour once, and of a repeated size the least counts.  Prices: live, else shown
     in the page, else structured data with tax; an ALL size is written blank.
     """
-    c = products.select("*", F.explode("colors").alias("c")).withColumn("_first", F.get("c.sizes", F.lit(0)))
-    rows = c.select("*", F.posexplode("c.sizes").alias("size_pos", "_size"))
-    asked = (F.col("size_pos") == 0) | (F.array_contains("c.in_stock_sizes", F.col("_size")) & ~F.map_contains_key("c.out_of_stock_upcs", F.col("_size")))
-    rows = rows.withColumn("_asked", asked)
-    v = variation.select(F.col("model").alias("_vm"), F.col("color").alias("_vc"), F.col("size").alias("_vs"), "ats", F.col("list").alias("_list"), F.col("sales").alias("_sales"))
-    rows = rows.join(v, (rows.model == v._vm) & (rows.c.code == v._vc) & (rows._size == v._vs) & rows._asked, "left")
+    live = F.sort_array(F.collect_list(F.struct("size", "ats", "list", "sales")))
+    v = variation.groupBy(F.col("model").alias("_vm"), F.col("color").alias("_vc")).agg(live.alias("_live"))
+    c = products.select("*", F.explode("colors").alias("c")).withColumn("_code", F.col("c.code"))
+    c = c.join(v, (F.col("model") == F.col("_vm")) & (F.col("_code") == F.col("_vc")), "left")
+
+    def asked(size: Column, i: Column) -> Column:
+        wanted = (i == 0) | (F.array_contains("c.in_stock_sizes", size) & ~F.map_contains_key("c.out_of_stock_upcs", size))
+        return F.struct(i.alias("size_pos"), size.alias("_size"), F.when(wanted, F.get(F.filter("_live", lambda o: o["size"] == size), F.lit(0))).alias("_v"))
+
+    c = _bound(c, _sizes=F.transform("c.sizes", asked))
     # a colour's price: its first size, in order, for which the lookup gave one
-    priced = rows.where("_list is not null or _sales is not null").groupBy("url", F.col("c.code").alias("_code")).agg(F.min_by(F.struct(F.coalesce("_list", "_sales").alias("l"), F.col("_sales").alias("s")), "size_pos").alias("_p"))
-    rows = rows.withColumn("_code", F.col("c.code")).join(priced, ["url", "_code"], "left")
+    known = F.get(F.filter("_sizes", lambda x: x["_v"]["list"].isNotNull() | x["_v"]["sales"].isNotNull()), F.lit(0))["_v"]
+    c = _bound(c, _known=known)
+    c = c.withColumn("_p", F.when(F.col("_known").isNotNull(), F.struct(F.coalesce("_known.list", "_known.sales").alias("l"), F.col("_known.sales").alias("s"))))
+    rows = c.select("*", F.inline("_sizes")).withColumn("ats", F.col("_v.ats"))
     shown = F.coalesce("display_list_price", "display_price")
     listed = F.when(F.col("_p").isNotNull(), M.yen(F.col("_p.l"))).when(F.col("display_price").isNotNull(), M.yen(shown)).otherwise(M.yen(M.with_tax(F.coalesce(X.nonblank(F.col("c.msrp")), F.col("c.offer_price")))))
     sold = (

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a dictionary that is scanned in order.
+#: Words of a dictionary that is scanned in order within the plan.
 MOST_WORDS = 5_000
+#: Words of one automaton that every executor gets; a larger dictionary has several.
+PART_WORDS = 500_000
 
 
 def color_lookups(sheet: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -50,19 +54,54 @@ def equal_lookup(df: DataFrame, key: str, dictionary: DataFrame, default: Column
     return found.withColumn(out, F.coalesce("_value", default) if default is not None else F.col("_value")).drop("_value")
 
 
-def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, out: str = "value") -> DataFrame:
-    """The value of the first dictionary row (pos, word, value) whose word the text holds.
+def _in_automaton(text: Column, words: list[tuple[str, str | None]]) -> Column:
+    """struct<hit, value> of the first of `words` (word, value) that a text holds, in Arrow batches; null without one."""
 
-    The dictionary, MOST_WORDS rows at most (more raise), becomes one literal
-    array that is scanned in order: no join, and no pair of rows.
+    @F.pandas_udf("hit boolean, value string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        own, empty = _automaton(words)
+        places = lambda t: [k for _, k in own.iter(t)] if len(own) else []
+        found = [None if t is None else min([*places(t), *([] if empty is None else [empty])], default=None) for t in texts]
+        return pd.DataFrame({"hit": [k is not None for k in found], "value": [None if k is None else words[k][1] for k in found]})
+
+    got = run(text)
+    return F.when(got["hit"], got)
+
+
+def _automaton(words: list[tuple[str, str | None]]) -> tuple[ahocorasick.Automaton, int | None]:
+    """The automaton of the words that are not empty, each with its first place, and the place of the first empty one."""
+    own, empty = ahocorasick.Automaton(), None
+    for k, (word, _) in enumerate(words):
+        if not word:
+            empty = k if empty is None else empty
+        elif word not in own:
+            own.add_word(word, k)
+    if len(own):
+        own.make_automaton()
+    return own, empty
+
+
+def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, out: str = "value", most_words: int = MOST_WORDS, part_words: int = PART_WORDS) -> DataFrame:
+    """The value of the first dictionary row (pos, word, value) whose word the text holds; null words hold nowhere.
+
+    A dictionary of up to `most_words` becomes one literal array that is scanned in
+    order: no join, and no pair of rows.  A larger one becomes an automaton, or one
+    for each `part_words` of it in order, that finds all words of a text at once.
     """
-    rows = dictionary.select("pos", F.col(key).alias("word"), F.col("value").cast("string").alias("value")).orderBy("pos", "word").take(MOST_WORDS + 1)
-    if len(rows) > MOST_WORDS:
-        raise ValueError(f"a dictionary of more than {MOST_WORDS} words has to be split")
-    if not rows:
+    rows = dictionary.select("pos", F.col(key).cast("string").alias("word"), F.col("value").cast("string").alias("value")).where("word is not null").orderBy("pos", "word")
+    words = [(r.word, r.value) for r in rows.take(most_words + 1)]
+    if not words:
         return df.withColumn(out, F.lit(None).cast("string"))
-    entries = F.array(*[F.struct(F.lit(r.word).alias("word"), F.lit(r.value).alias("value")) for r in rows])
-    return df.withColumn(out, F.get(F.filter(entries, lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"])
+    if len(words) <= most_words:
+        entries = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(v).alias("value")) for w, v in words])
+        return df.withColumn(out, F.get(F.filter(entries, lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"])
+    parts: list[list[tuple[str, str | None]]] = [[]]
+    for r in rows.toLocalIterator():
+        if len(parts[-1]) == part_words:
+            parts.append([])
+        parts[-1].append((r.word, r.value))
+    found = [_in_automaton(F.col(text), part) for part in parts]
+    return df.withColumn(out, F.coalesce(*found)["value"])
 
 
 def multi_value(*charts: DataFrame) -> DataFrame:

@@ -59,9 +59,9 @@ def size_charts(sheet: DataFrame, listing: DataFrame, brand: Column, base: str,
     first = first.withColumn("_made", F.coalesce(trimmed(F.col("Description")), F.lit("")) != "")
     charts = first.where("_made").select("sheet", F.col("_code").alias("code"), F.concat_ws("/", F.lit("sizetoimg"), "_brand", F.concat("_code", F.lit(".jpg"))).alias("key"), chart_html(F.col("Description"), F.col("_brand")).alias("html"))
     charts = charts.withColumn("hash", F.md5(F.col("html").cast("binary"))).withColumn("url", versioned(base, F.col("key"), F.col("hash")))
-    made = first.select("sheet", "_run", "_made").join(with_runs(rows.where("_code is not null"), ["sheet"], ["pos"], F.col("_code"), "_run").select("sheet", "_run", "_code").distinct(), ["sheet", "_run"])
+    made = first.select("sheet", "_run", "_made")
     url = charts.select(F.col("sheet").alias("_s"), F.col("code").alias("_c"), F.col("url").alias("_new")).dropDuplicates(["_s", "_c"])
-    out = coded.join(made.drop("_code"), ["sheet", "_run"], "left").join(url, (F.col("sheet") == F.col("_s")) & (F.col("_code") == F.col("_c")), "left")
+    out = coded.join(made, ["sheet", "_run"], "left").join(url, (F.col("sheet") == F.col("_s")) & (F.col("_code") == F.col("_c")), "left")
     image = F.coalesce("_there", F.when(F.col("_made"), F.col("_new")), F.lit(""))
     outcome = F.when(F.col("_there").isNotNull(), "reused").when(F.col("_made"), "created").otherwise("blank")
     none = rows.where("_code is null").select(*sheet.columns, F.lit("").alias("size_image"), F.lit("no code").alias("outcome"))

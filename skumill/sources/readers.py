@@ -1,15 +1,16 @@
 """Readers: seed lists, headed and headerless tables, logs, listings, pages.
 
-Each gives rows an explicit position, since results depend on source order.  The
-position is the file name's rank and the row's place in its file, both kept in
-one sortable number.
+Each gives rows an explicit position, since results depend on source order: files
+in the order of their paths, rows in the order of their file, numbered from 0.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .. import schemas as S
 from ..functions.html import valid_text
@@ -18,9 +19,27 @@ from ..functions.urls import canonical_product
 from ..operators.dedupe import first_rows
 
 
-def _positioned(df: DataFrame) -> DataFrame:
-    """A position that grows with the file and the row; Spark reads a text file's splits in order."""
-    return df.withColumn("pos", F.monotonically_increasing_id())
+def _positioned(df: DataFrame, line: str | None = None) -> DataFrame:
+    """`df` with pos, the row's number over all of its files, and on request its number within its file.
+
+    Spark packs the pieces of files into tasks by size, so a row's place comes from
+    its file, the start of its piece and its rank within it; a table with one row
+    for each piece tells how many rows come before.  A table that is not read
+    from files keeps the order that Spark has it in.
+    """
+    try:
+        raw = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_row"))
+    except AnalysisException:
+        if line:
+            raise
+        return df.withColumn("pos", F.monotonically_increasing_id())
+    pieces = raw.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first")
+    every, own = Window.orderBy("_file", "_start"), Window.partitionBy("_file").orderBy("_start")
+    pieces = pieces.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"), before(every).alias("_before"), before(own).alias("_inside"))
+    placed = raw.join(pieces, (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+    added = [(F.col("_row") + F.col("_before")).alias("pos"), *([(F.col("_row") + F.col("_inside")).alias(line)] if line else [])]
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], *added)
 
 
 def seed_list(spark: SparkSession, path: str, default: list[str] | None = None) -> DataFrame:
@@ -46,11 +65,9 @@ def sku_table(df: DataFrame, column: str = "sku") -> DataFrame:
 
 
 def positional_table(spark: SparkSession, path: str, names: list[str], skip: int, schema: T.StructType | None = None) -> DataFrame:
-    """A headerless CSV by column position, without its first `skip` rows; the columns of `schema` are cast."""
+    """A headerless CSV by column position, without the first `skip` rows of each file; the columns of `schema` are cast."""
     raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path, header=False, multiLine=False, enforceSchema=True)
-    raw = _positioned(raw)
-    head = raw.select(F.spark_partition_id().alias("_p"), "pos").where("_p = 0").orderBy("pos").limit(skip)
-    rows = raw.join(F.broadcast(head.select("pos")), "pos", "left_anti") if skip else raw
+    rows = _positioned(raw, "_line").where(F.col("_line") >= skip)
     kinds = {f.name: f.dataType for f in (schema.fields if schema else [])}
     return rows.select("pos", *[F.col(n).try_cast(kinds[n]).alias(n) if n in kinds else F.col(n) for n in names])
 
@@ -80,15 +97,21 @@ def newest(spark: SparkSession, pattern: str, reader: str = "csv", smallest: boo
 
 
 def headed_lines(spark: SparkSession, path: str, header: str = "brand\t") -> DataFrame:
-    """(pos, value) of a tab-separated text, without its first line if that is a header."""
-    lines = _positioned(spark.read.text(path))
-    return lines.where(~((F.col("pos") == 0) & F.ltrim("value").startswith(header)))
+    """(pos, value) of a tab-separated text, without the first line of a file if that is a header."""
+    lines = _positioned(spark.read.text(path), "_line")
+    return lines.where(~((F.col("_line") == 0) & F.ltrim("value").startswith(header))).select("pos", "value")
 
 
 def work_log(spark: SparkSession, path: str, schema: str = "url string, rows array<string>") -> DataFrame:
-    """Completed work from JSON lines: corrupt lines are dropped and the last line of a url counts."""
-    log = _positioned(spark.read.schema(schema).json(path, mode="DROPMALFORMED")).where("url is not null")
-    return log.groupBy("url").agg(F.max_by(F.struct(*[c for c in log.columns if c not in ("url", "pos")]), "pos").alias("_r")).select("url", "_r.*")
+    """Completed work from JSON lines: corrupt lines are dropped and the last line of a url counts, by run and by place in its run.
+
+    `append_log` stamps the run; lines without a stamp come before all runs, in
+    the order of their files.
+    """
+    log = _positioned(spark.read.schema(f"{schema}, _run bigint, _place bigint").json(path, mode="DROPMALFORMED")).where("url is not null")
+    made = ("url", "pos", "_run", "_place")
+    order = F.struct(F.coalesce("_run", F.lit(-1)), F.coalesce("_place", F.lit(-1)), "pos")
+    return log.groupBy("url").agg(F.max_by(F.struct(*[c for c in log.columns if c not in made]), order).alias("_r")).select("url", "_r.*")
 
 
 def pages(df: DataFrame) -> tuple[DataFrame, DataFrame]:

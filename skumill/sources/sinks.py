@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -62,8 +63,11 @@ def write_lines(df: DataFrame, path: str, columns: Sequence[str], header: str |
         df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1).write.mode("append").text(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def append_log(df: DataFrame, path: str, order: str | None = None, run: int | None = None) -> None:
+    """Append JSON lines under a run's stamp (the time in microseconds by default); `order` names a column that orders them."""
+    stamp = time.time_ns() // 1000 if run is None else run
+    place = F.col(order).cast("bigint") if order else F.monotonically_increasing_id()
+    df.select("*", F.lit(stamp).cast("bigint").alias("_run"), place.alias("_place")).write.mode("append").json(path)
 
 
 def append_errors(df: DataFrame, path: str, run_ts: str) -> None:
