@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,28 +19,12 @@ from .operators import reconcile as R
 from .operators import stores as K
 from .operators import titles as Ti
 from .plans.profiles import profile
+from .registry import Query, registered, registered_sql
+from .registry import query as _query
+from .registry import table as _table
 from .sources import sinks as O
 from .streaming import incremental as I
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def _query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # --- supply and listing tables derived from part and lineitem -----------------
 
 _LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -279,10 +261,15 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.completeness(docs, _table(spark, sf_dir, "labels"), docs.where("doc_id is null"), "doc_id")
 
 
-@_query("SELECT md5(string_agg(n_name, chr(10) ORDER BY n_nationkey))[1:12] AS ordered, md5(string_agg(n_name, '|' ORDER BY n_name))[1:8] AS sorted FROM nation")
+@_query(
+    """SELECT o_custkey, md5(string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY o_orderkey))[1:12] AS ordered, md5(string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY CAST(o_orderkey AS VARCHAR)))[1:8] AS sorted
+FROM orders GROUP BY o_custkey"""
+)
 def job_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("pos"), "n_name")
-    return I.job_signature(n, "n_name").withColumnRenamed("job", "ordered").crossJoin(I.job_signature(n, "n_name", 8, False).withColumnRenamed("job", "sorted"))
+    """Each customer's orders as a seed list, in order and regardless of it."""
+    o = _table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("seed"))
+    in_order, any_order = I.job_signature(o, "seed", by=["o_custkey"]), I.job_signature(o, "seed", 8, False, by=["o_custkey"])
+    return in_order.withColumnRenamed("job", "ordered").join(any_order.withColumnRenamed("job", "sorted"), "o_custkey")
 
 
 # --- dictionaries ------------------------------------------------------------
@@ -515,14 +502,15 @@ def generic_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.generic_products(pages, "house").select("url", "model", "color", F.array_join("sizes", ",").alias("sizes"), "msrp")
 
 
-@_query("SELECT CAST(n_nationkey // 5 AS BIGINT) AS seed, n_nationkey % 5 AS step, 'https://shop.example/list/' || CAST(n_nationkey AS VARCHAR) AS url FROM nation")
+@_query("SELECT p_partkey // 50 AS seed, CAST(p_partkey % 50 AS INTEGER) AS step, 'https://shop.example/list/' || p_partkey AS url FROM part")
 def next_page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_nationkey")
+    """A list page for each part, in chains of fifty pages."""
+    k = F.col("p_partkey")
     at = lambda c: F.concat(F.lit("https://shop.example/list/"), c.cast("string"))
-    more = F.when(n % 5 < 4, F.concat(F.lit('<a class="see-more-button" data-url="/list/'), (n + 1).cast("string"), F.lit('">'))).otherwise("")
-    pages = _table(spark, sf_dir, "nation").select(at(n).alias("url"), more.alias("html"))
-    seeds = _table(spark, sf_dir, "nation").where("n_nationkey % 5 = 0").select(at(n).alias("seed_url"))
-    return E.page_chain(pages, seeds).select(F.floor(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("int") / 5).alias("seed"), "step", "url")
+    p = _table(spark, sf_dir, "part").select("p_partkey")
+    more = F.when(k % 50 < 49, F.concat(F.lit('<a class="see-more-button" data-url="/list/'), (k + 1).cast("string"), F.lit('">'))).otherwise("")
+    pages, seeds = p.select(at(k).alias("url"), more.alias("html")), p.where("p_partkey % 50 = 0").select(at(k).alias("seed_url"))
+    return E.page_chain(pages, seeds).select(F.floor(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("bigint") / 50).alias("seed"), "step", "url")
 
 
 @_query("SELECT p_brand || '-' || split_part(p_name, ' ', 1) || '-' || CAST(p_size AS VARCHAR) AS sku, split_part(p_name, ' ', 1) AS color, 'Shade' AS color_name, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS price, 'A' AS shop1, 'あり' AS stock1, 'B' AS shop2, 'わずか' AS stock2 FROM part")
@@ -543,8 +531,11 @@ def color_of_sku(sku):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    from . import queries_brands, queries_pages, queries_tables  # noqa: F401
+
+    return registered()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return registered_sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,10 +13,13 @@ from ..functions.urls import signature
 from ..operators.dedupe import pending
 
 
-def job_signature(seeds: DataFrame, column: str, length: int = 12, ordered: bool = True) -> DataFrame:
-    """One row with a job's signature over its seed list, which is small by nature."""
+def job_signature(seeds: DataFrame, column: str, length: int = 12, ordered: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """The signature of a job's seed list (pos and `column`), one row, or one for each job of `by`.
+
+    A job's list is small by nature: it becomes one array.
+    """
     every = F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col(column).alias("v")))), lambda x: x["v"])
-    return seeds.agg(signature(every, length, "\n" if ordered else "|", ordered).alias("job"))
+    return seeds.groupBy(*by).agg(signature(every, length, "\n" if ordered else "|", ordered).alias("job"))
 
 
 def fresh_state(state: DataFrame, now: Column, hours: float, stamp: str = "ts") -> DataFrame:
