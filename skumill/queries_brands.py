@@ -31,7 +31,7 @@ def goods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BASE = f"""lines AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(_LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1),
 offers AS (SELECT l_orderkey * 100 + l_linenumber AS pos, l_partkey AS k, p_size AS size, split_part(p_name, ' ', 1) AS word, substr(p_brand, 7) AS d, l_extendedprice AS cost FROM lines JOIN part ON l_partkey = p_partkey),
-goods AS (SELECT p_partkey AS pos, p_size AS size, split_part(p_name, ' ', 1) AS word, substr(p_brand, 7) AS d, p_retailprice AS msrp, p_retailprice * 0.9::DOUBLE AS discounted_price, p_partkey % 7 AS quantity FROM part)"""
+goods AS (SELECT p_partkey AS pos, p_size AS size, split_part(p_name, ' ', 1) AS word, substr(p_brand, 7) AS d, p_retailprice AS msrp, p_retailprice * 0.9::DOUBLE AS discounted_price, CAST(p_partkey % 7 AS INTEGER) AS quantity FROM part)"""
 
 
 def _match(o: str, s: str, color: str = "o.color = s.color", first: str = "") -> str:
