@@ -37,6 +37,8 @@ from .textscan import column_bytes, slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens whose steps one worker remembers.
 REMEMBER = 400_000
+#: Bytes of the pre-tokens kept so, and pairs of tokens judged, before a worker forgets them.
+REMEMBER_BYTES, REMEMBER_PAIRS = 64 << 20, 2_000_000
 
 
 class ByteBPE:
@@ -65,12 +67,17 @@ class _Known(dict):
     """Steps by pre-token, found on first use."""
 
     def __init__(self, find: Callable[[str], bytes]) -> None:
-        self.find = find
+        self.find, self.size = find, 0
 
     def __missing__(self, word: str) -> bytes:
         got = self[word] = self.find(word)
+        self.size += 4 * len(word) + len(got)
         return got
 
+    def clear(self) -> None:
+        super().clear()
+        self.size = 0
+
 
 class PrefixCounter:
     """One worker's tables: a trie of reversed tokens, the pairs judged so far and the pre-tokens seen last."""
@@ -93,6 +100,8 @@ class PrefixCounter:
         key = a << 20 | b
         ok = self.pairs.get(key)
         if ok is None:
+            if len(self.pairs) >= REMEMBER_PAIRS:
+                self.pairs.clear()
             of = self.model.bytes_of
             ok = self.pairs[key] = self.model.merged(of[a] + of[b]) == [a, b]
         return ok
@@ -137,7 +146,7 @@ class PrefixCounter:
     def plain(self, text: str) -> bytes:
         """The steps of a text without special strings."""
         words = self.split(text)
-        if len(self.known) >= REMEMBER:
+        if len(self.known) >= REMEMBER or self.known.size >= REMEMBER_BYTES:
             self.known.clear()
         steps = b"".join(map(self.known.__getitem__, words))
         if self._gaps(text):
@@ -191,13 +200,13 @@ def _counter(sent: Broadcast) -> PrefixCounter:
     return _counters[sent.value.key]
 
 
-def with_prefix_counts(docs: DataFrame, path: str, steps: str = "__steps", total: str = "__n_tokens") -> DataFrame:
-    """`docs` with the prefix steps of each whole text (binary) and its token count.
+def with_prefix_counts(docs: DataFrame, path: str, steps: str = "__steps", total: str = "__n_tokens", fit: str = "__fit", budget: int = 512) -> DataFrame:
+    """`docs` with the prefix steps of each whole text (binary), its token count and the characters that `budget` tokens hold.
 
     A null text counts as empty: no steps, 0 tokens.  The vocabulary's special
     strings in a text are one token each, as the library encodes by default.
     """
-    refuse_clashes(docs, steps, total)
+    refuse_clashes(docs, steps, total, fit)
     sent = docs.sparkSession.sparkContext.broadcast(ByteBPE(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +217,10 @@ def with_prefix_counts(docs: DataFrame, path: str, steps: str = "__steps", total
                 some = batch.slice(i, j - i)
                 got = [own.steps(t) if t else b"" for t in some.column("text").to_pylist()]
                 sums = [int(prefix_counts(s)[-1]) for s in got]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(got, pa.binary()), pa.array(sums, pa.int64())], [*batch.schema.names, steps, total])
+                fits = [len(s) if n <= budget else longest_within(s, budget) for s, n in zip(got, sums, strict=True)]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(got, pa.binary()), pa.array(sums, pa.int64()), pa.array(fits, pa.int64())], [*batch.schema.names, steps, total, fit])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(steps, T.BinaryType()), T.StructField(total, T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(steps, T.BinaryType()), *[T.StructField(n, T.LongType()) for n in (total, fit)]]))
 
 
 def within_budget(counted: DataFrame, budget: int, steps: str = "__steps", text: str = "text", out: str = "__within") -> DataFrame:
@@ -225,6 +235,11 @@ def within_budget(counted: DataFrame, budget: int, steps: str = "__steps", text:
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
-    """doc_id, n_bytes, n_tokens and over_limit of every row of `docs`; the count is that of the longest prefix."""
-    done = with_prefix_counts(docs.select("doc_id", F.col("text").cast("string").alias("text")), path)
-    return done.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.col("__n_tokens").alias("n_tokens"), (F.col("__n_tokens") > limit).alias("over_limit"))
+    """doc_id, n_bytes, n_tokens, over_limit and fit_chars of every row of `docs`.
+
+    The count is that of the longest prefix; fit_chars is where a text would have
+    to be cut to hold `limit` tokens at most, read off the prefix steps.
+    """
+    done = with_prefix_counts(docs.select("doc_id", F.col("text").cast("string").alias("text")), path, budget=limit)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return done.select("doc_id", n_bytes.alias("n_bytes"), F.col("__n_tokens").alias("n_tokens"), (F.col("__n_tokens") > limit).alias("over_limit"), F.col("__fit").alias("fit_chars"))
