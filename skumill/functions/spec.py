@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,8 +32,8 @@ SHORT_CODES = ("BLK", "WHI", "INBK", "OLGG")
 #: Letter sizes that end the scan of a specification. Fixed values.
 USUAL_SIZES = ("S", "M", "L", "XS", "XL", "XXS", "XXL", "XXXL")
 
-_OUTER = r"[(（]((?:[^()（）]|[(（][^()（）]*[)）])*)[)）]"
-_INNER = r"[(（]([^()（）]*)[)）]"
+_OUTER = r"[(（]([^()（）]*)[)）]"
+_NESTED = r"[(（][^()（）]*[(（]"
 
 
 def strip_chars(c: Column, chars: str) -> Column:
@@ -95,41 +94,41 @@ def _pieces(parts: Column) -> Column:
 def split_brackets(c: Column) -> Column:
     """A size with brackets and slashes as a comma list: what stands outside, then each bracket by its start.
 
-    Brackets of either width pair with each other; one level of nesting is read
-    natively, `split_deep_brackets` has no limit.
+    Brackets of either width pair with each other.  A bracket inside a bracket is
+    read by `split_deep_brackets`, at any depth.
     """
     outers = F.regexp_extract_all(c, F.lit(_OUTER), F.lit(1))
-    contents = F.flatten(F.transform(outers, lambda o: F.concat(F.array(F.trim(o)), F.transform(F.regexp_extract_all(o, F.lit(_INNER), F.lit(1)), lambda v: F.trim(v)))))
-    inside = F.flatten(F.transform(contents, lambda x: F.when(x.contains("/"), _pieces(F.split(x, "/"))).otherwise(F.array(x))))
+    contents = F.transform(outers, lambda o: F.trim(o))
     outside = _pieces(F.split(F.trim(F.regexp_replace(c, _OUTER, "")), "/"))
-    return F.when(F.size(outers) > 0, F.array_join(F.concat(outside, inside), ",")).when(c.contains("/"), F.array_join(_pieces(F.split(c, "/")), ",")).otherwise(c)
+    flat = F.when(F.size(outers) > 0, F.array_join(F.concat(outside, _bodies(contents)), ",")).when(c.contains("/"), F.array_join(_pieces(F.split(c, "/")), ",")).otherwise(c)
+    return F.when(c.rlike(_NESTED), split_deep_brackets(c)).otherwise(flat)
+
+
+def _bodies(contents: Column) -> Column:
+    """The contents of brackets, those with slashes in pieces."""
+    return F.flatten(F.transform(contents, lambda x: F.when(x.contains("/"), _pieces(F.split(x, "/"))).otherwise(F.array(x))))
 
 
 def split_deep_brackets(c: Column) -> Column:
-    """`split_brackets` for any depth of nesting, in Arrow batches."""
-
-    def one(s: str) -> str:
-        stack, pairs = [], []
-        for i, ch in enumerate(s):
-            if ch in "(（":
-                stack.append(i)
-            elif ch in ")）" and stack:
-                pairs.append((stack.pop(), i))
-        if not pairs:
-            return ",".join(p.strip() for p in s.split("/") if p.strip()) if "/" in s else s
-        covered = {i for a, b in pairs for i in range(a, b + 1)}
-        rest = "".join(ch for i, ch in enumerate(s) if i not in covered).strip()
-        out = [p.strip() for p in rest.split("/") if p.strip()]
-        for a, b in sorted(pairs):
-            body = s[a + 1 : b].strip()
-            out += [p.strip() for p in body.split("/") if p.strip()] if "/" in body else [body]
-        return ",".join(out)
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(one, na_action="ignore")
-
-    return run(c)
+    """`split_brackets` for any depth of nesting: one pass over the characters pairs the brackets."""
+    chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.struct(i.alias("i"), F.substring(c, i, F.lit(1)).alias("ch")))
+    empty = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast("array<struct<a:int,b:int>>").alias("pairs"))
+
+    def step(state: Column, x: Column) -> Column:
+        opens, closes = x["ch"].isin("(", "（"), x["ch"].isin(")", "）") & (F.size(state["open"]) > 0)
+        left = F.when(opens, F.array_append(state["open"], x["i"])).when(closes, F.slice(state["open"], F.lit(1), F.size(state["open"]) - 1)).otherwise(state["open"])
+        pair = F.struct(F.try_element_at(state["open"], F.lit(-1)).alias("a"), x["i"].alias("b"))
+        return F.struct(left.alias("open"), F.when(closes, F.array_append(state["pairs"], pair)).otherwise(state["pairs"]).alias("pairs"))
+
+    def build(pairs: Column) -> Column:
+        outside = F.filter(chars, lambda x: ~F.exists(pairs, lambda p: (p["a"] <= x["i"]) & (x["i"] <= p["b"])))
+        rest = F.trim(F.array_join(F.transform(outside, lambda x: x["ch"]), ""))
+        contents = F.transform(F.array_sort(pairs), lambda p: F.trim(F.substring(c, p["a"] + 1, p["b"] - p["a"] - 1)))
+        whole = F.when(c.contains("/"), F.array_join(_pieces(F.split(c, "/")), ",")).otherwise(c)
+        return F.when(F.size(pairs) > 0, F.array_join(F.concat(_pieces(F.split(rest, "/")), _bodies(contents)), ",")).otherwise(whole)
+
+    # the pairs are bound once, as the only element of an array
+    return F.when(c.isNotNull(), F.transform(F.array(F.aggregate(chars, empty, step, lambda s: s["pairs"])), build)[0])
 
 
 def without_size_words(c: Column) -> Column:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +10,7 @@ from ..functions import html as H
 from ..functions import price as M
 from ..functions import text as X
 from ..functions import urls as U
+from ..sources.sinks import written
 from .dedupe import first_rows, union_first
 
 _PRODUCT = "`@type` string, `@id` string, productGroupID string, name string, description string, brand string, color string, sku string, mpn string, size string, image string, offers string, price string, listPrice string, gtin13 string, gtin12 string, gtin string"
@@ -30,19 +28,6 @@ def _bound(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", made.alias("_made")).select(*[c for c in df.columns if c not in columns], "_made.*")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read again, so that rounds don't pile up in one plan."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
-        root = "file://" + tempfile.mkdtemp(prefix="skumill-")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good pages, failures (url, error)) of pages (url, status, html)."""
     marked = pages.withColumn("error", H.page_error(F.col("status"), F.col("html")))
@@ -71,18 +56,18 @@ def page_chain(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """
     found = _bound(pages.select("url", "html"), _l=U.plain_url(H.next_page(F.col("html"))))
     nexts = found.select("url", U.absolute(F.col("_l"), F.col("url")).alias("next_url")).where("next_url is not null and next_url <> url")
-    jump = _written(nexts.distinct(), "chain-jumps")
-    chain = _written(seeds.select("seed_url", F.col("seed_url").alias("url"), F.lit(0).alias("step")).distinct(), "chain")
+    jump = written(nexts.distinct(), "chain-jumps")
+    chain = written(seeds.select("seed_url", F.col("seed_url").alias("url"), F.lit(0).alias("step")).distinct(), "chain")
     leap = 1
     while True:
         ahead = chain.join(jump, "url").select("seed_url", F.col("next_url").alias("url"), (F.col("step") + leap).alias("step"))
         ahead = ahead.groupBy("seed_url", "url").agg(F.min("step").alias("step"))
-        new = _written(ahead.join(chain, ["seed_url", "url"], "left_anti"), "chain-new")
+        new = written(ahead.join(chain, ["seed_url", "url"], "left_anti"), "chain-new")
         if new.isEmpty():
             return chain
-        chain = _written(chain.unionByName(new), "chain")
+        chain = written(chain.unionByName(new), "chain")
         far = jump.select("url", F.col("next_url").alias("_mid")).join(jump.toDF("_mid", "next_url"), "_mid")
-        jump, leap = _written(far.select("url", "next_url").distinct(), "chain-jumps"), 2 * leap
+        jump, leap = written(far.select("url", "next_url").distinct(), "chain-jumps"), 2 * leap
 
 
 def seed_links(pages: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -364,12 +349,12 @@ def nested_objects(pages: DataFrame) -> DataFrame:
     kind = F.schema_of_variant("object")
     holds = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     level = pages.select("url", F.posexplode(scripts).alias("_k", "_t")).select("url", F.lpad(F.col("_k").cast("string"), 6, "0").alias("pos"), F.try_parse_json("_t").alias("object")).where("object is not null")
-    level = _written(level.where(holds), "nested")
+    level = written(level.where(holds), "nested")
     found = level.where(kind.startswith("OBJECT"))
     while not level.isEmpty():
         level.createOrReplaceTempView("_nested_level")
         inner = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM _nested_level t, LATERAL variant_explode(t.object) v")
-        level = _written(inner.where(holds), "nested")
+        level = written(inner.where(holds), "nested")
         found = found.unionByName(level.where(kind.startswith("OBJECT")))
     return found
 

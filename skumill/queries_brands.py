@@ -55,6 +55,35 @@ def _values(name: str, pairs: dict) -> str:
     return f"{name}(eu, jp) AS (VALUES {', '.join(f'({k}, {v!r})' for k, v in pairs.items())})"
 
 
+# --- size lists ------------------------------------------------------------------
+
+
+@query(
+    _match(
+        "'Q' || d AS model, '' AS color, unnest(CASE k % 3 WHEN 0 THEN [CAST(size + 1 AS VARCHAR), '4XL'] WHEN 1 THEN [CAST(size AS VARCHAR), CAST(size + 2 AS VARCHAR), '3XL'] ELSE [CAST(size AS VARCHAR)] END) AS z",
+        "'Q' || d AS model, '' AS color, CASE WHEN pos % 9 = 0 THEN '4XL' WHEN pos % 9 = 1 THEN '3XL' ELSE CAST(size AS VARCHAR) END AS z",
+    )
+)
+def brand_size_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes in nested brackets of both widths, behind slashes, and by JP."""
+    spec = "CASE k % 3 WHEN 0 THEN concat('黑 SIZE XXXXL(', size, '（', size + 1, ')）') WHEN 1 THEN concat('黑1双装 SZIE ', size, '/', size + 2, '（XXXL)') ELSE concat('黑 JP ', size, ' x') END"
+    return _found(spark, sf_dir, "size_list", {"article": "concat('q', d)", "spec": spec}, {"model": "concat('Q', d)", "color": "'any'", "size": "CASE WHEN pos % 9 = 0 THEN '4XL' WHEN pos % 9 = 1 THEN '3XL' ELSE concat(size, '.0') END"})
+
+
+@query(
+    f"""WITH {_BASE}, p AS (SELECT o.pos, CASE WHEN o.k % 4 = 0 THEN '' ELSE o.word END AS c, CASE WHEN o.k % 6 = 0 THEN '' ELSE CAST(o.size AS VARCHAR) END AS z,
+  CASE WHEN g.pos % 5 = 0 THEN '' ELSE g.word END AS sc, CASE WHEN g.pos % 8 = 0 THEN '' ELSE CAST(g.size AS VARCHAR) END AS sz FROM offers o JOIN goods g ON g.pos = o.k // 2)
+SELECT pos, (c = sc AND z = sz) OR (c = '' AND sc = '' AND z = sz) OR (c = sc AND z = '' AND sz = '') AS fits FROM p"""
+)
+def three_way_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three-way condition itself, on pairs of a line item and another part."""
+    o = offers(spark, sf_dir).selectExpr("pos", "k div 2 AS g", "CASE WHEN k % 4 = 0 THEN '' ELSE word END AS c", "CASE WHEN k % 6 = 0 THEN NULL ELSE cast(size AS string) END AS z")
+    g = goods(spark, sf_dir).selectExpr("pos AS g", "CASE WHEN pos % 5 = 0 THEN '' ELSE word END AS sc", "CASE WHEN pos % 8 = 0 THEN '' ELSE cast(size AS string) END AS sz")
+    rows = o.join(g, "g")
+    fits = R.three_way(rows.c, rows.z, rows.sc, rows.sz)
+    return rows.select("pos", fits.alias("fits"))
+
+
 # --- article with a colour behind its last hyphen, sizes by SIZE, JP and US -----
 
 

@@ -11,6 +11,7 @@ from .functions import urls as U
 from .operators import extract as E
 from .operators import stores as K
 from .registry import query, table
+from .sources import sinks as O
 
 SITE = "https://shop.example"
 IMAGES = "https://" + H.IMAGE_HOST
@@ -43,6 +44,20 @@ def page_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("url", "title", "model", "u_model", "color", "size", "msrp", "stock_status", "quantity")
 
 
+@query("SELECT 'https://shop.example/p/prod' || p_partkey || '.html' AS url, CASE WHEN p_partkey % 4 = 0 THEN 'malformed data layer' ELSE 'HTTP 503' END AS error FROM part WHERE p_partkey % 4 IN (0, 1)")
+def failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose data is no JSON or that did not load, in a failure table; a table of none is not written."""
+    html = "concat('<h1>', p_name, '</h1>', CASE WHEN p_partkey % 4 = 0 THEN '<script>digitalData.product.push({\"a\":});</script>' ELSE '' END)"
+    pages = _pages(spark, sf_dir, "concat('https://shop.example/p/prod', p_partkey, '.html')", html, "CASE WHEN p_partkey % 4 = 1 THEN 503 ELSE 200 END AS status")
+    loaded, lost = E.split_pages(pages)
+    _, malformed = E.variant_rows(loaded, "house", "https://i.example/")
+    path = O.fresh_path(spark, "failures")
+    O.write_failures(lost.unionByName(malformed), path)
+    if O.write_failures(lost.where("false"), path + "-none"):
+        raise AssertionError("an empty failure table was written")
+    return spark.read.parquet(path)
+
+
 @query(
     """SELECT 'https://shop.example/p/prod' || p_partkey || '.html' AS url, 'K' || s AS sku, CAST(CAST(CASE WHEN s = 1 THEN floor(p_retailprice) + 9 ELSE floor(p_retailprice) END AS BIGINT) AS VARCHAR) AS msrp,
   CASE WHEN s = 1 THEN '' ELSE CAST(CAST(floor(p_retailprice * 0.5::DOUBLE) AS BIGINT) AS VARCHAR) END AS discounted_price FROM part, (VALUES (1), (2)) v(s)"""

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +19,6 @@ from .sources import sinks as O
 from .streaming import incremental as I
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="skumill-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _part(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr("p_partkey AS k", *columns)
 
@@ -123,7 +114,7 @@ def charts_reused(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey AS k, 'https://cdn.example/b/m' || p_partkey || '/a.jpg' || CASE WHEN p_partkey % 2 = 0 THEN ';https://cdn.example/b/m' || p_partkey || '/image_1.jpg' ELSE '' END AS urls FROM part WHERE p_partkey % 5 <> 0")
 def manifest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated lines with a header written, read, turned into images and folded back; short lines are rejected."""
-    path = _folder(spark, "manifest")
+    path = O.fresh_path(spark, "manifest")
     rows = _part(spark, sf_dir).selectExpr("k", "'b' AS brand", "CASE WHEN k % 5 = 0 THEN NULL ELSE concat('m', k) END AS model", "CASE WHEN k % 5 = 0 THEN NULL WHEN k % 2 = 0 THEN 'https://i/a.jpg; https://i/x' ELSE 'https://i/a.jpg?y' END AS urls")
     O.write_lines(rows, path, ["brand", "model", "urls"], header="brand\tmodel\turls")
     images, rejects = J.image_manifest(R.headed_lines(spark, path), "https://cdn.example")
@@ -191,7 +182,7 @@ def outcome_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'https://h/' || k AS seed_url, place - 1 AS pos FROM (SELECT p_partkey AS k, row_number() OVER (ORDER BY p_partkey) AS place FROM part) WHERE k % 4 <> 0 AND k % 7 <> 0")
 def seed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seed list of several files: comments and blank lines go, positions count every line."""
-    path = _folder(spark, "seeds")
+    path = O.fresh_path(spark, "seeds")
     line = "CASE WHEN k % 4 = 0 THEN concat('# ', k) WHEN k % 7 = 0 THEN '  ' ELSE concat(' https://h/', k, ' ') END AS value"
     _in_key_order(_part(spark, sf_dir)).selectExpr(line).write.text(path)
     return R.seed_list(spark, path).select("seed_url", "pos")
@@ -205,7 +196,7 @@ def sku_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_brand AS model, CAST(p_size AS VARCHAR) AS size, p_retailprice AS msrp, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_retailprice / 2 END AS discounted_price, p_name AS color, CAST(p_partkey % 7 AS INTEGER) AS quantity FROM part")
 def supply_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A supply table by column position from files with a header each."""
-    path = _folder(spark, "supply")
+    path = O.fresh_path(spark, "supply")
     rows = _part(spark, sf_dir, "p_brand", "p_size", "p_retailprice", "p_name")
     _in_key_order(rows).selectExpr("p_brand AS a", "p_size AS b", "p_retailprice AS c", "CASE WHEN k % 3 = 0 THEN '-' ELSE cast(p_retailprice / 2 AS string) END AS d", "p_name AS e", "k % 7 AS f", "'r' AS g").write.csv(path, header=True)
     return R.supply_table(spark, path).select("model", "size", "msrp", "discounted_price", "color", "quantity")
@@ -214,7 +205,7 @@ def supply_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'S' || p_partkey AS sku_id, p_brand AS article, CAST(p_size AS INTEGER) AS lead_time, CAST(p_partkey AS DOUBLE) AS my_bid FROM part")
 def listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reconciled listing written in its column order and read again by position, behind three lead rows a file."""
-    path = _folder(spark, "listing")
+    path = O.fresh_path(spark, "listing")
     rows = _part(spark, sf_dir, "p_brand", "p_size").selectExpr("k", "concat('S', k) AS sku_id", "p_brand AS article", "p_size AS lead_time", "cast(k AS double) AS my_bid")
     whole = O.listing_output(rows.drop("k")).select(*S.LISTING_POSITIONS[:39])
     lead = whole.limit(1).select(*[F.lit("lead").alias(c) for c in whole.columns])
@@ -233,7 +224,7 @@ def product_url_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id AS url, max(event_id) AS last, count(*) AS n FROM events GROUP BY user_id")
 def work_log_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log appended in two runs, the later one smaller: the last line of a key counts."""
-    path = _folder(spark, "log")
+    path = O.fresh_path(spark, "log")
     events = table(spark, sf_dir, "events").selectExpr("event_id", "cast(user_id AS string) AS url", "array(cast(event_id AS string)) AS rows")
     last = events.groupBy("url").agg(F.max("event_id").alias("event_id"), F.max_by("rows", "event_id").alias("rows"), F.count("*").alias("n"))
     O.append_log(events.join(last.select("event_id"), "event_id", "left_anti"), path, order="event_id", run=1)
@@ -254,7 +245,7 @@ def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(p_partkey AS VARCHAR) AS sku, coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_name END, '') AS title, '' AS weight FROM part")
 def written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in a declared order of columns, missing cells blank."""
-    path = _folder(spark, "rows")
+    path = O.fresh_path(spark, "rows")
     O.write_rows(_part(spark, sf_dir, "p_name").selectExpr("k AS sku", "CASE WHEN k % 2 = 0 THEN p_name END AS title"), path, ["title", "sku", "weight"])
     return spark.read.parquet(path).select("sku", "title", "weight")
 
@@ -262,7 +253,7 @@ def written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey AS k, '20240102' AS run_ts FROM part WHERE p_partkey % 2 = 0")
 def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of two brands, each under its stamp; a brand's newest counts, and failures have tables of their own."""
-    path, failed = _folder(spark, "runs"), _folder(spark, "failed")
+    path, failed = O.fresh_path(spark, "runs"), O.fresh_path(spark, "failed")
     rows = _part(spark, sf_dir)
     O.write_run(rows, path, "20240101", "x")
     O.write_run(rows.where("k % 2 = 0"), path, "20240102", "x")
@@ -280,7 +271,7 @@ def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id AS url, arg_max(CASE WHEN event_type = 'click' THEN 'failed' ELSE 'done' END, event_id) AS status, count(*) AS attempts FROM events GROUP BY user_id")
 def incremental_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file stream worked off twice: the second call takes the new files only, and the statuses are those of one run."""
-    source, state, out = (_folder(spark, n) for n in ("source", "state", "statuses"))
+    source, state, out = (O.fresh_path(spark, n) for n in ("source", "state", "statuses"))
     events = table(spark, sf_dir, "events").selectExpr("user_id AS url", "event_id AS at", "CASE WHEN event_type = 'click' THEN 'failed' ELSE 'done' END AS status", "event_type AS error")
     for half in (0, 1):
         events.where(F.col("at") % 2 == half).write.mode("append").parquet(source)
@@ -299,7 +290,7 @@ SELECT CAST(user_id AS VARCHAR) AS host, event_id AS ts, CAST(streak AS INTEGER)
 @query(_STREAK)
 def streaming_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of failures in a row from a stream with a state for each host."""
-    source, out, state = (_folder(spark, n) for n in ("hosts", "alerts", "state"))
+    source, out, state = (O.fresh_path(spark, n) for n in ("hosts", "alerts", "state"))
     log = table(spark, sf_dir, "events").selectExpr("cast(user_id AS string) AS host", "event_id AS ts", "event_type = 'click' AS failed")
     log.write.parquet(source)
     alerts = I.streak_stream(spark.readStream.schema(log.schema).parquet(source), every=2, abort=3)

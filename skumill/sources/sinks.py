@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import tempfile
 import time
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.dedupe import latest
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares; a temporary one only in local mode where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
+        root = "file://" + tempfile.mkdtemp(prefix="skumill-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again: its lineage ends here and survives lost executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Declared columns in their order, missing ones and nulls as ''."""
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
