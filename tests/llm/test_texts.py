@@ -7,11 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from skumill.llm import bpe, decontam, quality, tokencount
+from skumill.llm import bpe, decontam, neardup, quality, tokencount
 from skumill.llm.neardup import HASHES, UNSEEN, _forest, bands_for, least_matches, near_duplicates, shingle_sets, signatures_of
 from skumill.llm.textscan import LOWER, NON_SPACE, WORD, span_hashes, word_spans
 
@@ -287,3 +288,27 @@ def test_columns_of_the_operators_own_names(spark):
     long = [(1, ("one two three " * 200_000)), (2, "x " * 500_000)]
     got = decontam.contamination(docs(spark, long), bench).orderBy("doc_id").collect()
     assert [(r.n_words, r.n_hit) for r in got] == [(600_000, 400_000), (500_000, 0)]
+
+
+def test_common_shingles_by_marks_and_by_search():
+    rng = np.random.default_rng(9)
+    flat = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (1, 5, 80, 200, 200, 300)]
+    want = [[len(np.intersect1d(a, b)) for b in flat] for a in flat]
+    every = list(range(len(flat)))
+    for of in (neardup._marked(flat), neardup._searched(flat)):
+        assert [of(h, every).tolist() for h in every] == want
+    col = pa.chunked_array([pa.array([s.tobytes() for s in flat[:2]], pa.binary()), pa.array([b"", *[s.tobytes() for s in flat[2:]]], pa.binary()).slice(1)])
+    assert all(np.array_equal(a, b) for a, b in zip(neardup._views(col), flat, strict=True))
+
+
+def test_large_blocks_are_compared_as_small_ones(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(9999)}" for _ in range(300)]
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.choice((2, 5, 9, 14))):
+            w[rng.randrange(300)] = f"n{rng.randrange(99999)}"
+        rows.append((k, " ".join(w)))
+    monkeypatch.setattr(neardup, "CODED", 0)
+    assert sorted(tuple(r) for r in near_duplicates(docs(spark, rows)).collect()) == _components(rows)
