@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 #: Rows with one key are dealt to this many tasks by `spread_join`.
 SALTS = 8
 
+#: Largest bitmap of `with_maybe_in`: 64 MB.
+MAP_BITS = 1 << 29
+
 #: Largest driver-built value that is sent to every executor, in bytes.
 BROADCAST_BYTES = 64 << 20
 
@@ -77,6 +81,26 @@ def spread_join(many: DataFrame, one: DataFrame, on: str, spread_by: Column, how
     return left.join(right.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
+def with_maybe_in(df: DataFrame, members: DataFrame, on: list[str], name: str) -> DataFrame:
+    """`df` with a column `name`: true for every row whose key is in `members`, and for a few others.
+
+    A bitmap of the keys' hashes, MAP_BITS at most, goes to every executor, so that
+    only rows that may match have to be shuffled for an exact join.  Too many keys
+    only make it say true more often.  Rows with a null in their key get false.
+    """
+    bits = min(MAP_BITS, 1 << max(15, (16 * members.count()).bit_length()))
+    place = lambda d: F.pmod(F.xxhash64(*[d[c] for c in on]), F.lit(bits)) + 1
+    bucket, held, at = (free_name(df, n) for n in ("_bucket", "_bits", "_at"))
+    # one row for each 32 768 bits: 16 384 rows of 4 KB at most
+    maps = members.select(place(members).alias("p")).groupBy(F.bitmap_bucket_number("p").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias(held))
+    known = reduce(lambda a, b: a & b, [df[c].isNotNull() for c in on])
+    placed = df.withColumn(at, F.when(known, place(df)))
+    joined = placed.join(F.broadcast(maps), F.bitmap_bucket_number(placed[at]) == maps[bucket], "left")
+    bit = F.bitmap_bit_position(F.col(at))
+    byte = F.conv(F.hex(F.substr(F.col(held), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return joined.select(*[placed[c] for c in df.columns], F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False)).alias(name))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of `edges` (u, v); the component is its smallest node.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, free_name, spread_join, stored
+from .common import components, discard, free_name, spread_join, stored, with_maybe_in
 from .textscan import LOWER, NON_SPACE, column_bytes, mix, slices, span_hashes, window_hashes, word_spans
 
 SHINGLE = 5
@@ -384,6 +384,7 @@ def _labelled(docs: DataFrame, percent: int, k: int, miss: float) -> DataFrame:
     discard(clusters)
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text")).where("doc_id is not null and digest is not null")
+    texts = with_maybe_in(texts, inside, ["doc_id", "digest"], "_maybe").where("_maybe").drop("_maybe")
     # rows that repeat an id and its text are one member; the join needs no shuffle beyond this one's
     sets = _sets(texts.dropDuplicates(["doc_id", "digest"]).join(inside, ["doc_id", "digest"]), k)
     links = stored(_exact_edges(sets, percent, miss), "links")
@@ -428,7 +429,10 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = SH
     together.  Rows without doc_id or words stay.
     """
     gone = _labelled(docs, percent, k, miss).where(~F.col("leads"))
-    by_id, by_text = free_name(docs, "_gone_id"), free_name(docs, "_gone_text")
+    by_id, by_text, maybe = (free_name(docs, n) for n in ("_gone_id", "_gone_text", "_maybe_gone"))
     gone = stored(gone.select(F.col("doc_id").alias(by_id), F.col("digest").alias(by_text)).distinct(), "gone")
-    here = (docs["doc_id"].cast("long") == gone[by_id]) & (_digest(docs["text"].cast("string")) == gone[by_text])
-    return docs.join(gone, here, "left_anti")
+    marked = docs.withColumn(by_id, F.col("doc_id").cast("long")).withColumn(by_text, _digest(F.col("text").cast("string")))
+    marked = with_maybe_in(marked, gone, [by_id, by_text], maybe)
+    # only rows that may go are shuffled to find out
+    stay = marked.where(F.col(maybe)).join(gone, [by_id, by_text], "left_anti")
+    return marked.where(~F.col(maybe)).unionByName(stay).select(*docs.columns)

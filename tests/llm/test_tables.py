@@ -350,3 +350,18 @@ def test_visibility_follows_the_cascade():
     assert text("<table><tr><td style='visibility:hidden'>secret<td>b<tr><td>x<td>y</table>") == "   b\nx  y"
     long = "<p style='visibility:hidden'>" + "no <i>no</i> " * 100_000 + "</p>" + "<div>" * 5000 + "yes"
     assert text(long) == "yes"
+
+
+def test_a_bitmap_says_true_for_every_member(spark):
+    from skumill.llm.common import with_maybe_in
+
+    rows = [(k, None if k % 10 == 9 else f"t{k}") for k in range(3000)] + [(None, "t1")]
+    df = spark.createDataFrame(rows, "id long, _bits string").selectExpr("*", "1 AS _at", "_bits AS t")
+    members = df.where("id % 7 = 0 and t is not null").select("id", "t")
+    got = with_maybe_in(df, members, ["id", "t"], "maybe")
+    assert got.columns == [*df.columns, "maybe"] and got.count() == len(rows)
+    inside = {(r.id, r.t) for r in members.collect()}
+    said = [((r.id, r.t) in inside, r.maybe) for r in got.collect()]
+    assert all(maybe for own, maybe in said if own)
+    assert sum(maybe for own, maybe in said if not own) < 0.15 * len(said)
+    assert with_maybe_in(df, members.limit(0), ["id", "t"], "maybe").where("maybe").count() == 0
