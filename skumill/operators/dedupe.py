@@ -77,6 +77,8 @@ def with_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Colu
     Where a key has more than `plain_rows` rows, keys are cut into parts along
     the order, so that one that holds most rows is shared by many tasks; what
     crosses a part's bounds comes from a table with one row for each key and part.
+    The sizes of keys are counted first, unless `plain_rows` is 1 << 62 or more,
+    which says that no key is large.
     """
     if plain_rows >= 1 << 62 or _largest(df, by) <= plain_rows:
         one = Window.partitionBy(*by).orderBy(*order)

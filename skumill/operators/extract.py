@@ -14,6 +14,16 @@ from ..sources.sinks import written
 from .dedupe import first_rows, union_first
 
 _PRODUCT = "`@type` string, `@id` string, productGroupID string, name string, description string, brand string, color string, sku string, mpn string, size string, image string, offers string, price string, listPrice string, gtin13 string, gtin12 string, gtin string"
+#: Markup by which grouped product pages are read, as patterns. Fixed values.
+SWATCH = r"(?is)<button[^>]*product-swatch[^>]*>"
+SIZE_INPUT = r'(?is)<input[^>]*name="size"[^>]*>'
+WEIGHT_HEADING = r'(?is)<h3[^>]*content-feature__heading[^>]*>\s*重さ\s*</h3>\s*<[^>]+>(.*?)</'
+WEIGHT_WORDS = r"(?i)(?:重量|weight)\s*[:：]?\s*([0-9.,]+\s*(?:kg|g|グラム))"
+CARE = r'(?is)id="collapsible-2"[^>]*>(.*?)(?:id="collapsible-\d+"|</section|$)'
+DIMENSION_TABLE = r'(?is)id="collapsible-0"[^>]*>.*?(<table.*?</table>)'
+VARIATION_LINK = r'data-url="([^"]*Product-Variation[^"]*)"'
+JSON_SCRIPT = r"(?is)<script[^>]*type=[\"']application/(?:ld\+)?json[\"'][^>]*>(.*?)</script>"
+
 _LINKED = "array<struct<productInfo:struct<productName:string,sku:string,color:string,size:string>,attributes:struct<stockStatus:string>>>"
 
 
@@ -209,12 +219,12 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
     good = _bound(good, _codes=F.transform("_items", lambda i: i["code"]), _page_price=M.first_yen(F.col("_text")))
     # an element a colour: a swatch each, or the schema's own colours where a page has no swatches
     swatch = F.transform(
-        F.regexp_extract_all(h, F.lit(r"(?is)<button[^>]*product-swatch[^>]*>"), F.lit(0)),
+        F.regexp_extract_all(h, F.lit(SWATCH), F.lit(0)),
         lambda t: F.struct(H.swatch_color(t, F.col("model"), F.col("_codes")).alias("code"), t.alias("tag")),
     )
     swatch = F.filter(swatch, lambda s: s["code"].isNotNull())
     from_schema = F.transform(F.array_distinct("_codes"), lambda c: F.struct(c.alias("code"), F.lit("").alias("tag")))
-    good = _bound(good, _swatches=swatch, _fall=F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<input[^>]*name="size"[^>]*>'), F.lit(0)), lambda t: H.attribute(t, "value")))
+    good = _bound(good, _swatches=swatch, _fall=F.transform(F.regexp_extract_all(h, F.lit(SIZE_INPUT), F.lit(0)), lambda t: H.attribute(t, "value")))
     good = _bound(good, _sw=F.when(F.size("_swatches") > 0, F.col("_swatches")).otherwise(from_schema))
     no_code = lambda c: F.coalesce(c["code"], F.lit("\x00"))
     good = _bound(good, _named=F.transform("_sw", no_code))
@@ -265,11 +275,11 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
 
     good = _bound(good, colors=F.transform("_colors", color))
     weight = F.coalesce(
-        X.nonblank(X.one_space(F.regexp_replace(F.regexp_extract(h, r'(?is)<h3[^>]*content-feature__heading[^>]*>\s*重さ\s*</h3>\s*<[^>]+>(.*?)</', 1), "<[^>]+>", " "))),
-        X.nonblank(F.regexp_extract("_text", r"(?i)(?:重量|weight)\s*[:：]?\s*([0-9.,]+\s*(?:kg|g|グラム))", 1)),
+        X.nonblank(X.one_space(F.regexp_replace(F.regexp_extract(h, WEIGHT_HEADING, 1), "<[^>]+>", " "))),
+        X.nonblank(F.regexp_extract("_text", WEIGHT_WORDS, 1)),
         F.lit(""),
     )
-    care = F.split(F.regexp_replace(F.regexp_extract(h, r'(?is)id="collapsible-2"[^>]*>(.*?)(?:id="collapsible-\d+"|</section|$)', 1), "<[^>]+>", "\n"), "\n")
+    care = F.split(F.regexp_replace(F.regexp_extract(h, CARE, 1), "<[^>]+>", "\n"), "\n")
     maker = F.when(F.col("_g.brand").startswith("{"), F.get_json_object("_g.brand", "$.name")).otherwise(F.col("_g.brand"))
     products = good.select(
         "url",
@@ -277,14 +287,14 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
         "model",
         F.coalesce(X.nonblank(F.lower(X.one_space(maker))), F.lit(brand)).alias("brand"),
         X.one_space(F.coalesce("_g.description", F.lit(""))).alias("description"),
-        X.plain_table(F.regexp_extract(h, r'(?is)id="collapsible-0"[^>]*>.*?(<table.*?</table>)', 1)).alias("dimension"),
+        X.plain_table(F.regexp_extract(h, DIMENSION_TABLE, 1)).alias("dimension"),
         X.material_text(care).alias("material"),
         X.metric_weight(weight).alias("weight"),
         "images",
         F.when(F.size("colors") > 0, F.col("colors")).alias("colors"),
         M.displayed_price(h, "sales").alias("display_price"),
         M.displayed_price(h, "strike-through list").alias("display_list_price"),
-        F.regexp_replace(H.unescaped(X.extract(h, r'data-url="([^"]*Product-Variation[^"]*)"')), r"\?.*$", "").alias("variation_endpoint"),
+        F.regexp_replace(H.unescaped(X.extract(h, VARIATION_LINK)), r"\?.*$", "").alias("variation_endpoint"),
     )
     return products, failed
 
@@ -345,15 +355,14 @@ def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: in
 
 def nested_objects(pages: DataFrame) -> DataFrame:
     """(url, pos, object VARIANT): every JSON object of a page's JSON scripts, at any level."""
-    scripts = F.regexp_extract_all("html", F.lit(r"(?is)<script[^>]*type=[\"']application/(?:ld\+)?json[\"'][^>]*>(.*?)</script>"), F.lit(1))
+    scripts = F.regexp_extract_all("html", F.lit(JSON_SCRIPT), F.lit(1))
     kind = F.schema_of_variant("object")
     holds = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     level = pages.select("url", F.posexplode(scripts).alias("_k", "_t")).select("url", F.lpad(F.col("_k").cast("string"), 6, "0").alias("pos"), F.try_parse_json("_t").alias("object")).where("object is not null")
     level = written(level.where(holds), "nested")
     found = level.where(kind.startswith("OBJECT"))
     while not level.isEmpty():
-        level.createOrReplaceTempView("_nested_level")
-        inner = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM _nested_level t, LATERAL variant_explode(t.object) v")
+        inner = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM {level} t, LATERAL variant_explode(t.object) v", level=level)
         level = written(inner.where(holds), "nested")
         found = found.unionByName(level.where(kind.startswith("OBJECT")))
     return found

@@ -12,7 +12,18 @@ from ..functions.text import gender_of_name, nonblank
 from ..operators.lookup import match_color
 from ..operators.reconcile import Profile
 
-_LETTERS_ASICS = ("S", "M", "L", "XS", "XL", "XXL", "2XL", "XXXL", "3XL", "SS", "LL", "3L", "4L")
+#: Letter sizes that a specification of dotted models may name. Fixed values.
+DOTTED_LETTERS = ("S", "M", "L", "XS", "XL", "XXL", "2XL", "XXXL", "3XL", "SS", "LL", "3L", "4L")
+#: Words that stand in a specification beside its colour and size, by profile. Fixed values.
+SIZE_LIST_NOISE = ("1双装", "1条装", "3双装", "3条装", "套装")
+LETTERED_NOISE = ("2只",)
+LETTERED_SIZE_NOISE = ("350ml", "500ml", "750ml", "900ml", "/DBN25", "22-24cm", "24-26cm", "26-28cm", "28-30cm", "Hand Circumference")
+AGES_NOISE = ("1双装", "两件套", "主页：", "1条装", "均码", "Ordered", "One Size", "Brand ", "Belt ", "（", "）")
+SUFFIX_NOISE = ("双装",)
+#: Spellings of large sizes as the supply has them, replaced in this order. Fixed values.
+LARGE_SIZES = (("XXXXL", "4XL"), ("XXXL", "3XL"), ("2XL", "XXL"))
+#: Ages that are written with a T; older ones are months. Fixed values.
+TODDLER_AGES = ("2", "3", "4", "5")
 
 
 def _blank(c: Column) -> Column:
@@ -63,11 +74,11 @@ def _color_word(article: Column, matched: Column, text: Column, sized: Column) -
 
 
 def _size_list(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
-    df = _spec(df, "1双装", "1条装", "3双装", "3条装", "套装").withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9./（）\-\(\)\s"))
+    df = _spec(df, *SIZE_LIST_NOISE).withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9./（）\-\(\)\s"))
     token = r"a-zA-Z0-9.\-"
     got = P.ladder(F.col("_t"), [("size", r"a-zA-Z0-9./（）\-\(\)"), ("jp", token), ("eu", token)], F.col("_t"))
     size = P.split_brackets(got["size"])
-    for a, b in (("XXXXL", "4XL"), ("XXXL", "3XL"), ("2XL", "XXL")):
+    for a, b in LARGE_SIZES:
         size = F.replace(size, F.lit(a), F.lit(b))
     sizes = F.filter(F.transform(_list(F.trim(size)), size_text), lambda s: s != "")
     return df.withColumn("_wants", _want(F.array(F.lit("")), sizes))
@@ -81,12 +92,12 @@ def _first_part_digits(c: Column) -> Column:
 
 
 def _lettered(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
-    df = _spec(df, "2只").withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9./\-\s"))
+    df = _spec(df, *LETTERED_NOISE).withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9./\-\s"))
     token = r"a-zA-Z0-9.\-"
     got = P.ladder(F.col("_t"), [("size", r"a-zA-Z0-9./\-"), ("jp", token), ("eu", token), ("us", token)], F.col("_t"))
     by_us = P.has_keyword(F.col("_t"), "us") & ~F.col("_t").rlike(r"(?i)\b(size|jp|eu)\b")
     size = F.when(by_us & (got["size"] != ""), F.concat(F.lit("US"), got["size"])).when(P.has_keyword(F.col("_t"), "size"), P.strip_chars(got["size"], "/")).otherwise(got["size"])
-    for gone in ("350ml", "500ml", "750ml", "900ml", "/DBN25", "22-24cm", "24-26cm", "26-28cm", "28-30cm", "Hand Circumference"):
+    for gone in LETTERED_SIZE_NOISE:
         size = F.replace(size, F.lit(gone), F.lit(""))
     df = df.withColumn("_k1", P.strip_chars(P.han_run(F.col("_spec")), "/")).withColumn("_k2", P.strip_chars(F.trim(F.replace(got["rest"], F.lit("-"), F.lit(""))), "/")).withColumn("_size", size_text(F.trim(size)))
     df = match_color(df, "_k1", "_k2", sheet)
@@ -96,14 +107,14 @@ def _lettered(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
 
 
 def _ages(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
-    df = _spec(df, "1双装", "两件套", "主页：", "1条装", "均码", "Ordered", "One Size", "Brand ", "Belt ", "（", "）")
+    df = _spec(df, *AGES_NOISE)
     df = df.withColumn("_t", F.trim(F.regexp_replace(F.regexp_replace("_spec", r"[^a-zA-Z0-9\-\s]", ""), r"\s+", " ")))
     t, token = F.col("_t"), r"a-zA-Z0-9\-"
     worded = t.rlike(r"(?i)\b(size|us|age)\b")
     letters = F.get(F.filter(F.split(t, r"\s+"), lambda p: p.isin(*P.USUAL_SIZES)), F.size(F.filter(F.split(t, r"\s+"), lambda p: p.isin(*P.USUAL_SIZES))) - 1)
     got = P.ladder(t, [("size", token), ("us", token), ("age", token)], F.coalesce(letters, F.lit("")))
     by_age = P.has_keyword(t, "age") & ~t.rlike(r"(?i)\b(size|us)\b")
-    size = F.when(by_age & (got["size"] != ""), F.concat(got["size"], F.when(got["size"].isin("2", "3", "4", "5"), "T").otherwise("M"))).otherwise(got["size"])
+    size = F.when(by_age & (got["size"] != ""), F.concat(got["size"], F.when(got["size"].isin(*TODDLER_AGES), "T").otherwise("M"))).otherwise(got["size"])
     bare = F.coalesce(nonblank(F.trim(F.regexp_replace(t, F.concat(F.lit(r"(?i)\b\Q"), letters, F.lit(r"\E\b")), F.lit("")))), t)
     df = df.withColumn("_k2", F.when(worded, P.strip_chars(F.trim(got["rest"]), r"\-")).otherwise(bare))
     read = P.color_words(P.without_size_words(F.col("_spec")))
@@ -118,7 +129,7 @@ def _suffix_model(c: Column) -> Column:
 
 
 def _suffix(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
-    df = _spec(df, "双装").withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9.\-\s"))
+    df = _spec(df, *SUFFIX_NOISE).withColumn("_t", P.latin_text(F.col("_spec"), r"a-zA-Z0-9.\-\s"))
     t, token = F.col("_t"), r"a-zA-Z0-9.\-"
     got = P.ladder(t, [("size", token), ("jp", token), ("eu", token)], t)
     by_eu = P.has_keyword(t, "eu") & ~t.rlike(r"(?i)\b(size|jp)\b")
@@ -143,7 +154,7 @@ def _dotted_model(c: Column) -> Column:
 def _dotted(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
     df = _spec(df)
     scale = P.first_token(F.col("_spec"), lambda x: x.isin("JP", "EU"))
-    size = P.first_token(F.col("_spec"), lambda x: is_number(x) | x.isin(*_LETTERS_ASICS))
+    size = P.first_token(F.col("_spec"), lambda x: is_number(x) | x.isin(*DOTTED_LETTERS))
     read = F.when(F.col("_spec").contains("双装"), Z.sock_size(size)).when(scale == "JP", size).otherwise(Z.eu_or_letter(size))
     return df.withColumn("_wants", _only_size(size_text(read)))
 

@@ -68,7 +68,11 @@ def upsert_status(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def streak_stream(log: DataFrame, host: str = "host", order: str = "ts", failed: str = "failed", every: int = 6, abort: int = 18) -> DataFrame:
-    """Alerts (host, ts, streak, alert) of a streaming fetch log: each `every`-th failure in a row, and all from `abort` on."""
+    """Alerts (host, ts, streak, alert) of a streaming fetch log: each `every`-th failure in a row, and all from `abort` on.
+
+    The state of a host is one number.  A micro-batch's rows of one host are ordered
+    at once; the source's maxFilesPerTrigger or maxBytesPerTrigger bounds them.
+    """
 
     def step(key, batches, state: GroupState):
         streak = state.get[0] if state.exists else 0
