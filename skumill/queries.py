@@ -443,7 +443,13 @@ def stock_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole jobs over pages that Spark composes from part ----------------------
 
 
-def layer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spread_parts(spark: SparkSession, sf_dir: str, spread: bool) -> DataFrame:
+    """The part table, on request dealt over all tasks before pages are made of its rows: a small file is one task's input."""
+    p = _table(spark, sf_dir, "part")
+    return p.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if spread else p
+
+
+def layer_pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """A product page with a data layer for each part: two sizes, one in stock."""
     k, size = F.col("p_partkey").cast("string"), F.col("p_size")
     variant = lambda s, stock: F.concat(F.lit('{"productInfo":{"sku":"K'), k, F.lit('","color":"'), F.split_part("p_name", F.lit(" "), F.lit(1)), F.lit('","size":"'), s.cast("string"), F.lit('"},"attributes":{"stockStatus":"' + stock + '"}}'))
@@ -452,7 +458,7 @@ def layer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","displayPrice":"'), F.floor(F.col("p_retailprice") * F.lit(0.5)).cast("string"), F.lit('"},"linkedProduct":['), variant(size, "in-stock"), F.lit(","), variant(size + 1, "out-of-stock"), F.lit(","), variant(size, "in-stock"), F.lit("]}"),
     )
     html = F.concat(F.lit("<html><h1> "), "p_name", F.lit('</h1><ol class="breadcrumb"><a href="https://shop.example/ja-jp/c/'), F.lower("p_type"), F.lit('">x</a></ol><script>digitalData.product.push('), data, F.lit(");</script></html>"))
-    return _table(spark, sf_dir, "part").select(F.concat(F.lit("https://shop.example/p/prod"), k, F.lit(".html")).alias("url"), html.alias("html"))
+    return _spread_parts(spark, sf_dir, spread).select(F.concat(F.lit("https://shop.example/p/prod"), k, F.lit(".html")).alias("url"), html.alias("html"))
 
 
 @_query(
@@ -462,18 +468,18 @@ SELECT regexp_extract(lower(p_type), '^([^/]+)', 1) AS type, p_name AS title, 'P
   CASE d WHEN 0 THEN 'in-stock' ELSE 'out-of-stock' END AS stock_status, CASE d WHEN 0 THEN '6' ELSE '0' END AS quantity FROM v"""
 )
 def variant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = E.variant_rows(layer_pages(spark, sf_dir), "house", "https://images.example/is/image/")
+    rows, _ = E.variant_rows(layer_pages(spark, sf_dir, spread=True), "house", "https://images.example/is/image/")
     return rows.drop("pos")
 
 
-def grouped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def grouped_pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """A grouped product page for each part: two swatches, sizes S and M, M of the second colour out of stock."""
     k = F.col("p_partkey").cast("string")
     swatch = lambda c, oos: F.concat(F.lit(f'<button class="product-swatch" data-color="{c}" data-caption="Colour {c}" data-size-stock="[&quot;S&quot;,&quot;M&quot;]" data-product-oos="{oos}"></button>'))
     item = lambda c: F.concat(F.lit('{"@type":"Product","mpn":"'), k, F.lit(f'-{c}","sku":"'), k, F.lit(f'-{c}","color":"Colour {c}","offers":{{"price":"'), F.floor("p_retailprice").cast("string"), F.lit('","url":"/product/x/'), k, F.lit(f'.html?dwvar_'), k, F.lit(f'_color={c}"}}}}'))
     data = F.concat(F.lit('[{"@type":"ProductGroup","productGroupID":"'), k, F.lit('","name":"'), "p_name", F.lit('","brand":{"name":"House"},"color":["AAA","BBB"]},'), item("AAA"), F.lit(","), item("BBB"), F.lit("]"))
     html = F.concat(F.lit('<html><body><script type="application/ld+json">'), data, F.lit("</script>"), swatch("AAA", "{}"), swatch("BBB", "{&quot;M&quot;:&quot;4512345678901&quot;}"), F.lit("</body></html>"))
-    return _table(spark, sf_dir, "part").select(F.concat(F.lit("https://shop.example/product/x/"), k, F.lit(".html")).alias("url"), html.alias("html"))
+    return _spread_parts(spark, sf_dir, spread).select(F.concat(F.lit("https://shop.example/product/x/"), k, F.lit(".html")).alias("url"), html.alias("html"))
 
 
 @_query(
@@ -486,7 +492,7 @@ SELECT p_name AS title, CAST(p_partkey AS VARCHAR) || '-' || c || '-' || z AS sk
 FROM l"""
 )
 def catalogue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products, _ = E.product_pages(grouped_pages(spark, sf_dir), "https://shop.example", "house")
+    products, _ = E.product_pages(grouped_pages(spark, sf_dir, spread=True), "https://shop.example", "house")
     live = _table(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("model"), F.lit("AAA").alias("color"), F.lit("S").alias("size"), F.col("p_size").alias("ats"), F.lit(None).cast("double").alias("list"), F.col("p_size").cast("double").alias("sales"))
     return E.catalogue_rows(products, live, "https://shop.example").select("title", "sku", "size", "color", "brand", "msrp", "quantity", "url")
 
