@@ -11,11 +11,14 @@ from .bpe import round_trip_digests
 from .chat import canonical_turns
 from .common import table
 from .decontam import contamination
+from .fim import fim_digests
 from .html_text import extracted
 from .kdsearch import top_k
+from .lexsearch import ranked_search
 from .neardup import near_duplicates
 from .quality import quality_scores
 from .sharding import shard_table
+from .simhash import simhash_duplicates
 from .tokencount import token_counts
 from .warc import archive_and_read
 
@@ -119,6 +122,47 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CA
   CASE WHEN page_id <> last THEN last END AS refers_to FROM f
 """
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = f"""
+WITH doc AS (SELECT doc_id, {_WORDS} AS t FROM documents),
+size AS (SELECT doc_id, len(t) AS n FROM doc WHERE len(t) > 0),
+total AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM doc) GROUP BY doc_id, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+item AS (SELECT item_id, unnest({_WORDS}) AS term FROM benchmark),
+score AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // CAST(n_terms AS BIGINT))))) AS BIGINT) AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain,
+    list_transform(range(0, 4), lambda k: CAST('0x' || substr(x, CAST(8 * k + 1 AS BIGINT), 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM u),
+p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix,
+    CASE WHEN plain OR h[3] % 100 >= 100 THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+
+def op13_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -132,8 +176,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_quality": op9_quality,
         "op10_warc": op10_warc,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_simhash_neardup": op13_simhash_neardup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_kdtree_topk": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL, "op10_warc": OP10_SQL}
+    return {"op2_kdtree_topk": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_minhash_neardup": OP7_SQL, "op10_warc": OP10_SQL, "op11_ranked_search": OP11_SQL, "op12_fill_in_middle": OP12_SQL}
