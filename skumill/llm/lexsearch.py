@@ -127,7 +127,7 @@ def build_index(docs: DataFrame, path: str | None = None, shard_bytes: int = SHA
         number, now = TaskContext.get().partitionId() << 32, _Open([], [], [])
         for batch in batches:
             buf, offs = column_bytes(batch.column("text"))
-            for i, j in slices(offs, 1 << 20):
+            for i, j in slices(offs, min(1 << 20, shard_bytes)):
                 if now.size and now.size + int(offs[j] - offs[i]) > shard_bytes:
                     yield _shard_batch(now.closed(number))
                     number, now = number + 1, _Open([], [], [])
@@ -138,7 +138,7 @@ def build_index(docs: DataFrame, path: str | None = None, shard_bytes: int = SHA
     path = path or fresh_path(spark, "lexical-index")
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SHARD)
     # small row groups: whoever reads a shard holds only those beside it
-    found.write.option("parquet.block.size", 2 * shard_bytes).parquet(path)
+    found.write.option("parquet.block.size", max(1 << 20, shard_bytes)).parquet(path)
     return spark.read.schema(SHARD).parquet(path)
 
 

@@ -99,6 +99,8 @@ def xxh64_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     words = np.ndarray((len(buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     lens = ends - starts
     out = np.empty(len(starts), dtype=_U)
+    if not len(starts):
+        return out
     order = np.argsort(lens, kind="stable")
     sizes, first = np.unique(lens[order], return_index=True)
     for n, a, b in zip(sizes.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
@@ -224,7 +226,7 @@ def _met(fp: np.ndarray, word: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray
 
 
 def ball_edges(fps: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Links (u, v) that connect what the distinct fingerprints `fps` (fp) within three bits of each other connect."""
+    """Pairs (u, v) that connect the distinct fingerprints `fps` (fp) as all links of three bits at most do; a pair may stand for several links in a row."""
     total = fps.count()
     bits = 0
     # a fingerprint goes to 1 + bits + bits * (bits - 2) / 8 groups or so
