@@ -34,9 +34,15 @@ def usable(c: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def plain_text(c: Column) -> Column:
+    """A column as text, a number without an exponent: 1.2345678E7 as 12345678.0."""
+    wide = F.regexp_replace(c.try_cast("decimal(38,12)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.typeof(c).isin("double", "float") & c.cast("string").contains("E"), F.coalesce(wide, c.cast("string"))).otherwise(c.cast("string"))
+
+
 def price_text(c: Column) -> Column:
-    """The first digit group of a price as a text of digits, '' without one."""
-    return F.coalesce(F.replace(F.regexp_extract(c.cast("string"), r"(?:¥|￥)?\s*([\d,]+)", 1), F.lit(",")), F.lit(""))
+    """The first digit group of a price as a text of digits, '' without one; a number loses what is behind its point."""
+    return F.coalesce(F.replace(F.regexp_extract(plain_text(c), r"(?:¥|￥)?\s*([\d,]+)", 1), F.lit(",")), F.lit(""))
 
 
 def price_of_json(text: Column, path: str = "$") -> Column:

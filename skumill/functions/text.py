@@ -165,7 +165,7 @@ def sku_parts(sku: Column) -> Column:
     return F.struct(
         F.when(good, parts[0]).alias("item"),
         F.when(good, F.get(parts, F.lit(1))).alias("color"),
-        F.when(good, F.array_join(F.slice(parts, 3, 1_000_000), "-")).alias("size"),
+        F.when(good, F.array_join(F.slice(parts, F.lit(3), F.size(parts)), "-")).alias("size"),
         F.when(~good | sku.isNull(), F.concat(F.lit("not item-color-size: "), F.coalesce(sku, F.lit("")))).alias("error"),
     )
 

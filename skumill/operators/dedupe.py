@@ -5,16 +5,19 @@ Every operator takes the order explicitly; a table has none of its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
+from pyspark.sql.window import Window, WindowSpec
 
-
-#: A key with more rows than this is cut into parts along its order.
-PLAIN_ROWS = 1_000_000
+#: A table with more rows than this is cut into parts along its keys and order.
+PLAIN_ROWS = 10_000
+#: Rows sampled for each part to find its bounds.
+PER_PART = 32
 
 
 def _order(order: Sequence[str]) -> Column:
@@ -45,18 +48,52 @@ def dedupe_report(df: DataFrame, key: str) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(kept, F.lit(0)).cast("bigint").alias("kept")).withColumn("removed", F.col("rows") - F.col("kept"))
 
 
-def with_parts(df: DataFrame, order: str, part: str = "_part") -> DataFrame:
-    """A part number that grows with a sortable number or time column, about as many rows in each.
+def _fixed(value, kind: T.DataType) -> Column:
+    """A collected value as a constant of its type; timestamps come as microseconds and zoneless ones as text."""
+    return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+
+
+def _bounds(df: DataFrame, columns: Sequence[str], plain_rows: int) -> list[Column]:
+    """Tuples of `columns`, in order, that cut the table into parts of about as many rows; none for at most `plain_rows` rows.
 
-    Equal values share a part and nulls are in part 0.  The bounds are fixed
-    values in the plan, so a recomputed task deals its rows as before.
+    They come from a random sample of bounded size.  Each is a constant of the
+    plan, so a recomputed task deals its rows as before.
     """
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    kind = dict(df.dtypes)[order]
-    number = F.col(order).cast("timestamp").cast("double") if kind.startswith("timestamp") or kind == "date" else F.col(order).cast("double")
-    bounds = df.select(F.percentile_approx(number, [k / parts for k in range(1, parts)] or [0.5], 1000)).first()[0] or []
-    limits = F.array(*map(F.lit, sorted(set(bounds)))) if bounds else F.array().cast("array<double>")
-    return df.withColumn(part, F.coalesce(F.size(F.filter(limits, lambda b: b < number)), F.lit(0)))
+    kinds = [df.schema[c].dataType for c in columns]
+    coded = [F.unix_micros(c) if isinstance(k, T.TimestampType) else F.col(c).cast("string") if isinstance(k, T.TimestampNTZType) else F.col(c) for c, k in zip(columns, kinds, strict=True)]
+    most = max(plain_rows, PER_PART * parts) + 1
+    sample = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], *[c.alias(f"v{i}") for i, c in enumerate(coded)]).orderBy(F.rand(7)).limit(most)
+    rows = sample.orderBy(*[f"c{i}" for i in range(len(columns))]).select(*[f"v{i}" for i in range(len(columns))]).collect()
+    if len(rows) <= plain_rows:
+        return []
+    chosen = dict.fromkeys(tuple(rows[len(rows) * k // parts]) for k in range(1, parts) if len(rows) * k // parts < len(rows))
+    return [F.struct(*[_fixed(v, k).alias(f"c{i}") for i, (v, k) in enumerate(zip(row, kinds, strict=True))]) for row in chosen]
+
+
+def in_parts(df: DataFrame, by: Sequence[str], order: Sequence[str], plain_rows: int = PLAIN_ROWS) -> tuple[DataFrame, list[str]]:
+    """`df` cut along (by, order) and the columns that say where: none, or `_part` and `_cut`.
+
+    Parts follow each other in the order of the tuple, whatever sortable types it
+    has; equal tuples share a part.  `_cut` marks the keys that may go on in another
+    part: those of the bounds beside the row's part, two for each part at most.
+    """
+    limits = _bounds(df, [*by, *order], plain_rows)
+    if not limits:
+        return df, []
+    # a search in two steps: which block of bounds, then which of its bounds
+    block = max(1, math.isqrt(len(limits)))
+    every, some = F.array(*limits), F.array(*limits[block - 1 :: block])
+    place = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([*by, *order])])
+    below = lambda bounds: F.size(F.filter(bounds, lambda b: b < place))
+    part = below(some) * block
+    part = part + below(F.slice(every, part + 1, F.lit(block)))
+    key = lambda row: F.struct(*[row[f"c{i}"].alias(f"c{i}") for i in range(len(by))])
+    beside = [key(F.get(every, F.col("_part") + d)).eqNullSafe(key(place)) for d in (-1, 0)] if by else [F.lit(True)]
+    inside = [F.col("_part") + d for d in (-1, 0)]
+    cut = reduce(lambda a, b: a | b, [x & (i >= 0) & (i < len(limits)) for x, i in zip(beside, inside)])
+    # a generator binds the part: the optimiser would repeat the search wherever the part is used
+    return df.select("*", F.explode(F.array(part)).alias("_part")).withColumn("_cut", cut), ["_part", "_cut"]
 
 
 def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -66,74 +103,81 @@ def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") ->
     return a.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _largest(df: DataFrame, by: Sequence[str]) -> int:
-    """The rows of the largest key, by a pre-aggregated count."""
-    return df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+def _upto(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _coded(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, plain_rows: int) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows in parts with `_piece`, the number of code changes before each row of its part; the keys of a part, and the row order."""
+    rows, cut = in_parts(df, by, order, plain_rows)
+    own, line = [*by, *cut[:1]], [*order, "__code"]
+    w = Window.partitionBy(*own).orderBy(*line)
+    rows = rows.withColumn("__code", F.struct(code.alias("c")))
+    changed = F.when(F.row_number().over(w) == 1, 0).when(F.col("__code").eqNullSafe(F.lag("__code").over(w)), 0).otherwise(1)
+    rows = rows.withColumn("_changed", changed)
+    return rows.withColumn("_piece", F.sum("_changed").over(_upto(w))), own, line
 
 
 def with_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, run: str = "run", plain_rows: int = PLAIN_ROWS) -> DataFrame:
     """A number for each run of equal neighbouring codes within `by`, from 1; nulls are equal.
 
-    Where a key has more than `plain_rows` rows, keys are cut into parts along
-    the order, so that one that holds most rows is shared by many tasks; what
-    crosses a part's bounds comes from a table with one row for each key and part.
-    The sizes of keys are counted first, unless `plain_rows` is 1 << 62 or more,
-    which says that no key is large.
+    The order columns may be of any sortable types; rows that are equal in all of
+    them follow each other by code.  A table of more than `plain_rows` rows is cut
+    along its keys and order, so that a key that holds most rows is shared by many
+    tasks; what crosses a part's bounds comes from a table of two rows a part.
     """
-    if plain_rows >= 1 << 62 or _largest(df, by) <= plain_rows:
-        one = Window.partitionBy(*by).orderBy(*order)
-        changed = F.when(F.row_number().over(one) == 1, 1).when(code.eqNullSafe(F.lag(code).over(one)), 0).otherwise(1)
-        return df.withColumn("_changed", changed).withColumn(run, F.sum("_changed").over(one.rowsBetween(Window.unboundedPreceding, 0))).drop("_changed")
-    w = Window.partitionBy(*by, "_part").orderBy(*order)
-    rows = with_parts(df, order[0]).withColumn("__code", F.struct(code.alias("c")))
-    inner = F.when(F.row_number().over(w) == 1, 0).when(F.col("__code").eqNullSafe(F.lag("__code").over(w)), 0).otherwise(1)
-    rows = rows.withColumn("_changed", inner)
-    place = F.struct(*order)
-    edges = rows.groupBy(*by, "_part").agg(F.min_by("__code", place).alias("_first"), F.max_by("__code", place).alias("_last"), F.sum("_changed").alias("_n"))
-    over = Window.partitionBy(*by).orderBy("_part")
+    rows, own, line = _coded(df, by, order, code, plain_rows)
+    if len(own) == len(by):
+        return rows.withColumn(run, F.col("_piece") + 1).drop("__code", "_changed", "_piece")
+    place, over = F.struct(*line), Window.partitionBy(*by).orderBy("_part")
+    edges = rows.where("_cut").groupBy(*own).agg(F.min_by("__code", place).alias("_first"), F.max_by("__code", place).alias("_last"), F.max("_piece").alias("_n"))
     edges = edges.withColumn("_new", F.when(F.col("_first").eqNullSafe(F.lag("_last").over(over)), 0).otherwise(1))
-    edges = edges.withColumn("_start", F.sum(F.col("_n") + F.col("_new")).over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
-    joined = _same(rows, edges.select(*by, "_part", "_start"), [*by, "_part"])
-    return joined.withColumn(run, F.col("_start") + F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__code", "_changed", "_start", "_part")
+    edges = edges.withColumn("_start", F.sum(F.col("_n") + F.col("_new")).over(_upto(over)) - F.col("_n"))
+    joined = _same(rows, F.broadcast(edges.select(*own, "_start")), own)
+    return joined.withColumn(run, F.col("_piece") + F.coalesce("_start", F.lit(1))).drop("__code", "_changed", "_piece", "_start", "_part", "_cut")
 
 
 def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Column, value: Column, out: str = "carried", plain_rows: int = PLAIN_ROWS) -> DataFrame:
-    """The value of the first row of each run of equal codes, on every row of the run; a run whose first value is null stays null."""
-    if _largest(df, by) <= plain_rows:
-        runs = with_runs(df, by, order, code, "_run", 1 << 62).withColumn("_v", value)
-        return runs.withColumn(out, F.first("_v").over(Window.partitionBy(*by, "_run").orderBy(*order))).drop("_run", "_v")
-    rows = with_parts(with_runs(df, by, order, code, "_run", plain_rows), order[0]).withColumn("_v", F.struct(value.alias("v")))
-    w = Window.partitionBy(*by, "_part", "_run").orderBy(*order)
-    rows = rows.withColumn("_own", F.first("_v").over(w))
-    # the first value of a run that began in an earlier part: one row for each run and part
-    pieces = rows.groupBy(*by, "_run", "_part").agg(F.min_by("_v", F.struct(*order)).alias("_f"))
-    over = Window.partitionBy(*by, "_run").orderBy("_part")
-    pieces = pieces.withColumn("_head", F.first("_f").over(over)).withColumn("_k", F.row_number().over(over)).where("_k > 1")
-    joined = _same(rows, pieces.select(*by, "_run", "_part", "_head"), [*by, "_run", "_part"])
-    return joined.withColumn(out, F.coalesce("_head", "_own")["v"]).drop("_run", "_part", "_v", "_own", "_head")
+    """The value of the first row of each run of equal codes, on every row of the run; a run whose first value is null stays null.
+
+    Rows that are equal in all order columns follow each other by code, then by value.
+    """
+    rows, own, line = _coded(df.withColumn("_v", F.struct(value.alias("v"))), by, order, code, plain_rows)
+    line = [*line, "_v"]
+    rows = rows.withColumn("_own", F.first("_v").over(Window.partitionBy(*own, "_piece").orderBy(*line)))
+    made = ["__code", "_changed", "_piece", "_v", "_own"]
+    if len(own) == len(by):
+        return rows.withColumn(out, F.col("_own")["v"]).drop(*made)
+    place, over = F.struct(*line), Window.partitionBy(*by).orderBy("_part")
+    edges = rows.where("_cut").groupBy(*own).agg(F.min_by("__code", place).alias("_first"), F.max_by("__code", place).alias("_last"), F.max_by("_own", place).alias("_tail"), F.max("_piece").alias("_n"))
+    edges = edges.withColumn("_goes_on", F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(over)), F.lit(False)))
+    # the run that a part leaves open began in the last part that began one
+    began = F.last(F.when(~F.col("_goes_on") | (F.col("_n") > 0), F.col("_tail")), ignorenulls=True)
+    edges = edges.withColumn("_head", F.when(F.col("_goes_on"), began.over(over.rowsBetween(Window.unboundedPreceding, -1))))
+    joined = _same(rows, F.broadcast(edges.select(*own, "_head")), own)
+    return joined.withColumn(out, F.coalesce(F.when(F.col("_piece") == 0, F.col("_head")), F.col("_own"))["v"]).drop(*made, "_head", "_part", "_cut")
 
 
 def failure_streaks(df: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, out: str = "streak", plain_rows: int = PLAIN_ROWS) -> DataFrame:
-    """How many failures in a row end at each row; a success sets it to 0.  Large keys are cut into parts as in `with_runs`."""
-    if _largest(df, by) <= plain_rows:
-        one = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        marked = df.withColumn("_bad", F.coalesce(failed, F.lit(False)).cast("int")).withColumn("_block", F.sum(1 - F.col("_bad")).over(one))
-        block = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return marked.withColumn(out, F.when(F.col("_bad") == 1, F.sum("_bad").over(block)).otherwise(0).cast("bigint")).drop("_bad", "_block")
-    rows = with_parts(df, order[0]).withColumn("_bad", F.coalesce(failed, F.lit(False)).cast("int"))
-    w = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_block", F.sum(1 - F.col("_bad")).over(w))
-    inner = Window.partitionBy(*by, "_part", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_s", F.sum("_bad").over(inner))
-    edges = rows.groupBy(*by, "_part").agg(F.count("*").alias("_n"), F.sum("_bad").alias("_f"), F.max_by("_s", F.struct(*order)).alias("_tail"))
+    """How many failures in a row end at each row; a success sets it to 0.
+
+    Of rows that are equal in all order columns the successes come first.  Large
+    tables are cut into parts as in `with_runs`.
+    """
+    rows, cut = in_parts(df.withColumn("_bad", F.coalesce(failed, F.lit(False)).cast("int")), by, order, plain_rows)
+    own, line = [*by, *cut[:1]], [*order, "_bad"]
+    rows = rows.withColumn("_block", F.sum(1 - F.col("_bad")).over(_upto(Window.partitionBy(*own).orderBy(*line))))
+    rows = rows.withColumn("_s", F.sum("_bad").over(_upto(Window.partitionBy(*own, "_block").orderBy(*line))))
+    if not cut:
+        return rows.withColumn(out, F.when(F.col("_bad") == 1, F.col("_s")).otherwise(0).cast("bigint")).drop("_bad", "_block", "_s")
     over = Window.partitionBy(*by).orderBy("_part")
-    edges = edges.withColumn("_whole", F.col("_n") == F.col("_f")).withColumn("_island", F.sum(F.when(F.col("_whole"), 0).otherwise(1)).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = rows.where("_cut").groupBy(*own).agg(F.count("*").alias("_n"), F.sum("_bad").alias("_f"), F.max_by(F.col("_s") * F.col("_bad"), F.struct(*line)).alias("_tail"))
+    edges = edges.withColumn("_island", F.sum(F.when(F.col("_n") == F.col("_f"), 0).otherwise(1)).over(_upto(over)))
     # a part's carry: the tails since the last part with a success, up to the part before
-    within = Window.partitionBy(*by, "_island").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    edges = edges.withColumn("_sum", F.sum("_tail").over(within)).withColumn("_carry", F.coalesce(F.lag("_sum").over(over), F.lit(0)))
-    joined = _same(rows, edges.select(*by, "_part", "_carry"), [*by, "_part"])
-    streak = F.when(F.col("_bad") == 0, 0).when(F.col("_block") == 0, F.col("_s") + F.col("_carry")).otherwise(F.col("_s"))
-    return joined.withColumn(out, streak.cast("bigint")).drop("_bad", "_block", "_s", "_part", "_carry")
+    edges = edges.withColumn("_sum", F.sum("_tail").over(_upto(Window.partitionBy(*by, "_island").orderBy("_part")))).withColumn("_carry", F.coalesce(F.lag("_sum").over(over), F.lit(0)))
+    joined = _same(rows, F.broadcast(edges.select(*own, "_carry")), own)
+    streak = F.when(F.col("_bad") == 0, 0).when(F.col("_block") == 0, F.col("_s") + F.coalesce("_carry", F.lit(0))).otherwise(F.col("_s"))
+    return joined.withColumn(out, streak.cast("bigint")).drop("_bad", "_block", "_s", "_carry", "_part", "_cut")
 
 
 def streak_alerts(df: DataFrame, streak: str = "streak", every: int = 6, abort: int = 18) -> DataFrame:
@@ -175,18 +219,22 @@ def source_order(df: DataFrame, key: str, pos: str) -> DataFrame:
     return df.join(first.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).orderBy("_first", pos).drop("_first", "_key")
 
 
-def batch_ids(df: DataFrame, order: str, size: int = 60, out: str = "batch_id") -> DataFrame:
-    """A batch number for each row, `size` rows a batch in the order of a unique column.
+def batch_ids(df: DataFrame, order: str | Sequence[str], size: int = 60, out: str = "batch_id", plain_rows: int = PLAIN_ROWS) -> DataFrame:
+    """A batch number for each row, `size` rows a batch, in the order of one or several columns of any sortable types.
 
-    The rank of a row is its rank within a range of the column plus the rows of
-    the ranges before, so no task sorts the whole table.
+    The rank of a row is its rank within a range of the order plus the rows of
+    the ranges before, so no task sorts a large table.  Which of two rows that are
+    equal in all order columns comes first is open.
     """
-    marked = with_parts(df, order)
+    line = [order] if isinstance(order, str) else list(order)
+    marked, cut = in_parts(df, [], line, plain_rows)
+    rank = F.row_number().over(Window.partitionBy(*(cut[:1] or [F.lit(0)])).orderBy(*line))
+    if not cut:
+        return marked.withColumn(out, F.floor((rank - 1) / size))
     counts = marked.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(order))
     # one row for each range at most
-    return marked.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(out, F.floor((F.col("_before") + F.col("_rank") - 1) / size)).drop("_part", "_rank", "_before")
+    return marked.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(out, F.floor((F.col("_before") + F.col("_rank") - 1) / size)).drop("_part", "_cut", "_rank", "_before")
 
 
 def grouped(df: DataFrame, key: str, order: Sequence[str], rows: str = "rows") -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +28,9 @@ CARE = r'(?is)id="collapsible-2"[^>]*>(.*?)(?:id="collapsible-\d+"|</section|$)'
 DIMENSION_TABLE = r'(?is)id="collapsible-0"[^>]*>.*?(<table.*?</table>)'
 VARIATION_LINK = r'data-url="([^"]*Product-Variation[^"]*)"'
 JSON_SCRIPT = r"(?is)<script[^>]*type=[\"']application/(?:ld\+)?json[\"'][^>]*>(.*?)</script>"
+#: Bytes of objects in one Arrow batch of `nested_objects`.
+JSON_BATCH = 4 << 20
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}]')
 
 _LINKED = "array<struct<productInfo:struct<productName:string,sku:string,color:string,size:string>,attributes:struct<stockStatus:string>>>"
 
@@ -112,7 +120,7 @@ def _own_prices(satellite: Column) -> Column:
 def variant_prices(pages: DataFrame) -> DataFrame:
     """(url, sku, msrp, discounted_price) of the variants in the satellite data of each page; of a repeated SKU the last counts."""
     own = _bound(pages.select("url", H.satellite(F.col("html")).alias("_sat")), _own=_own_prices(F.col("_sat")))
-    later = lambda v, i: ~F.exists(F.slice("_own", i + 2, 1_000_000), lambda w: w["sku"] == v["sku"])
+    later = lambda v, i: ~F.exists(F.slice("_own", i + 2, F.size("_own")), lambda w: w["sku"] == v["sku"])
     return own.select("url", F.inline(F.filter("_own", later)))
 
 
@@ -353,19 +361,51 @@ def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: in
     return rows.select(*[F.coalesce(made.get(c, F.col(c)), F.lit("")).alias(c) for c in S.CATALOGUE_COLUMNS], F.col("url").alias("page_url"), F.col("c.pos").alias("color_pos"), "size_pos")
 
 
+def _object_spans(text: str) -> list[tuple[int, int]]:
+    """Start and end of every object of a JSON text, in the order of their starts; none where it is malformed."""
+    try:
+        json.loads(text)
+    except (ValueError, RecursionError):
+        return []
+    spans, opened = [], []
+    for token in _JSON_TOKEN.finditer(text):
+        if token[0] == "{":
+            opened.append(token.start())
+        elif token[0] == "}":
+            spans.append((opened.pop(), token.end()))
+    return sorted(spans)
+
+
 def nested_objects(pages: DataFrame) -> DataFrame:
-    """(url, pos, object VARIANT): every JSON object of a page's JSON scripts, at any level."""
+    """(url, pos, object VARIANT): every JSON object of a page's JSON scripts, at any level.
+
+    pos is the script's number and the object's among its objects, in the order in
+    which they begin.  A malformed script has no objects; one that nests deeper than
+    Python's reader follows (some thousands of levels) counts as malformed.  An
+    object that a VARIANT cannot hold is null.
+    """
     scripts = F.regexp_extract_all("html", F.lit(JSON_SCRIPT), F.lit(1))
-    kind = F.schema_of_variant("object")
-    holds = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    level = pages.select("url", F.posexplode(scripts).alias("_k", "_t")).select("url", F.lpad(F.col("_k").cast("string"), 6, "0").alias("pos"), F.try_parse_json("_t").alias("object")).where("object is not null")
-    level = written(level.where(holds), "nested")
-    found = level.where(kind.startswith("OBJECT"))
-    while not level.isEmpty():
-        inner = pages.sparkSession.sql("SELECT t.url, concat(t.pos, '.', lpad(cast(v.pos AS string), 6, '0')) AS pos, v.value AS object FROM {level} t, LATERAL variant_explode(t.object) v", level=level)
-        level = written(inner.where(holds), "nested")
-        found = found.unionByName(level.where(kind.startswith("OBJECT")))
-    return found
+    kinds = [pa.string(), pa.list_(pa.int32()), pa.string()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["url", "pos", "_text"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, size = [], 0
+            for url, script, text in zip(*(batch.column(c) for c in range(3)), strict=True):
+                url, script, text = url.as_py(), script.as_py(), text.as_py()
+                for n, (a, b) in enumerate(_object_spans(text)):
+                    rows.append((url, [script, n], text[a:b]))
+                    size += b - a + 64
+                    if size > JSON_BATCH:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+            yield batch_of(rows)
+
+    texts = pages.select(F.col("url").cast("string").alias("url"), F.posexplode(scripts).alias("_k", "_t")).mapInArrow(walk, "url string, pos array<int>, _text string")
+    return texts.select("url", "pos", F.try_parse_json("_text").alias("object"))
 
 
 def generic_products(pages: DataFrame, brand: str) -> DataFrame:
@@ -405,7 +445,7 @@ def generic_products(pages: DataFrame, brand: str) -> DataFrame:
     folded = items.groupBy("url", "model", "title", "brand", "color").agg(ordered.alias("_l"), F.max_by("msrp", "pos").alias("msrp"), F.max_by("discounted_price", "pos").alias("discounted_price"), F.max_by("image", "pos").alias("image"))
     sized = F.filter("_l", lambda x: x["size"].isNotNull())
     pairs = lambda field: F.filter(F.transform(sized, lambda x: F.struct(x["size"].alias("k"), x[field].alias("v"))), lambda p: p["v"].isNotNull())
-    last = lambda field: F.map_from_entries(F.filter(pairs(field), lambda p, i: ~F.exists(F.slice(pairs(field), i + 2, 1_000_000), lambda q: q["k"] == p["k"])))
+    last = lambda field: F.map_from_entries(F.filter(pairs(field), lambda p, i: ~F.exists(F.slice(pairs(field), i + 2, F.size(pairs(field))), lambda q: q["k"] == p["k"])))
     return folded.select("url", "model", "title", "brand", "color", F.array_distinct(F.transform(sized, lambda x: x["size"])).alias("sizes"), last("sku").alias("skus"), last("upc").alias("upcs"), "msrp", "discounted_price", "image")
 
 

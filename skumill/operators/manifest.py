@@ -15,6 +15,9 @@ _TABLE_STYLE = "table+table{margin-top:12px}.size-wrap th,.size-wrap td{border:1
 _RANGE_STYLE = ".size-wrap table{table-layout:auto !important}.size-wrap th,.size-wrap td{overflow-wrap:normal !important;word-break:normal !important}"
 _LIST_STYLE = "ul{list-style-type:none;margin:0;padding:0}li{margin:2px 0}"
 
+#: Where charts are published, a folder for each brand. Fixed value.
+CHARTS = "sizetoimg"
+
 
 def require_columns(df: DataFrame, *names: str) -> None:
     """Raise for columns that a job needs and the table lacks."""
@@ -39,38 +42,57 @@ def chart_html(description: Column, brand: Column) -> Column:
     return F.when(mode == "list", page(listed)).when(mode == "raw", page(text)).when(mode == "styled", styled).otherwise(table)
 
 
-def size_charts(sheet: DataFrame, listing: DataFrame, brand: Column, base: str, whole_code: bool = False, reuse: bool = True) -> tuple[DataFrame, DataFrame]:
+def size_charts(sheet: DataFrame, listing: DataFrame, brand: Column, base: str, whole_code: bool = False, reuse: bool = True, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(sheet with size_image and outcome, charts to publish).
 
     `sheet` has sheet, pos, Code and Description; `listing` the published objects
     (key, hash).  Within a sheet a run of equal codes has the chart of its first
     row; a blank description leaves the run without one.  A code whose image is
-    published keeps it if `reuse`.
+    published keeps it if `reuse`: with `folder` (`CHARTS` is where charts are
+    published) only images of the row's own brand under it count, without one an
+    image of that name anywhere does.
+
+    A code that comes back in a later run of its sheet gets that run's own image
+    address; both have one key, and of the charts under it the last run's is
+    published.
     """
     require_columns(sheet, "sheet", "pos", "Code", "Description")
     code = code_prefix(F.col("Code"), whole_code)
     rows = sheet.drop("size_image", "outcome").withColumn("_code", F.nullif(code, F.lit(""))).withColumn("_brand", brand)
-    there = existing_images(listing, base).select(F.col("file").alias("_file"), F.col("url").alias("_there"))
-    rows = rows.join(there, F.concat(F.col("_code"), F.lit(".jpg")) == F.col("_file"), "left").drop("_file")
-    if not reuse:
+    if reuse:
+        there = existing_images(listing, base, folder).select(F.col("brand").alias("_owner"), F.col("file").alias("_file"), F.col("url").alias("_there"))
+        same = F.concat(F.col("_code"), F.lit(".jpg")) == F.col("_file")
+        rows = rows.join(there, same & (F.col("_brand") == F.col("_owner")) if folder else same, "left").drop("_file", "_owner")
+    else:
         rows = rows.withColumn("_there", F.lit(None).cast("string"))
     coded = with_runs(rows.where("_code is not null"), ["sheet"], ["pos"], F.col("_code"), "_run")
     first = first_rows(coded.where("_there is null").select("sheet", "_run", "pos", "_code", "_brand", "Description"), ["sheet", "_run"], ["pos"])
     first = first.withColumn("_made", F.coalesce(trimmed(F.col("Description")), F.lit("")) != "")
-    charts = first.where("_made").select("sheet", F.col("_code").alias("code"), F.concat_ws("/", F.lit("sizetoimg"), "_brand", F.concat("_code", F.lit(".jpg"))).alias("key"), chart_html(F.col("Description"), F.col("_brand")).alias("html"))
+    key = F.concat_ws("/", F.lit(CHARTS), "_brand", F.concat("_code", F.lit(".jpg")))
+    charts = first.where("_made").select("sheet", "_run", F.col("_code").alias("code"), key.alias("key"), chart_html(F.col("Description"), F.col("_brand")).alias("html"))
     charts = charts.withColumn("hash", F.md5(F.col("html").cast("binary"))).withColumn("url", versioned(base, F.col("key"), F.col("hash")))
-    made = first.select("sheet", "_run", "_made")
-    url = charts.select(F.col("sheet").alias("_s"), F.col("code").alias("_c"), F.col("url").alias("_new")).dropDuplicates(["_s", "_c"])
-    out = coded.join(made, ["sheet", "_run"], "left").join(url, (F.col("sheet") == F.col("_s")) & (F.col("_code") == F.col("_c")), "left")
+    made = first.select("sheet", "_run", "_made").join(charts.select("sheet", "_run", F.col("url").alias("_new")), ["sheet", "_run"], "left")
+    out = coded.join(made, ["sheet", "_run"], "left")
     image = F.coalesce("_there", F.when(F.col("_made"), F.col("_new")), F.lit(""))
     outcome = F.when(F.col("_there").isNotNull(), "reused").when(F.col("_made"), "created").otherwise("blank")
     none = rows.where("_code is null").select(*sheet.columns, F.lit("").alias("size_image"), F.lit("no code").alias("outcome"))
-    return out.select(*sheet.columns, image.alias("size_image"), outcome.alias("outcome")).unionByName(none), charts
+    last = charts.groupBy("sheet", "key").agg(F.max_by(F.struct("code", "html", "hash", "url"), "_run").alias("_c")).select("sheet", "_c.code", "key", "_c.html", "_c.hash", "_c.url")
+    return out.select(*sheet.columns, image.alias("size_image"), outcome.alias("outcome")).unionByName(none), last
 
 
-def existing_images(listing: DataFrame, base: str) -> DataFrame:
-    """(file, url) of the published .jpg objects, with their content version."""
-    return listing.where(F.col("key").endswith(".jpg")).select(F.element_at(F.split("key", "/"), -1).alias("file"), versioned(base, F.col("key"), F.col("hash")).alias("url"))
+def existing_images(listing: DataFrame, base: str, folder: str | None = None) -> DataFrame:
+    """(brand, file, url) of the published .jpg objects, with their content version.
+
+    With `folder`, objects under folder/<brand>/ at any depth, by brand and file
+    name; without, all objects by file name, and no brand.  Of objects with one name
+    the last by key counts.
+    """
+    parts = F.split("key", "/")
+    own = listing.where(F.col("key").endswith(".jpg"))
+    if folder:
+        own = own.where(F.col("key").startswith(folder + "/") & (F.size(parts) > 2))
+    named = own.select((F.get(parts, F.lit(1)) if folder else F.lit(None).cast("string")).alias("brand"), F.element_at(parts, -1).alias("file"), "key", versioned(base, F.col("key"), F.col("hash")).alias("url"))
+    return named.groupBy("brand", "file").agg(F.max_by("url", "key").alias("url"))
 
 
 def refresh_batches(urls: DataFrame, size: int = 60) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.price import bid_price, cost_number, supply_bid, usable
+from ..functions.price import bid_price, cost_number, plain_text, supply_bid, usable
 
 
 
@@ -110,7 +110,7 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     rows = rows.withColumn("_msrp", F.bround(usable(s["msrp"]), 0)).withColumn("_old", cost_number(F.col("cost")))
     if profile.margin_only:
         price = usable(s["discounted_price"])
-        note = F.when(price >= cost_number(F.col("expected_income")), F.concat(F.lit(S.MARGIN), price.cast("string")))
+        note = F.when(price >= cost_number(F.col("expected_income")), F.concat(F.lit(S.MARGIN), plain_text(price)))
         rows = rows.withColumn("_cost", price).withColumn("_changed", F.lit(None).cast("double")).withColumn("_note", note)
     else:
         against = F.coalesce(F.bround(usable(s["discounted_price"]), 0), F.col("_msrp")) if profile.compare_discounted else F.col("_msrp")
@@ -122,7 +122,7 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     bid = F.lit(None).cast("bigint") if profile.margin_only else bid_price(F.col("_cost"), profile.multiplier)
     return rows.select(
         *[F.col(c) for c in listing.columns if c not in (*made, "cost")],
-        F.when(hit, F.col("_cost").cast("string")).otherwise(F.col("cost").cast("string")).alias("cost"),
+        F.when(hit, plain_text(F.col("_cost"))).otherwise(plain_text(F.col("cost"))).alias("cost"),
         status.alias("status"),
         F.when(hit, F.col("lead_time")).alias("new_lead_time"),
         F.when(hit, F.col("my_bid")).alias("new_bid"),

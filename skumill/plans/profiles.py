@@ -148,7 +148,7 @@ def _suffix(df: DataFrame, sheet: DataFrame | None) -> DataFrame:
 def _dotted_model(c: Column) -> Column:
     """Hyphens as dots; without one, a dot after the eighth character."""
     dotted = F.replace(F.upper(_exact(c)), F.lit("-"), F.lit("."))
-    return F.when(dotted.contains("."), dotted).otherwise(F.concat(F.substring(dotted, 1, 8), F.lit("."), F.substring(dotted, 9, 1000)))
+    return F.when(dotted.contains("."), dotted).otherwise(F.concat(F.substring(dotted, 1, 8), F.lit("."), F.substring(dotted, F.lit(9), F.length(dotted))))
 
 
 def _dotted(df: DataFrame, sheet: DataFrame | None) -> DataFrame:

@@ -87,13 +87,25 @@ def product_urls(sheet: DataFrame, base: str) -> DataFrame:
     return first_rows(urls, ["url"], ["pos", "cell"]).select("pos", "url")
 
 
+def file_listing(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, name, size, modified) of the files that a pattern matches; their contents are not opened."""
+    found = spark.read.format("binaryFile").load(pattern)
+    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
 def newest(spark: SparkSession, pattern: str, reader: str = "csv", smallest: bool = False, preferred: str | None = None, **options) -> DataFrame:
-    """The rows of the file with the greatest (or smallest) name among those a pattern matches; `preferred` comes first if it is there."""
-    df = spark.read.format(reader).options(**options).load(pattern).withColumn("_file", F.col("_metadata.file_name"))
-    names = df.select("_file").distinct()
-    pick = F.min("_file") if smallest else F.max("_file")
-    chosen = names.agg(F.coalesce(F.max(F.when(F.col("_file") == F.lit(preferred), F.col("_file"))), pick)).first()[0]
-    return df.where(F.col("_file") == chosen).drop("_file")
+    """The rows of the file with the greatest (or smallest) name among those a pattern matches; `preferred` comes first if it is there.
+
+    Names come from a listing, so only the chosen file is opened.  Of files of one
+    name in several folders the greatest path counts.  A pattern that matches no
+    file raises.
+    """
+    rank = F.struct((F.col("name") == F.lit(preferred)).cast("int") if preferred else F.lit(0), "name", "path")
+    low = F.struct((F.col("name") != F.lit(preferred)).cast("int") if preferred else F.lit(0), "name", "path")
+    chosen = file_listing(spark, pattern).agg(F.min_by("path", low) if smallest else F.max_by("path", rank)).first()[0]
+    if chosen is None:
+        raise FileNotFoundError(pattern)
+    return spark.read.format(reader).options(**options).load(chosen)
 
 
 def headed_lines(spark: SparkSession, path: str, header: str = "brand\t") -> DataFrame:
