@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import HAN, nonblank, one_space
+from .text import HAN, let, nonblank, one_space
 
 #: Size patterns that are cut out of a specification before its colour is read, in this order. Fixed values.
 SIZE_PATTERNS = [
@@ -69,13 +69,20 @@ def without_size(c: Column, keyword: str, size: Column) -> Column:
 
 
 def ladder(c: Column, steps: Sequence[tuple[str, str]], otherwise: Column) -> Column:
-    """struct(size, rest) of the first keyword that the text holds; steps are (keyword, token class)."""
-    size, rest = otherwise, F.lit("")
-    for keyword, token in reversed(steps):
-        own = after_keyword(c, keyword, token)
-        size = F.when(has_keyword(c, keyword), own).otherwise(size)
-        rest = F.when(has_keyword(c, keyword), without_size(c, keyword, own)).otherwise(rest)
-    return F.struct(F.coalesce(size, F.lit("")).alias("size"), rest.alias("rest"))
+    """struct(size, rest) of the first keyword that the text holds; steps are (keyword, token class).
+
+    The text is read once for each keyword up to the one it holds.
+    """
+
+    def read(keyword: str, token: str) -> Column:
+        return let(after_keyword(c, keyword, token), lambda own: F.struct(F.coalesce(own, F.lit("")).alias("size"), without_size(c, keyword, own).alias("rest")))
+
+    branches = [(has_keyword(c, keyword), read(keyword, token)) for keyword, token in steps]
+    none = F.struct(F.coalesce(otherwise, F.lit("")).alias("size"), F.lit("").alias("rest"))
+    found = F.when(*branches[0])
+    for branch in branches[1:]:
+        found = found.when(*branch)
+    return found.otherwise(none)
 
 
 def color_rest(c: Column) -> Column:
@@ -97,11 +104,13 @@ def split_brackets(c: Column) -> Column:
     Brackets of either width pair with each other.  A bracket inside a bracket is
     read by `split_deep_brackets`, at any depth.
     """
-    outers = F.regexp_extract_all(c, F.lit(_OUTER), F.lit(1))
-    contents = F.transform(outers, lambda o: F.trim(o))
-    outside = _pieces(F.split(F.trim(F.regexp_replace(c, _OUTER, "")), "/"))
-    flat = F.when(F.size(outers) > 0, F.array_join(F.concat(outside, _bodies(contents)), ",")).when(c.contains("/"), F.array_join(_pieces(F.split(c, "/")), ",")).otherwise(c)
-    return F.when(c.rlike(_NESTED), split_deep_brackets(c)).otherwise(flat)
+    return let(c, lambda text: F.when(text.rlike(_NESTED), split_deep_brackets(text)).when(text.rlike(_OUTER), _split_flat(text)).when(text.contains("/"), F.array_join(_pieces(F.split(text, "/")), ",")).otherwise(text))
+
+
+def _split_flat(text: Column) -> Column:
+    contents = F.transform(F.regexp_extract_all(text, F.lit(_OUTER), F.lit(1)), lambda o: F.trim(o))
+    outside = _pieces(F.split(F.trim(F.regexp_replace(text, _OUTER, "")), "/"))
+    return F.array_join(F.concat(outside, _bodies(contents)), ",")
 
 
 def _bodies(contents: Column) -> Column:
@@ -127,8 +136,7 @@ def split_deep_brackets(c: Column) -> Column:
         whole = F.when(c.contains("/"), F.array_join(_pieces(F.split(c, "/")), ",")).otherwise(c)
         return F.when(F.size(pairs) > 0, F.array_join(F.concat(_pieces(F.split(rest, "/")), _bodies(contents)), ",")).otherwise(whole)
 
-    # the pairs are bound once, as the only element of an array
-    return F.when(c.isNotNull(), F.transform(F.array(F.aggregate(chars, empty, step, lambda s: s["pairs"])), build)[0])
+    return F.when(c.isNotNull(), let(F.aggregate(chars, empty, step, lambda s: s["pairs"]), build))
 
 
 def without_size_words(c: Column) -> Column:
@@ -143,21 +151,29 @@ def without_size_words(c: Column) -> Column:
 
 def color_words(c: Column) -> Column:
     """A colour text as `Han/Latin` where it has both, by slash, hyphen or script; otherwise collapsed."""
-    bracket = F.regexp_extract(c, r"\((.*?)\)", 1)
-    text = F.when(c.rlike(r"\(.*?\)") & bracket.rlike("[/ -]"), bracket).otherwise(c)
+    bracket = let(F.regexp_extract(c, r"\((.*?)\)", 1), lambda inner: F.when(c.rlike(r"\(.*?\)") & inner.rlike("[/ -]"), inner).otherwise(c))
+    return let(bracket, _color_words)
+
+
+def _color_words(text: Column) -> Column:
     first = lambda parts, keep: F.get(F.filter(parts, keep), F.lit(0))
-    slash = F.transform(F.split(text, "/"), lambda v: F.trim(v))
-    han, latin = first(slash, lambda p: p.rlike(HAN)), first(slash, lambda p: p.rlike("[A-Za-z]") & ~p.rlike(HAN))
-    by_slash = F.when(han.isNotNull() & latin.isNotNull(), F.concat_ws("/", han, one_space(latin))).otherwise(F.array_join(slash, "/"))
-    hyphen = F.transform(F.split(text, "-"), lambda v: F.trim(v))
-    han2, latin2 = first(hyphen, lambda p: p.rlike(HAN)), first(hyphen, lambda p: p.rlike(r"^[A-Za-z\s]+$"))
-    by_hyphen = F.when(han2.isNotNull() & latin2.isNotNull(), F.concat_ws("/", han2, latin2)).when(F.size(hyphen) == 2, F.array_join(hyphen, "/")).otherwise(one_space(text))
+    pieces = lambda mark: F.transform(F.split(text, mark), lambda v: F.trim(v))
+    both = lambda a, b, pair, other: let(F.struct(a.alias("a"), b.alias("b")), lambda x: F.when(x["a"].isNotNull() & x["b"].isNotNull(), pair(x["a"], x["b"])).otherwise(other))
+
+    def by_slash(parts: Column) -> Column:
+        han, latin = first(parts, lambda p: p.rlike(HAN)), first(parts, lambda p: p.rlike("[A-Za-z]") & ~p.rlike(HAN))
+        return both(han, latin, lambda a, b: F.concat_ws("/", a, one_space(b)), F.array_join(parts, "/"))
+
+    def by_hyphen(parts: Column) -> Column:
+        han, latin = first(parts, lambda p: p.rlike(HAN)), first(parts, lambda p: p.rlike(r"^[A-Za-z\s]+$"))
+        return both(han, latin, lambda a, b: F.concat_ws("/", a, b), F.when(F.size(parts) == 2, F.array_join(parts, "/")).otherwise(one_space(text)))
+
     word, code = F.regexp_extract(text, HAN + "+", 0), F.trim(F.regexp_extract(text, r"[A-Za-z\s]+", 0))
-    mixed = F.when((F.length(code) > 1) | code.isin(*SHORT_CODES), F.concat_ws("/", word, code)).otherwise(one_space(text))
+    mixed = let(code, lambda own: F.when((F.length(own) > 1) | own.isin(*SHORT_CODES), F.concat_ws("/", word, own)).otherwise(one_space(text)))
     return (
         F.when(F.coalesce(text, F.lit("")) == "", "")
-        .when(text.contains("/"), by_slash)
-        .when(text.contains("-"), by_hyphen)
+        .when(text.contains("/"), let(pieces("/"), by_slash))
+        .when(text.contains("-"), let(pieces("-"), by_hyphen))
         .when(text.rlike(HAN) & text.rlike("[A-Za-z]"), mixed)
         .otherwise(one_space(text))
     )
@@ -187,10 +203,12 @@ def first_token(c: Column, keep) -> Column:
 
 def cup_size(c: Column) -> Column:
     """struct(us, jp, raw) of `10.5(29.0cm)`; `S(23.0-25.0)` gives its letters, others stay as they are."""
-    text = F.trim(c)
     letters, numbers = r"^([A-Za-z]+)\(.+?c?m?\)$", r"^(\d+\.?\d*)\((\d+\.?\d*)cm\)$"
-    return F.struct(
-        nonblank(F.regexp_extract(text, numbers, 1)).alias("us"),
-        nonblank(F.regexp_extract(text, numbers, 2)).alias("jp"),
-        F.when(text.rlike(letters), F.upper(F.regexp_extract(text, letters, 1))).when(~text.rlike(numbers), text).alias("raw"),
+    return let(
+        F.trim(c),
+        lambda text: F.struct(
+            nonblank(F.regexp_extract(text, numbers, 1)).alias("us"),
+            nonblank(F.regexp_extract(text, numbers, 2)).alias("jp"),
+            F.when(text.rlike(letters), F.upper(F.regexp_extract(text, letters, 1))).when(~text.rlike(numbers), text).alias("raw"),
+        ),
     )

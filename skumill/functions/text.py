@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -69,6 +70,13 @@ STYLE_WORDS = [
 ]
 
 KANA = "[\\x{3040}-\\x{30ff}\\x{31f0}-\\x{31ff}]"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that it may use several times: the variable of a lambda is not put in place of each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 HAN = "[\\x{4e00}-\\x{9fff}]"
 
 #: Chart modes by brand. Fixed values.

@@ -16,6 +16,7 @@ from ..functions import price as M
 from ..functions import text as X
 from ..functions import urls as U
 from ..sources.sinks import written
+from .bind import bound
 from .dedupe import first_rows, union_first
 
 _PRODUCT = "`@type` string, `@id` string, productGroupID string, name string, description string, brand string, color string, sku string, mpn string, size string, image string, offers string, price string, listPrice string, gtin13 string, gtin12 string, gtin string"
@@ -35,17 +36,6 @@ _JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}]')
 _LINKED = "array<struct<productInfo:struct<productName:string,sku:string,color:string,size:string>,attributes:struct<stockStatus:string>>>"
 
 
-def _bound(df: DataFrame, **columns: Column) -> DataFrame:
-    """`df` with columns that later steps use as they are.
-
-    The optimiser merges neighbouring projections, and a column that is read
-    inside an array function would then be computed for each element; a
-    generator between the steps keeps each column computed once a row.
-    """
-    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
-    return df.select("*", made.alias("_made")).select(*[c for c in df.columns if c not in columns], "_made.*")
-
-
 def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good pages, failures (url, error)) of pages (url, status, html)."""
     marked = pages.withColumn("error", H.page_error(F.col("status"), F.col("html")))
@@ -72,7 +62,7 @@ def page_chain(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     Round r knows each seed's pages under 2^r steps and each page's 2^r-th next
     one, so a chain of n pages takes about log2(n) rounds, however long it is.
     """
-    found = _bound(pages.select("url", "html"), _l=U.plain_url(H.next_page(F.col("html"))))
+    found = bound(pages.select("url", "html"), _l=U.plain_url(H.next_page(F.col("html"))))
     nexts = found.select("url", U.absolute(F.col("_l"), F.col("url")).alias("next_url")).where("next_url is not null and next_url <> url")
     jump = written(nexts.distinct(), "chain-jumps")
     chain = written(seeds.select("seed_url", F.col("seed_url").alias("url"), F.lit(0).alias("step")).distinct(), "chain")
@@ -119,7 +109,7 @@ def _own_prices(satellite: Column) -> Column:
 
 def variant_prices(pages: DataFrame) -> DataFrame:
     """(url, sku, msrp, discounted_price) of the variants in the satellite data of each page; of a repeated SKU the last counts."""
-    own = _bound(pages.select("url", H.satellite(F.col("html")).alias("_sat")), _own=_own_prices(F.col("_sat")))
+    own = bound(pages.select("url", H.satellite(F.col("html")).alias("_sat")), _own=_own_prices(F.col("_sat")))
     later = lambda v, i: ~F.exists(F.slice("_own", i + 2, F.size("_own")), lambda w: w["sku"] == v["sku"])
     return own.select("url", F.inline(F.filter("_own", later)))
 
@@ -142,12 +132,12 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
         H.data_layer(F.col("html")).alias("_data"),
         H.satellite(F.col("html")).alias("_sat"),
     )
-    parsed = _bound(raw, _dl=F.from_json("_data", f"productInfo struct<productID:string,productName:string>, price string, linkedProduct {_LINKED}"))
+    parsed = bound(raw, _dl=F.from_json("_data", f"productInfo struct<productID:string,productName:string>, price string, linkedProduct {_LINKED}"))
     bad = (F.col("_data").isNotNull() & F.try_parse_json("_data").isNull()) | (F.col("_sat").isNotNull() & F.try_parse_json("_sat").isNull())
     failed = parsed.where(bad).select("url", F.lit("malformed data layer").alias("error"))
     good = parsed.where(~bad)
     color = U.color_of(F.col("url"))
-    good = _bound(good, _color=color)
+    good = bound(good, _color=color)
     color = F.col("_color")
     good = good.select(
         "url",
@@ -159,9 +149,9 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
         H.style_code(F.col("html"), color, image_root).alias("u_model"),
         H.json_objects(H.json_blocks(F.col("html")), _PRODUCT).alias("_ld"),
     )
-    good = _bound(good, _ld=F.col("_ld"), model=F.col("model"), _title=F.col("_title"))
+    good = bound(good, _ld=F.col("_ld"), model=F.col("model"), _title=F.col("_title"))
     listed, shown = _two_prices(F.col("_dl.price"))
-    good = _bound(good, _listed=listed, _shown=shown, _page_title=F.coalesce(X.nonblank(U.decoded(F.col("_dl.productInfo.productName"))), F.col("_title")))
+    good = bound(good, _listed=listed, _shown=shown, _page_title=F.coalesce(X.nonblank(U.decoded(F.col("_dl.productInfo.productName"))), F.col("_title")))
     listed, shown, page_title = F.col("_listed"), F.col("_shown"), F.col("_page_title")
     clean = lambda c: F.coalesce(X.clean_text(c), F.lit(""))
 
@@ -193,13 +183,13 @@ def variant_rows(pages: DataFrame, brand: str, image_root: str) -> tuple[DataFra
     ours = F.filter("_ld", lambda o: (o["@type"] == "Product") & ((F.col("model") == "") | F.coalesce(H.offer_field(o["offers"], "url"), F.lit("")).contains(F.col("model"))))
     ld = F.coalesce(F.transform(ours, from_ld), empty)
     bare = F.array(F.struct(F.col("_title").alias("title"), *[F.lit("").alias(c) for c in ("color", "size", "msrp", "discounted_price", "stock_status", "sku")]))
-    good = _bound(good, _layer=layer, _from_ld=ld, _own=_own_prices(F.col("_sat")))
+    good = bound(good, _layer=layer, _from_ld=ld, _own=_own_prices(F.col("_sat")))
     chosen = F.when(F.size("_layer") > 0, F.col("_layer")).when(F.size("_from_ld") > 0, F.col("_from_ld")).otherwise(bare)
-    good = _bound(good, _rows=chosen)
-    good = _bound(good, _keys=F.transform("_rows", lambda v: F.struct(v["color"], v["size"], v["stock_status"])))
+    good = bound(good, _rows=chosen)
+    good = bound(good, _keys=F.transform("_rows", lambda v: F.struct(v["color"], v["size"], v["stock_status"])))
     firsts = F.filter(F.transform("_rows", lambda v, i: F.struct(i.alias("pos"), v.alias("v"))), lambda x: F.array_position("_keys", F.struct(x["v"]["color"], x["v"]["size"], x["v"]["stock_status"])) == x["pos"] + 1)
     rows = good.select("url", "type", "model", "u_model", "_own", F.inline(firsts)).select("url", "type", "model", "u_model", "_own", "pos", "v.*")
-    rows = _bound(rows, _price=F.when(F.col("sku") != "", F.try_element_at(F.filter("_own", lambda o: o["sku"] == F.col("sku")), F.lit(-1))))
+    rows = bound(rows, _price=F.when(F.col("sku") != "", F.try_element_at(F.filter("_own", lambda o: o["sku"] == F.col("sku")), F.lit(-1))))
     for c in ("msrp", "discounted_price"):
         rows = rows.withColumn(c, F.when(F.col("_price").isNotNull(), F.col(f"_price.{c}")).otherwise(F.col(c)))
     return rows.select(*[F.lit(brand).alias(c) if c == "brand" else M.stock_quantity(F.col("stock_status")).alias(c) if c == "quantity" else F.col(c) for c in S.VARIANT_COLUMNS], "pos"), failed
@@ -212,19 +202,19 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
     Every page is parsed once, in its own row; nothing is shuffled.
     """
     h = F.col("html")
-    raw = _bound(pages.select("url", "html"), _o=H.json_objects(H.json_blocks(h), _PRODUCT))
-    raw = _bound(raw, _g=F.get(F.filter("_o", lambda o: o["@type"] == "ProductGroup"), F.lit(0)))
+    raw = bound(pages.select("url", "html"), _o=H.json_objects(H.json_blocks(h), _PRODUCT))
+    raw = bound(raw, _g=F.get(F.filter("_o", lambda o: o["@type"] == "ProductGroup"), F.lit(0)))
     failed = raw.where("_g is null").select("url", F.lit("no ProductGroup").alias("error"))
     text = X.one_space(F.regexp_replace(F.regexp_replace(h, r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]+>", " "))
-    good = _bound(
+    good = bound(
         raw.where("_g is not null"),
         model=F.coalesce(X.nonblank(F.col("_g.productGroupID")), F.regexp_replace("_g.@id", "^#+", ""), F.lit("")),
         _allowed=F.coalesce(F.from_json("_g.color", "array<string>"), F.array().cast("array<string>")),
         images=H.image_urls(h),
         _text=text,
     )
-    good = _bound(good, _items=F.transform(F.filter("_o", lambda o: o["@type"] == "Product"), lambda o: F.struct(H.variant_color(o, F.col("model"), F.transform("_allowed", X.one_space)).alias("code"), o.alias("item"))))
-    good = _bound(good, _codes=F.transform("_items", lambda i: i["code"]), _page_price=M.first_yen(F.col("_text")))
+    good = bound(good, _items=F.transform(F.filter("_o", lambda o: o["@type"] == "Product"), lambda o: F.struct(H.variant_color(o, F.col("model"), F.transform("_allowed", X.one_space)).alias("code"), o.alias("item"))))
+    good = bound(good, _codes=F.transform("_items", lambda i: i["code"]), _page_price=M.first_yen(F.col("_text")))
     # an element a colour: a swatch each, or the schema's own colours where a page has no swatches
     swatch = F.transform(
         F.regexp_extract_all(h, F.lit(SWATCH), F.lit(0)),
@@ -232,14 +222,14 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
     )
     swatch = F.filter(swatch, lambda s: s["code"].isNotNull())
     from_schema = F.transform(F.array_distinct("_codes"), lambda c: F.struct(c.alias("code"), F.lit("").alias("tag")))
-    good = _bound(good, _swatches=swatch, _fall=F.transform(F.regexp_extract_all(h, F.lit(SIZE_INPUT), F.lit(0)), lambda t: H.attribute(t, "value")))
-    good = _bound(good, _sw=F.when(F.size("_swatches") > 0, F.col("_swatches")).otherwise(from_schema))
+    good = bound(good, _swatches=swatch, _fall=F.transform(F.regexp_extract_all(h, F.lit(SIZE_INPUT), F.lit(0)), lambda t: H.attribute(t, "value")))
+    good = bound(good, _sw=F.when(F.size("_swatches") > 0, F.col("_swatches")).otherwise(from_schema))
     no_code = lambda c: F.coalesce(c["code"], F.lit("\x00"))
-    good = _bound(good, _named=F.transform("_sw", no_code))
+    good = bound(good, _named=F.transform("_sw", no_code))
     # of a repeated colour the first swatch counts, and its last item
     strings = lambda tag, name: F.coalesce(F.from_json(H.attribute(tag, name), "array<string>"), F.array().cast("array<string>"))
     colors = F.filter(F.transform("_sw", lambda c, i: F.struct(i.alias("pos"), c.alias("c"))), lambda x: F.array_position("_named", no_code(x["c"])) == x["pos"] + 1)
-    good = _bound(good, _colors=colors)
+    good = bound(good, _colors=colors)
     read = lambda x: F.struct(
         x["pos"].alias("pos"),
         x["c"]["code"].alias("code"),
@@ -249,7 +239,7 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
         strings(x["c"]["tag"], "data-size-oos").alias("lacks"),
         F.coalesce(F.from_json(H.attribute(x["c"]["tag"], "data-product-oos"), "map<string,string>"), F.create_map().cast("map<string,string>")).alias("oos"),
     )
-    good = _bound(good, _colors=F.transform("_colors", read))
+    good = bound(good, _colors=F.transform("_colors", read))
     spec_of = lambda i: F.coalesce(F.get_json_object(i["offers"], "$.priceSpecification.price"), F.get_json_object(i["offers"], "$.priceSpecification[0].price"), i["listPrice"])
     priced = lambda x: F.struct(
         x.alias("c"),
@@ -259,7 +249,7 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
         X.one_space(x["i"]["size"]).alias("size"),
         F.array_distinct(F.filter(F.concat("_fall", x["has"], x["lacks"], F.map_keys(x["oos"])), lambda s: s.isNotNull())).alias("sizes"),
     )
-    good = _bound(good, _colors=F.transform("_colors", priced))
+    good = bound(good, _colors=F.transform("_colors", priced))
     pair = lambda k, v: F.when((F.coalesce(k, F.lit("")) != "") & (F.coalesce(v, F.lit("")) != ""), F.create_map(k, v)).otherwise(F.create_map().cast("map<string,string>"))
 
     def color(x: Column) -> Column:
@@ -281,7 +271,7 @@ def product_pages(pages: DataFrame, base: str, brand: str) -> tuple[DataFrame, D
             F.when(x["spec"].isNotNull() & (x["spec"] != x["sale"]), x["sale"]).alias("discounted_price"),
         )
 
-    good = _bound(good, colors=F.transform("_colors", color))
+    good = bound(good, colors=F.transform("_colors", color))
     weight = F.coalesce(
         X.nonblank(X.one_space(F.regexp_replace(F.regexp_extract(h, WEIGHT_HEADING, 1), "<[^>]+>", " "))),
         X.nonblank(F.regexp_extract("_text", WEIGHT_WORDS, 1)),
@@ -323,10 +313,10 @@ def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: in
         wanted = (i == 0) | (F.array_contains("c.in_stock_sizes", size) & ~F.map_contains_key("c.out_of_stock_upcs", size))
         return F.struct(i.alias("size_pos"), size.alias("_size"), F.when(wanted, F.get(F.filter("_live", lambda o: o["size"] == size), F.lit(0))).alias("_v"))
 
-    c = _bound(c, _sizes=F.transform("c.sizes", asked))
+    c = bound(c, _sizes=F.transform("c.sizes", asked))
     # a colour's price: its first size, in order, for which the lookup gave one
     known = F.get(F.filter("_sizes", lambda x: x["_v"]["list"].isNotNull() | x["_v"]["sales"].isNotNull()), F.lit(0))["_v"]
-    c = _bound(c, _known=known)
+    c = bound(c, _known=known)
     c = c.withColumn("_p", F.when(F.col("_known").isNotNull(), F.struct(F.coalesce("_known.list", "_known.sales").alias("l"), F.col("_known.sales").alias("s"))))
     rows = c.select("*", F.inline("_sizes")).withColumn("ats", F.col("_v.ats"))
     shown = F.coalesce("display_list_price", "display_price")
@@ -340,8 +330,8 @@ def catalogue_rows(products: DataFrame, variation: DataFrame, base: str, cap: in
     in_stock = F.array_contains("c.in_stock_sizes", F.col("_size")) & ~F.map_contains_key("c.out_of_stock_upcs", F.col("_size"))
     quantity = M.live_quantity(in_stock, F.col("ats"), cap)
     upc = F.coalesce(F.try_element_at("c.upc_by_size", F.col("_size")), F.try_element_at("c.out_of_stock_upcs", F.col("_size")), F.lit(""))
-    rows = _bound(rows, _main=F.coalesce(H.hero_image(F.col("images"), F.col("model"), F.col("_code")), X.nonblank(F.col("c.main_image")), F.get("images", F.lit(0)), F.lit("")))
-    rows = _bound(rows, _out_size=out_size, _quantity=quantity, _upc=upc, _listed=listed, _sold=sold)
+    rows = bound(rows, _main=F.coalesce(H.hero_image(F.col("images"), F.col("model"), F.col("_code")), X.nonblank(F.col("c.main_image")), F.get("images", F.lit(0)), F.lit("")))
+    rows = bound(rows, _out_size=out_size, _quantity=quantity, _upc=upc, _listed=listed, _sold=sold)
     listed, sold = F.col("_listed"), F.col("_sold")
     main, out_size, quantity, upc = (F.col(c) for c in ("_main", "_out_size", "_quantity", "_upc"))
     made = {

@@ -16,8 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.price import bid_price, cost_number, plain_text, supply_bid, usable
+from ..functions.price import bid_price, cost_number, number, plain_text, supply_bid, usable
+from ..functions.sizes import same_size
+from ..functions.text import let
+from .bind import bound
 
+#: Width of a range of numbers in a tolerant join, and how far a number reaches beyond its own.
+RANGE, SLACK = 1e-6, 1.01e-9
 
 
 @dataclass(frozen=True)
@@ -31,6 +36,7 @@ class Profile:
     single: a listing wants one colour and size at most, so it joins the supply directly.
     compare_discounted: the discounted price, where there is one, is compared with the cost.
     margin_only: the cost becomes the discounted price and only the margin is judged.
+    tolerant: sizes that are numbers fit within 1e-9 (relative above 1, absolute below); others as texts.
     """
 
     listing_model: Callable[[Column], Column]
@@ -43,6 +49,7 @@ class Profile:
     multiplier: float = 1.15
     compare_discounted: bool = False
     margin_only: bool = False
+    tolerant: bool = False
 
 
 def _earliest(supply: DataFrame, profile: Profile) -> DataFrame:
@@ -58,27 +65,66 @@ def _earliest(supply: DataFrame, profile: Profile) -> DataFrame:
 
 def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None, cols: list[str]) -> DataFrame:
     """The listing's columns with its model and, for a profile of single wants, its colour and size."""
-    rows = profile.wants(listing, sheet).withColumn("_model", F.upper(profile.listing_model(F.col("article"))))
+    rows = profile.wants(listing, sheet)
     if profile.single:
-        want = F.get("_wants", F.lit(0))
-        return rows.select(*cols, "_model", want["color"].alias("_color"), want["size"].alias("_size"))
-    return rows.select(*cols, "_model", "_wants")
+        rows = bound(rows, _want=F.get("_wants", F.lit(0)))
+        return rows.select(*cols, F.upper(profile.listing_model(F.col("article"))).alias("_model"), F.col("_want.color").alias("_color"), F.col("_want.size").alias("_size"))
+    return rows.select(*cols, F.upper(profile.listing_model(F.col("article"))).alias("_model"), "_wants")
+
+
+def _size_keys(size: Column, slack: float) -> Column:
+    """The keys of a size: the ranges of numbers that lie within `slack` of it, else the text itself.
+
+    Numbers are laid out so that a tolerance of 1e-9, relative above 1, is a distance
+    of 1e-9 everywhere; a range is a millionth wide.  A number within the slack of a
+    bound has two ranges.
+    """
+
+    def ranges(x: Column) -> Column:
+        far = F.signum(x) * F.when(F.abs(x) <= 1, F.abs(x)).otherwise(1 + F.ln(F.abs(x)))
+        return F.array_distinct(F.transform(F.array(F.lit(-slack), F.lit(slack)), lambda d: F.concat(F.lit("n"), F.floor((far + d) / RANGE).cast("string"))))
+
+    finite = number(size)
+    return F.when(F.abs(finite) < float("inf"), let(finite, ranges)).otherwise(F.array(F.concat(F.lit("t"), size)))
+
+
+def _close_in_size(asks: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(pos, sku_id, supply) of all pairs of one model and colour whose sizes fit within 1e-9: a hash join on ranges, checked exactly."""
+    asked = asks.withColumn("_key", F.explode(_size_keys(F.col("_size"), SLACK)))
+    given = firsts.withColumnRenamed("_size", "_given").withColumn("_key", F.explode(_size_keys(F.col("_given"), 0.0)))
+    return asked.join(given, ["_model", "_color", "_key"]).where(same_size(F.col("_size"), F.col("_given"))).select("pos", "sku_id", "supply")
+
+
+def _holding_colors(asks: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(pos, sku_id, supply) of all pairs of one model and size where the wanted word holds the supply's colour; a null word holds only a blank one.
+
+    A word asks once for each of its pieces that is as long as a colour of its model,
+    so this is a hash join on equal colours.
+    """
+    lengths = firsts.groupBy("_model").agg(F.collect_set(F.length("_color")).alias("_lengths"))
+    piece = lambda word, n: F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, n))
+    pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= F.length("_want")), lambda n: F.when(n == 0, F.array(F.lit(""))).otherwise(piece(F.col("_want"), n))))
+    asked = asks.join(lengths, "_model").select("pos", "sku_id", "_model", "_size", F.explode(F.when(F.col("_want").isNull(), F.array(F.lit(""))).otherwise(F.array_distinct(pieces))).alias("_color"))
+    return asked.join(firsts, ["_model", "_color", "_size"]).select("pos", "sku_id", "supply")
 
 
 def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
     """(pos, sku_id, supply): the first fitting supply row of each listing that has one."""
     asks = _asked(listing, profile, sheet, ["pos", "sku_id"]).where("_model is not null")
     firsts = _earliest(supply, profile)
-    if profile.single:
+    if profile.single and not profile.tolerant:
         return asks.join(firsts, ["_model", "_color", "_size"]).select("pos", "sku_id", "supply")
-    asks = asks.select("pos", "sku_id", "_model", F.explode("_wants").alias("_w"))
-    asks = asks.select("pos", "sku_id", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
-    if profile.contains:
-        fits = F.when(F.col("_want").isNull(), F.col("_color") == "").otherwise(F.col("_want").contains(F.col("_color")))
-        joined = asks.join(firsts, ["_model", "_size"]).where(fits)
+    if profile.tolerant and profile.single:
+        pairs = _close_in_size(asks, firsts)
     else:
-        joined = asks.withColumnRenamed("_want", "_color").join(firsts, ["_model", "_color", "_size"])
-    return joined.groupBy("pos").agg(F.first("sku_id").alias("sku_id"), F.min_by("supply", "supply.pos").alias("supply"))
+        asks = asks.select("pos", "sku_id", "_model", F.explode("_wants").alias("_w"))
+        asks = asks.select("pos", "sku_id", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
+        if profile.contains:
+            pairs = _holding_colors(asks, firsts)
+        else:
+            asks = asks.withColumnRenamed("_want", "_color")
+            pairs = _close_in_size(asks, firsts) if profile.tolerant else asks.join(firsts, ["_model", "_color", "_size"])
+    return pairs.groupBy("pos").agg(F.first("sku_id").alias("sku_id"), F.min_by("supply", "supply.pos").alias("supply"))
 
 
 def _models(df: DataFrame, model: Column) -> DataFrame:
@@ -98,7 +144,7 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     made = ["status", "new_lead_time", "new_bid", "new_stock", "old_cost", "bid_price"]
     rows = listing.drop(*made)
     known = _models(supply, profile.supply_model(F.col("model").cast("string")))
-    if profile.single and matches is None:
+    if profile.single and not profile.tolerant and matches is None:
         rows = _asked(rows, profile, sheet, rows.columns).join(_earliest(supply, profile), ["_model", "_color", "_size"], "left")
     else:
         matches = first_match(listing, supply, profile, sheet) if matches is None else matches
