@@ -6,16 +6,17 @@ Every operator takes the order explicitly; a table has none of its own.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-#: A table with more rows than this is cut into parts along its keys and order.
-PLAIN_ROWS = 10_000
+#: A table with a key of more rows than about this is cut into parts along its keys and order.
+PLAIN_ROWS = 1_000_000
 #: Rows sampled for each part to find its bounds.
 PER_PART = 32
 
@@ -53,21 +54,23 @@ def _fixed(value, kind: T.DataType) -> Column:
     return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], plain_rows: int) -> list[Column]:
-    """Tuples of `columns`, in order, that cut the table into parts of about as many rows; none for at most `plain_rows` rows.
+def _bounds(df: DataFrame, by: Sequence[str], order: Sequence[str], plain_rows: int) -> list[Column]:
+    """Tuples of (by, order), in order, that cut the table into parts of about as many rows; none where no key has more than about `plain_rows` rows.
 
-    They come from a random sample of bounded size.  Each is a constant of the
-    plan, so a recomputed task deals its rows as before.
+    They come from a random sample of bounded size, taken and counted in one pass.
+    Each is a constant of the plan, so a recomputed task deals its rows as before.
     """
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    columns, seen = [*by, *order], Observation()
     kinds = [df.schema[c].dataType for c in columns]
     coded = [F.unix_micros(c) if isinstance(k, T.TimestampType) else F.col(c).cast("string") if isinstance(k, T.TimestampNTZType) else F.col(c) for c, k in zip(columns, kinds, strict=True)]
-    most = max(plain_rows, PER_PART * parts) + 1
-    sample = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], *[c.alias(f"v{i}") for i, c in enumerate(coded)]).orderBy(F.rand(7)).limit(most)
-    rows = sample.orderBy(*[f"c{i}" for i in range(len(columns))]).select(*[f"v{i}" for i in range(len(columns))]).collect()
-    if len(rows) <= plain_rows:
+    named = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], *[c.alias(f"v{i}") for i, c in enumerate(coded)])
+    sample = named.observe(seen, F.count(F.lit(1)).alias("rows")).orderBy(F.rand(7)).limit(PER_PART * parts)
+    rows = [tuple(r) for r in sample.orderBy(*[f"c{i}" for i in range(len(columns))]).select(*[f"v{i}" for i in range(len(columns))]).collect()]
+    largest = max(Counter(r[: len(by)] for r in rows).values(), default=0)
+    if not rows or seen.get["rows"] * largest <= plain_rows * len(rows):
         return []
-    chosen = dict.fromkeys(tuple(rows[len(rows) * k // parts]) for k in range(1, parts) if len(rows) * k // parts < len(rows))
+    chosen = dict.fromkeys(rows[len(rows) * k // parts] for k in range(1, parts))
     return [F.struct(*[_fixed(v, k).alias(f"c{i}") for i, (v, k) in enumerate(zip(row, kinds, strict=True))]) for row in chosen]
 
 
@@ -78,7 +81,7 @@ def in_parts(df: DataFrame, by: Sequence[str], order: Sequence[str], plain_rows:
     has; equal tuples share a part.  `_cut` marks the keys that may go on in another
     part: those of the bounds beside the row's part, two for each part at most.
     """
-    limits = _bounds(df, [*by, *order], plain_rows)
+    limits = _bounds(df, by, order, plain_rows)
     if not limits:
         return df, []
     # a search in two steps: which block of bounds, then which of its bounds
@@ -122,9 +125,10 @@ def with_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], code: Colu
     """A number for each run of equal neighbouring codes within `by`, from 1; nulls are equal.
 
     The order columns may be of any sortable types; rows that are equal in all of
-    them follow each other by code.  A table of more than `plain_rows` rows is cut
-    along its keys and order, so that a key that holds most rows is shared by many
-    tasks; what crosses a part's bounds comes from a table of two rows a part.
+    them follow each other by code.  A table with a key of more than about
+    `plain_rows` rows is cut along its keys and order, so that such a key is shared
+    by many tasks; what crosses a part's bounds comes from a table of two rows a
+    part.  The numbers are the same either way.
     """
     rows, own, line = _coded(df, by, order, code, plain_rows)
     if len(own) == len(by):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import schemas as S
 from .functions import text as X
@@ -111,6 +112,43 @@ def charts_reused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "outcome", image.alias("image"))
 
 
+_PLACES = "CASE event_type WHEN 'click' THEN 'B1' WHEN 'view' THEN 'B2' ELSE 'B3' END"
+
+
+@query(
+    f"""WITH p AS (SELECT *, {_PLACES} AS brand, {_PLACES} IS DISTINCT FROM lag({_PLACES}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS chg FROM events),
+r AS (SELECT *, sum(CAST(chg AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM p),
+b AS (SELECT *, first_value(event_id) OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS head FROM r)
+SELECT event_id, CASE WHEN brand <> 'B3' AND user_id % 3 = CAST(substr(brand, 2) AS INTEGER) THEN 'reused' ELSE 'created' END AS outcome,
+  CASE WHEN brand <> 'B3' AND user_id % 3 = CAST(substr(brand, 2) AS INTEGER) THEN 'https://cdn.example/sizetoimg/' || brand || '/z/u' || user_id || '.jpg?v=zzzzzzzzzzzz'
+    ELSE 'https://cdn.example/sizetoimg/' || brand || '/u' || user_id || '.jpg' END AS image,
+  CASE WHEN brand <> 'B3' AND user_id % 3 = CAST(substr(brand, 2) AS INTEGER) THEN NULL ELSE head END AS drawn_from FROM b"""
+)
+def charts_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of one name with several brands and in many runs: only the own brand's image is reused, the last of a name counts, and each run has the version of its own first row."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    e = table(spark, sf_dir, "events").withColumn("pos", place)
+    # a code carries its brand's letter behind a hyphen, so that neighbouring brands are runs of their own
+    sheet = e.selectExpr("cast(user_id AS string) AS sheet", "pos", f"concat('u', user_id, '_', {_PLACES}) AS Code", "concat('<p>', event_id, '</p>') AS Description", f"{_PLACES} AS brand", "event_id", "user_id")
+    there = e.selectExpr("explode(array(struct('sizetoimg/B1/' AS at, 1 AS m), struct('sizetoimg/B2/' AS at, 2 AS m), struct('other/B3/' AS at, 0 AS m))) AS x", "user_id").where("user_id % 3 = x.m").select("x.at", "user_id").distinct()
+    listing = there.selectExpr("concat(at, 'u', user_id, '_', split_part(at, '/', 2), '.jpg') AS key", "'yyyyyyyyyyyyyyyy' AS hash").unionByName(there.selectExpr("concat(at, 'z/u', user_id, '_', split_part(at, '/', 2), '.jpg') AS key", "'zzzzzzzzzzzzzzzz' AS hash"))
+    rows, _ = J.size_charts(sheet, listing, F.col("brand"), "https://cdn.example", whole_code=True, folder=J.CHARTS)
+    drawn = sheet.select(F.substring(F.md5(J.chart_html(F.col("Description"), F.col("brand")).cast("binary")), 1, 12).alias("_v"), F.col("event_id").alias("drawn_from"))
+    got = rows.withColumn("_v", F.when(F.col("outcome") == "created", F.substring_index("size_image", "?v=", -1))).join(drawn, "_v", "left")
+    image = F.when(F.col("outcome") == "created", F.regexp_replace("size_image", r"[?]v=[0-9a-f]{12}$", "")).otherwise(F.col("size_image"))
+    return got.select("event_id", "outcome", F.regexp_replace(image, "_B[0-9]", "").alias("image"), "drawn_from")
+
+
+@query("SELECT p_partkey AS k, 'export-20240103.csv' AS file FROM part WHERE p_partkey % 3 = 2")
+def newest_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exports of a file each; only the one of the greatest name is opened."""
+    path, p = O.fresh_path(spark, "exports"), _part(spark, sf_dir)
+    for day in range(3):
+        O.write_export(p.where(F.col("k") % 3 == day), f"{path}/export-2024010{day + 1}.csv")
+    got = R.newest(spark, f"{path}/*.csv")
+    return got.select(F.col("_c0").cast("long").alias("k"), F.col("_metadata.file_name").alias("file"))
+
+
 @query("SELECT p_partkey AS k, 'https://cdn.example/b/m' || p_partkey || '/a.jpg' || CASE WHEN p_partkey % 2 = 0 THEN ';https://cdn.example/b/m' || p_partkey || '/image_1.jpg' ELSE '' END AS urls FROM part WHERE p_partkey % 5 <> 0")
 def manifest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated lines with a header written, read, turned into images and folded back; short lines are rejected."""
@@ -138,8 +176,6 @@ SELECT event_id, event_type, place FROM r WHERE place <= 1000"""
 )
 def source_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups by first appearance and rows by position: the head of that order, a thousand rows."""
-    from pyspark.sql.window import Window
-
     ordered = W.source_order(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_type", "event_id")
     head = ordered.limit(1000).withColumn("_at", F.monotonically_increasing_id())
     return head.select("event_id", "event_type", F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("place"))

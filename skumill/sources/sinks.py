@@ -82,6 +82,19 @@ def write_lines(df: DataFrame, path: str, columns: Sequence[str], header: str |
         df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1).write.mode("append").text(path)
 
 
+def write_export(df: DataFrame, path: str, **options) -> None:
+    """One CSV file under a name of its own, as people exchange them; for results that one task can write."""
+    spark, part = df.sparkSession, f"{path}-{uuid.uuid4().hex[:8]}"
+    df.coalesce(1).write.options(**options).csv(part)
+    to = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    made = [f.getPath() for f in fs.listStatus(to(part)) if f.getPath().getName().startswith("part-")]
+    fs.delete(to(path), False)
+    if not made or not fs.rename(made[0], to(path)):
+        raise OSError(f"{path} was not written")
+    fs.delete(to(part), True)
+
+
 def append_log(df: DataFrame, path: str, order: str | None = None, run: int | None = None) -> None:
     """Append JSON lines under a run's stamp (the time in microseconds by default); `order` names a column that orders them."""
     stamp = time.time_ns() // 1000 if run is None else run

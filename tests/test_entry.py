@@ -1,5 +1,6 @@
 """The driver contract, with and without the optional subpackage."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -31,6 +32,14 @@ def test_the_rest_works_without_the_optional_parts(tmp_path, gone):
         assert not any(n.startswith("op") and n[2].isdigit() for n in names | sql)
 
 
+def test_another_checkout_on_the_path_is_not_asked(tmp_path):
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "spark-warehouse", "corpus_pipeline.py"))
+    ask = "import __spark_entry__ as e, skumill; print('pipeline' in e.queries()); print(e.__file__, skumill.__file__)"
+    got = subprocess.run([sys.executable, "-c", ask], cwd=copy, env={**os.environ, "PYTHONPATH": str(ROOT)}, capture_output=True, text=True, check=True).stdout.splitlines()
+    assert got[-2] == "False" and all(f.startswith(str(copy)) for f in got[-1].split())
+
+
 def test_entry_gives_rows_of_a_stable_schema(spark):
     df = __spark_entry__.entry(spark)
     assert df.columns[:2] == ["pos", "status"] and df.count() > 0
