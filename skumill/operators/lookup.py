@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
+from collections.abc import Iterator
+
 import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import written
+from .dedupe import batch_ids
+
 #: Words of a dictionary that is scanned in order within the plan.
 MOST_WORDS = 5_000
 #: Words of one automaton that every executor gets; a larger dictionary has several.
-PART_WORDS = 500_000
+PART_WORDS = 100_000
+#: Automata that a Python worker keeps compiled.
+KEPT = 4
 
 
 def color_lookups(sheet: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -54,20 +64,50 @@ def equal_lookup(df: DataFrame, key: str, dictionary: DataFrame, default: Column
     return found.withColumn(out, F.coalesce("_value", default) if default is not None else F.col("_value")).drop("_value")
 
 
-def _in_automaton(text: Column, words: list[tuple[str, str | None]]) -> Column:
-    """struct<hit, value> of the first of `words` (word, value) that a text holds, in Arrow batches; null without one."""
+def _in_automata(text: Column, parts: list[tuple[str, Broadcast]]) -> Column:
+    """struct<hit, value> of the first word that a text holds, in Arrow batches; null without one.
+
+    `parts` are (name, words) in the dictionary's order.  A text that has its word in
+    one part asks no later one.  A Python worker compiles a part once and keeps the
+    last `KEPT` of them.
+    """
 
     @F.pandas_udf("hit boolean, value string")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        own, empty = _automaton(words)
-        places = lambda t: [k for _, k in own.iter(t)] if len(own) else []
-        found = [None if t is None else min([*places(t), *([] if empty is None else [empty])], default=None) for t in texts]
-        return pd.DataFrame({"hit": [k is not None for k in found], "value": [None if k is None else words[k][1] for k in found]})
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            hit, value = [False] * len(texts), [None] * len(texts)
+            left = [(k, t) for k, t in enumerate(texts) if t is not None]
+            for name, words in parts:
+                if not left:
+                    break
+                own, empty, held = _compiled(name, words)
+                later = []
+                for k, t in left:
+                    place = min([*([p for _, p in own.iter(t)] if len(own) else []), *([] if empty is None else [empty])], default=None)
+                    if place is None:
+                        later.append((k, t))
+                    else:
+                        hit[k], value[k] = True, held[place]
+                left = later
+            yield pd.DataFrame({"hit": hit, "value": value})
 
     got = run(text)
     return F.when(got["hit"], got)
 
 
+_COMPILED: OrderedDict[str, tuple[ahocorasick.Automaton, int | None, list[str | None]]] = OrderedDict()
+
+
+def _compiled(name: str, words: Broadcast) -> tuple[ahocorasick.Automaton, int | None, list[str | None]]:
+    """The automaton of a part, the place of its first empty word, and its values by place."""
+    if name not in _COMPILED:
+        _COMPILED[name] = (*_automaton(words.value), [v for _, v in words.value])
+        while len(_COMPILED) > KEPT:
+            _COMPILED.popitem(last=False)
+    _COMPILED.move_to_end(name)
+    return _COMPILED[name]
+
+
 def _automaton(words: list[tuple[str, str | None]]) -> tuple[ahocorasick.Automaton, int | None]:
     """The automaton of the words that are not empty, each with its first place, and the place of the first empty one."""
     own, empty = ahocorasick.Automaton(), None
@@ -84,24 +124,26 @@ def _automaton(words: list[tuple[str, str | None]]) -> tuple[ahocorasick.Automat
 def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, out: str = "value", most_words: int = MOST_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """The value of the first dictionary row (pos, word, value) whose word the text holds; null words hold nowhere.
 
-    A dictionary of up to `most_words` becomes one literal array that is scanned in
-    order: no join, and no pair of rows.  A larger one becomes an automaton, or one
-    for each `part_words` of it in order, that finds all words of a text at once.
+    Rows of one pos follow each other by word.  A dictionary of up to `most_words`
+    becomes one literal array that is scanned in order: no join, and no pair of rows.
+    A larger one is cut along its order into parts of `part_words`; each is sent to
+    the executors, which compile it once, and a text goes from part to part until
+    one of its words is found.  The driver holds one part at a time.
     """
-    rows = dictionary.select("pos", F.col(key).cast("string").alias("word"), F.col("value").cast("string").alias("value")).where("word is not null").orderBy("pos", "word")
-    words = [(r.word, r.value) for r in rows.take(most_words + 1)]
+    spark = df.sparkSession
+    rows = dictionary.select("pos", F.col(key).cast("string").alias("word"), F.col("value").cast("string").alias("value")).where("word is not null")
+    words = [(r.word, r.value) for r in rows.orderBy("pos", "word").take(most_words + 1)]
     if not words:
         return df.withColumn(out, F.lit(None).cast("string"))
     if len(words) <= most_words:
         entries = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(v).alias("value")) for w, v in words])
         return df.withColumn(out, F.get(F.filter(entries, lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"])
-    parts: list[list[tuple[str, str | None]]] = [[]]
-    for r in rows.toLocalIterator():
-        if len(parts[-1]) == part_words:
-            parts.append([])
-        parts[-1].append((r.word, r.value))
-    found = [_in_automaton(F.col(text), part) for part in parts]
-    return df.withColumn(out, F.coalesce(*found)["value"])
+    cut = written(batch_ids(rows, ["pos", "word"], part_words, "part"), "dictionary")
+    parts = []
+    for k in range(cut.agg(F.max("part")).first()[0] + 1):
+        part = [(r.word, r.value) for r in cut.where(F.col("part") == k).orderBy("pos", "word").collect()]
+        parts.append((uuid.uuid4().hex, spark.sparkContext.broadcast(part)))
+    return df.withColumn(out, _in_automata(F.col(text), parts)["value"])
 
 
 def multi_value(*charts: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import schemas as S
+from .functions import sizes as Z
 from .functions import text as X
 from .operators import dedupe as W
+from .operators import lookup as N
 from .operators import manifest as J
 from .operators import metrics as A
 from .operators import titles as Ti
@@ -160,6 +162,35 @@ def manifest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select(F.substring("model", 2, 20).cast("long").alias("k"), "urls")
 
 
+# --- dictionaries -----------------------------------------------------------------------
+
+
+@query(
+    """WITH t AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), w AS (SELECT o_orderkey, (o_orderkey * 7919) % 100003 AS pos, o_orderpriority || '/' || o_orderkey AS value FROM orders),
+asked AS (SELECT k, unnest([k, k + 1, k * 2]) AS o FROM t)
+SELECT t.k, arg_min(value, (pos, '#' || o_orderkey || '#')) AS value FROM t LEFT JOIN asked USING (k) LEFT JOIN w ON o = o_orderkey GROUP BY t.k"""
+)
+def large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order number is a word of a dictionary in an order of its own; a text holds up to three of them."""
+    words = table(spark, sf_dir, "orders").selectExpr("(o_orderkey * 7919) % 100003 AS pos", "concat('#', o_orderkey, '#') AS word", "concat(o_orderpriority, '/', o_orderkey) AS value")
+    texts = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS k").distinct().selectExpr("k", "concat('of #', k + 1, '# and #', k * 2, '#', k, '#.') AS t")
+    return N.first_contained(texts, "t", "word", words, part_words=8_000).select("k", "value")
+
+
+_HUES = [("纯黑色外套", "TRBK"), ("外套 黑色/深蓝绿", "BK/DT"), ("黑色", "BK"), ("浅卡其/褐色", "LK/TN"), ("浅卡其", "LTKH"), ("辣椒红 小", "PAP-C,PAPRIC,PAPRI"), ("绿色", "DGN,GN"), ("森林绿色", "FOST"), ("摩尔灰 L", "ML-C"), ("无", None)]
+
+
+@query(
+    f"""WITH hue(i, codes) AS (VALUES {", ".join(f"({i}, {'NULL' if c is None else repr(c)})" for i, (_, c) in enumerate(_HUES))})
+SELECT p_partkey AS k, codes FROM part JOIN hue ON p_partkey % {len(_HUES)} = i"""
+)
+def colour_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of the colour word that a text holds; a longer word comes before one that it contains."""
+    texts = F.array(*[F.lit(t) for t, _ in _HUES])
+    p = _part(spark, sf_dir).select("k", F.get(texts, (F.col("k") % len(_HUES)).cast("int")).alias("t"))
+    return p.select("k", F.array_join(Z.color_codes(F.concat(F.lit("新 "), F.col("t"))), ",").alias("codes"))
+
+
 # --- order, groups and counters -----------------------------------------------------
 
 
@@ -301,6 +332,19 @@ def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.join(spark.read.parquet(failed).selectExpr("cast(url AS long) AS k", "time AS run_ts"), ["k", "run_ts"], "left_semi").select("k", "run_ts")
 
 
+@query("SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN 'x y/z' ELSE 'y' END AS brand, CASE WHEN p_partkey % 2 = 0 THEN '20240102' ELSE '20240101' END AS run_ts, 2 AS dropped FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 1")
+def current_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest committed run of two brands; a run written twice counts once, one without a commit not at all, and both kinds of old runs are deleted."""
+    path, rows = O.fresh_path(spark, "snapshots"), _part(spark, sf_dir)
+    O.write_run(rows, path, "20240101", "x y/z")
+    for _ in range(2):
+        O.write_run(rows.where("k % 2 = 0"), path, "20240102", "x y/z")
+    O.write_run(rows.where("k % 2 = 1 AND k % 3 = 1"), path, "20240101", "y")
+    rows.withColumn("run_brand", F.lit("y")).withColumn("run_ts", F.lit("20240103")).write.mode("append").partitionBy("run_brand", "run_ts").parquet(path)  # never committed
+    dropped = O.drop_old_runs(spark, path)
+    return O.current_runs(spark, path).select("k", F.col("run_brand").alias("brand"), F.col("run_ts").cast("string").alias("run_ts"), F.lit(dropped).alias("dropped"))
+
+
 # --- work that goes on where it ended -----------------------------------------------------
 
 
@@ -317,6 +361,33 @@ def incremental_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.latest_status(log).select("url", "status", "attempts")
 
 
+@query(
+    """WITH s AS (SELECT user_id, arg_max(event_type, event_id) AS last, count(*) AS n FROM events WHERE user_id % 3 <> 0 GROUP BY user_id),
+w AS (SELECT DISTINCT user_id FROM events)
+SELECT w.user_id AS url, last IS NULL OR last NOT IN ('click', 'view') AS goes_on, last IS NULL OR last <> 'view' AS with_retry FROM w LEFT JOIN s USING (user_id)"""
+)
+def resumed_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second run takes up: not what is done, and what has failed only on request."""
+    events = table(spark, sf_dir, "events")
+    wanted = events.selectExpr("user_id AS url").distinct()
+    log = events.where("user_id % 3 <> 0").selectExpr("user_id AS url", "event_id AS run", "CASE event_type WHEN 'click' THEN 'failed' WHEN 'view' THEN 'done' ELSE 'started' END AS status", "event_type AS error")
+    todo, retried = (I.resume(wanted, log, again).withColumn("_there", F.lit(True)) for again in (False, True))
+    marked = wanted.join(todo.withColumnRenamed("_there", "_a"), "url", "left").join(retried.withColumnRenamed("_there", "_b"), "url", "left")
+    return marked.select("url", F.coalesce("_a", F.lit(False)).alias("goes_on"), F.coalesce("_b", F.lit(False)).alias("with_retry"))
+
+
+@query("SELECT user_id AS url, user_id % 2 = 0 AS kept, count(*) AS n FROM events WHERE user_id % 2 = 0 GROUP BY user_id")
+def finished_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The work state of a complete job is deleted, that of an incomplete one stays."""
+    paths = [O.fresh_path(spark, "job-state") for _ in range(2)]
+    for half, path in enumerate(paths):
+        table(spark, sf_dir, "events").where(F.col("user_id") % 2 == half).selectExpr("user_id AS url", "event_id").write.parquet(path)
+    kept = [path for half, path in enumerate(paths) if not O.drop_finished(spark, path, complete=half == 1)]
+    there = R.file_listing(spark, f"{O.fresh_path(spark, 'job-state').rsplit('/', 1)[0]}/job-state-*/*").select(F.element_at(F.split("path", "/"), -2).alias("job")).distinct()
+    left = there.where(F.col("job").isin(*[p.rsplit("/", 1)[1] for p in paths])).count()
+    return spark.read.parquet(*kept).groupBy("url").agg(F.count("*").alias("n")).select("url", F.lit(left == 1).alias("kept"), "n")
+
+
 _STREAK = """WITH b AS (SELECT *, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS bad FROM events),
 k AS (SELECT *, sum(1 - bad) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS block FROM b),
 s AS (SELECT user_id, event_id, CASE WHEN bad = 1 THEN sum(bad) OVER (PARTITION BY user_id, block ORDER BY event_id ROWS UNBOUNDED PRECEDING) ELSE 0 END AS streak FROM k)

@@ -6,13 +6,17 @@ import tempfile
 import time
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schemas as S
 from ..operators.dedupe import latest
 
+COMMIT = "run_brand string, run_ts string"
+
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster shares; a temporary one only in local mode where none is set."""
@@ -64,8 +68,45 @@ def supply_output(df: DataFrame) -> DataFrame:
 
 
 def write_run(df: DataFrame, path: str, run_ts: str, brand: str) -> None:
-    """Append under the run's stamp and brand; nothing earlier is touched."""
-    df.withColumn("run_ts", F.lit(run_ts)).withColumn("run_brand", F.lit(brand)).write.mode("append").partitionBy("run_brand", "run_ts").parquet(path)
+    """Publish a brand's run under its stamp: a run that is written again is replaced, nothing else is touched.
+
+    The run counts from the moment its commit stands beside the table, in
+    `<path>.commits`; a job that ends before leaves files that `current_runs` passes over.
+    """
+    stamped = df.withColumn("run_ts", F.lit(run_ts)).withColumn("run_brand", F.lit(brand))
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_brand", "run_ts").parquet(path)
+    commit_run(df.sparkSession, path, run_ts, brand)
+
+
+def commit_run(spark: SparkSession, path: str, run_ts: str, brand: str) -> None:
+    spark.createDataFrame([(brand, run_ts)], COMMIT).coalesce(1).write.mode("append").json(f"{path}.commits")
+
+
+def _newest_commits(spark: SparkSession, path: str, keep: int = 1) -> list[tuple[str, str]]:
+    """(brand, stamp) of the `keep` newest committed runs of each brand; a brand has one row for each run it ever committed."""
+    commits = spark.read.schema(COMMIT).json(f"{path}.commits").distinct()
+    place = F.row_number().over(Window.partitionBy("run_brand").orderBy(F.desc("run_ts")))
+    return [tuple(r) for r in commits.withColumn("_place", place).where(F.col("_place") <= keep).drop("_place").collect()]
+
+
+def current_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed run of each brand; no other run's folder is read."""
+    runs = _newest_commits(spark, path)
+    table = spark.read.option("basePath", path).parquet(path)
+    named = [(F.col("run_brand") == F.lit(brand)) & (F.col("run_ts").cast("string") == F.lit(stamp)) for brand, stamp in runs]
+    return table.where(reduce(lambda a, b: a | b, named, F.lit(False)))
+
+
+def drop_old_runs(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete the runs that are not among the `keep` newest committed ones of their brand; how many folders went."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    kept = {f"run_brand={escape(brand)}/run_ts={escape(stamp)}" for brand, stamp in _newest_commits(spark, path, keep)}
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in fs.globStatus(at(f"{path}/run_brand=*/run_ts=*")) if f"{f.getPath().getParent().getName()}/{f.getPath().getName()}" not in kept]
+    for folder in old:
+        fs.delete(folder, True)
+    return len(old)
 
 
 def latest_run(df: DataFrame, stamp: str = "run_ts", by: Sequence[str] = ()) -> DataFrame:

@@ -59,10 +59,18 @@ def run_incremental(source: DataFrame, checkpoint: str, publish: Callable[[DataF
 
 
 def upsert_status(path: str) -> Callable[[DataFrame, int], None]:
-    """A publisher that appends a batch's statuses; readers take `latest_status`."""
+    """A publisher of a batch's statuses under its stream and number; readers take `latest_status`.
+
+    A batch that is worked off again, after a failure before its commit, replaces
+    what it wrote before, so no attempt counts twice.  The stream's name is the one
+    that its checkpoint keeps; a stream with a new checkpoint publishes beside it.
+    """
 
     def publish(batch: DataFrame, number: int) -> None:
-        batch.withColumn("run", F.lit(number)).write.mode("append").parquet(path)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("upsert_status publishes the batches of a stream")
+        batch.write.mode("overwrite").parquet(f"{path}/stream={stream}/run={number}")
 
     return publish
 

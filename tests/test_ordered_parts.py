@@ -15,6 +15,8 @@ from skumill.operators import manifest as J
 from skumill.operators import reconcile as R
 from skumill.plans.profiles import PROFILES, profile
 from skumill.sources import readers
+from skumill.sources import sinks as O
+from skumill.streaming import incremental as I
 
 
 def texts(df):
@@ -134,3 +136,39 @@ def test_plans_of_all_profiles_stay_small(spark):
     for name in PROFILES:
         plan = R.first_match(listing, supply, profile(name))._jdf.queryExecution().optimizedPlan().toString()
         assert len(plan) < 50_000, (name, len(plan))
+
+
+def test_a_batch_worked_off_twice_counts_once(spark, tmp_path):
+    source, state, out = (f"file://{tmp_path}/{n}" for n in ("source", "state", "out"))
+    log = spark.createDataFrame([("a", "failed", None), ("b", "done", None)], "url string, status string, error string")
+    log.write.parquet(source)
+    stream = lambda: spark.readStream.schema(log.schema).parquet(source)
+    publish, broken = I.upsert_status(out), [True]
+
+    def fails_once(batch, number):
+        publish(batch, number)
+        if broken.pop() if broken else False:
+            raise RuntimeError("after the write, before the commit")
+
+    with pytest.raises(Exception, match="after the write"):
+        I.run_incremental(stream(), state, fails_once)
+    assert spark.read.parquet(out).count() == 2
+    log.where("url = 'a'").write.mode("append").parquet(source)
+    I.run_incremental(stream(), state, fails_once)
+    I.run_incremental(stream(), state, fails_once)
+    now = {r.url: r.attempts for r in I.latest_status(spark.read.parquet(out)).collect()}
+    assert now == {"a": 2, "b": 1}
+    I.run_incremental(stream(), state + "2", I.upsert_status(out))  # a stream of its own
+    assert {r.url: r.attempts for r in I.latest_status(spark.read.parquet(out)).collect()} == {"a": 4, "b": 2}
+
+
+def test_current_runs_read_only_their_folders(spark, tmp_path):
+    path = f"file://{tmp_path}/runs"
+    for stamp in ("1", "2", "3"):
+        for brand in ("p", "q/ r"):
+            O.write_run(spark.createDataFrame([(brand, stamp)], "b string, t string"), path, stamp, brand)
+    got = O.current_runs(spark, path)
+    assert sorted(map(tuple, got.select("b", "t").collect())) == [("p", "3"), ("q/ r", "3")]
+    assert len([f for f in got.inputFiles()]) >= 2 and "PartitionFilters: [" in got._jdf.queryExecution().executedPlan().toString()
+    assert O.drop_old_runs(spark, path, keep=2) == 2 and O.drop_old_runs(spark, path) == 2 and O.drop_old_runs(spark, path) == 0
+    assert O.current_runs(spark, path).count() == 2
