@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -410,3 +412,32 @@ def batch_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "events").selectExpr("cast(user_id AS string) AS host", "event_id AS ts", "event_type = 'click' AS failed")
     marked = W.failure_streaks(log, ["host"], ["ts"], F.col("failed"))
     return W.streak_alerts(marked, every=2, abort=3).where("streak >= 2").select("host", "ts", F.col("streak").cast("int"), "alert")
+
+
+@query(
+    """WITH b AS (SELECT *, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS bad, ts - lag(ts) OVER w > INTERVAL 36 HOURS AS gap FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+k AS (SELECT *, sum(CASE WHEN bad = 0 OR gap THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS block FROM b),
+s AS (SELECT *, CASE WHEN bad = 1 THEN sum(bad) OVER (PARTITION BY user_id, block ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) ELSE 0 END AS streak FROM k)
+SELECT CAST(user_id AS VARCHAR) AS host, event_id AS id, CAST(streak AS INTEGER) AS streak, CASE WHEN streak >= 3 THEN 'abort' ELSE 'pause' END AS alert FROM s WHERE streak >= 2"""
+)
+def late_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream whose rows arrive up to five hours late, over several batches: as if they had come in order; a host that is silent for 36 hours starts anew."""
+    source, out, state = (O.fresh_path(spark, n) for n in ("hosts", "alerts", "state"))
+    log = table(spark, sf_dir, "events").selectExpr("cast(user_id AS string) AS host", "cast(ts AS timestamp) AS ts", "event_id AS id", "event_type = 'click' AS failed")
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("id"), F.lit(5 * 3600))
+    first, last = log.agg(F.min(arrival), F.max(arrival)).first()
+    batch = F.floor((arrival - first) * 3 / (last - first + 1))
+    end = spark.sql("SELECT 'end' AS host, timestamp'2200-01-01' AS ts, -1L AS id, false AS failed, 3L AS batch")
+    log.withColumn("batch", batch).unionByName(end).write.partitionBy("batch").parquet(f"{source}-all")
+    for k in range(4):  # files are read in the order in which they were written
+        spark.read.parquet(f"{source}-all/batch={k}").repartition(4).write.mode("append").parquet(source)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, I.ROCKSDB)
+    try:
+        rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 4).parquet(source)
+        alerts = I.ordered_streak_stream(rows, late="6 hours", idle=timedelta(hours=36), every=2, abort=3)
+        alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.schema("host string, ts timestamp, id bigint, streak int, alert string").parquet(out).drop("ts")

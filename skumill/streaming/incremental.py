@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from ..functions.urls import signature
 from ..operators.dedupe import pending
 
+#: The state store that state with timers needs.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def job_signature(seeds: DataFrame, column: str, length: int = 12, ordered: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """The signature of a job's seed list (pos and `column`), one row, or one for each job of `by`.
@@ -94,3 +99,76 @@ def streak_stream(log: DataFrame, host: str = "host", order: str = "ts", failed:
 
     kinds = dict(log.dtypes)
     return log.groupBy(host).applyInPandasWithState(step, f"host {kinds[host]}, ts {kinds[order]}, streak int, alert string", "streak int", "append", GroupStateTimeout.NoTimeout)
+
+
+class _Streaks(StatefulProcessor):
+    """Failures in a row of one host, counted once the watermark has passed them."""
+
+    def __init__(self, every: int, abort: int, idle_ms: int):
+        self.every, self.abort, self.idle_ms = every, abort, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.streak = handle.getValueState("streak", "n int, at bigint")
+        self.waiting = handle.getListState("waiting", "at bigint, tie bigint, failed boolean")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        first = None
+        for row in rows:
+            self.waiting.appendValue((row["at"], row["tie"], bool(row["failed"])))
+            first = row["at"] if first is None else min(first, row["at"])
+        if first is not None:
+            self.handle.registerTimer(_due(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = sorted(self.waiting.get())
+        ripe, later = [r for r in held if _due(r[0]) <= now], [r for r in held if _due(r[0]) > now]
+        n, last = self.streak.get() if self.streak.exists() else (0, None)
+        out = []
+        for at, tie, failed in ripe:
+            if last is not None and at - last > self.idle_ms * 1000:
+                n = 0
+            n, last = n + 1 if failed else 0, at
+            if n >= self.abort or n and n % self.every == 0:
+                out.append(Row(host=key[0], at=at, tie=tie, streak=n, alert="abort" if n >= self.abort else "pause"))
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(_due(later[0][0]))
+        else:
+            self.waiting.clear()
+        if last is None or (not later and now >= _due(last) + self.idle_ms):
+            self.streak.clear()
+        else:
+            self.streak.update((n, last))
+            self.handle.registerTimer(_due(last) + self.idle_ms)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def _due(micros: int) -> int:
+    """The first millisecond of the watermark at which nothing of that time can still come."""
+    return micros // 1000 + 1
+
+
+def ordered_streak_stream(log: DataFrame, host: str = "host", order: str = "ts", tie: str = "id", failed: str = "failed", late: str = "10 minutes", idle: timedelta = timedelta(days=1), every: int = 6, abort: int = 18) -> DataFrame:
+    """Alerts (host, ts, id, streak, alert) of a streaming fetch log in the order of its time, however it arrives.
+
+    A host's rows wait in its state until the watermark (`late` behind the latest
+    time) has passed them, are counted in the order of (time, tie), and leave it; so
+    a host holds no more than its rows of that span.  Later rows are dropped.  A host
+    without rows for longer than `idle` loses its state: its next failure is its
+    first.  A null host is one of its own; a row without time or tie raises.  The
+    times are timestamps, the ties longs.  Needs the RocksDB state store, as
+    `ROCKSDB` names it.
+    """
+    store = log.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass")
+    if store != ROCKSDB:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
+    rows = log.select(F.col(host).cast("string").alias("host"), F.col(order).cast("timestamp").alias("ts"), F.unix_micros(F.col(order).cast("timestamp")).alias("at"), F.col(tie).cast("bigint").alias("tie"), F.col(failed).alias("failed"))
+    step = _Streaks(every, abort, int(idle.total_seconds() * 1000))
+    found = rows.withWatermark("ts", late).groupBy("host").transformWithState(step, "host string, at bigint, tie bigint, streak int, alert string", "append", "EventTime")
+    return found.select("host", F.timestamp_micros("at").alias("ts"), F.col("tie").alias("id"), "streak", "alert")

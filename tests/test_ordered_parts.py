@@ -172,3 +172,9 @@ def test_current_runs_read_only_their_folders(spark, tmp_path):
     assert len([f for f in got.inputFiles()]) >= 2 and "PartitionFilters: [" in got._jdf.queryExecution().executedPlan().toString()
     assert O.drop_old_runs(spark, path, keep=2) == 2 and O.drop_old_runs(spark, path) == 2 and O.drop_old_runs(spark, path) == 0
     assert O.current_runs(spark, path).count() == 2
+
+
+def test_state_with_timers_asks_for_its_store(spark):
+    log = spark.createDataFrame([("a", datetime.datetime(2024, 1, 1), 1, True)], "host string, ts timestamp, id long, failed boolean")
+    with pytest.raises(ValueError, match="RocksDB"):
+        I.ordered_streak_stream(log)
