@@ -131,17 +131,19 @@ class KDTree:
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
-def integer_vectors(df: DataFrame) -> DataFrame:
-    """(vec_id, v): floor(256 x) / 256 of each component, a double that holds it exactly; rows that take no part are gone.
+def integer_vectors(df: DataFrame, most: int) -> DataFrame:
+    """(vec_id, v, copy): floor(256 x) / 256 of each component, a double that holds it exactly; rows that take no part are gone.
 
     A vector that is null, holds a null or non-finite component or has none at
-    all takes no part, nor does a null vec_id.  Equal rows count once.
+    all takes no part, nor does a null vec_id.  Of equal rows the first `most` stay,
+    numbered from 1: more of them can be in no result.
     """
     x = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("_e")).where("vec_id is not null and _e is not null and size(_e) > 0")
     fine = F.forall("_e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     # from 2^45 on, 256 x is whole
     whole = F.transform("_e", lambda c: F.when(F.abs(c) < 2.0**45, F.floor(c * 256).cast("double") / 256).otherwise(c))
-    return x.where(fine).select("vec_id", whole.alias("v")).distinct()
+    rows = x.where(fine).select("vec_id", whole.alias("v")).groupBy("vec_id", "v").agg(F.count("*").alias("n"))
+    return rows.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(most)).cast("int"))).alias("copy"))
 
 
 def _rows(result: dict[str, list]) -> pa.RecordBatch:
@@ -156,17 +158,18 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
     """query_id, rank, vec_id and score of the k best candidates of each query.
 
     Queries are the vectors whose vec_id is divisible by `every`; candidates are
-    all vectors of the same length but those of the query's own id.  Ties go to
+    all rows with a vector of the same length but those of the query's own id, so
+    equal rows fill a rank each; equal rows that ask are one query.  Ties go to
     the smaller vec_id; a query with fewer candidates has fewer rows.  Null vectors,
     empty ones and those with a null or non-finite component take no part; an
     empty table gives an empty result.  Components of any size are searched
     exactly; a returned score that no long holds raises.
     """
     spark = vectors.sparkSession
-    rows = stored(integer_vectors(vectors), "vectors")
+    rows = stored(integer_vectors(vectors, k), "vectors")
     shards = -(-rows.count() // shard_rows) or 1
     many = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
+    dealt = rows.select("vec_id", "v", "copy", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
     dealt = dealt.repartition(many, "dim", "shard").sortWithinPartitions("dim", "shard", "vec_id")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +178,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
             ids = t["vec_id"].to_numpy()
             points = as_integers(t["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim))
             tree = KDTree(ids, points)
-            asked = np.flatnonzero(ids % every == 0)
+            asked = np.flatnonzero((ids % every == 0) & (t["copy"].to_numpy() == 1))
             home = [tree.search(points[i], int(ids[i]), k) for i in asked.tolist()]
             block = {"ids": ids[asked], "points": points[asked], "kth": [(r[-1] if len(r) == k else None) for r in home]}
             own = [(q, i, s) for q, r in zip(ids[asked].tolist(), home, strict=True) for s, i in r]
