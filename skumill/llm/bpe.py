@@ -23,6 +23,7 @@ import os
 import struct
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -156,64 +157,53 @@ class WordBPE:
 
 
 def compile_words(words: list[bytes], outputs: list[bytes]) -> bytes:
-    """A minimal acyclic automaton of sorted distinct non-empty words, with an output each, as one file image."""
-    nodes: list[list] = [[False, [], []]]  # final, labels, targets
-    register: dict[tuple, int] = {}
-    chain: list[int] = [0]
+    """A minimal acyclic automaton of sorted distinct non-empty words, with an output each, as one file image.
+
+    A state is written out as soon as no later word can change it, targets before
+    the states that lead to them; only the states of the last word are kept open.
+    """
+    keys, targets, skips, finals, below = (array(kind) for kind in "IIIBI")
+    register: dict[bytes, int] = {}  # a settled state's final flag and arcs: its number
+    chain: list[tuple[bytearray, array]] = [(bytearray(1), array("I"))]  # final flag and labels, targets
+
+    def number_of(state: tuple[bytearray, array]) -> int:
+        head, out = state
+        key = bytes(head) + out.tobytes()
+        me = register.setdefault(key, len(finals))
+        if me == len(finals):
+            count = head[0]
+            for b, t in zip(head[1:], out, strict=True):
+                keys.append(me << 8 | b)
+                targets.append(t)
+                skips.append(count)
+                count += below[t]
+            finals.append(head[0])
+            below.append(count)
+        return me
 
     def settle(depth: int) -> None:
         while len(chain) - 1 > depth:
-            child = chain.pop()
-            final, labels, targets = nodes[child]
-            key = (final, bytes(labels), tuple(targets))
-            known = register.get(key)
-            if known is None:
-                register[key] = child
-            else:
-                nodes[chain[-1]][2][-1] = known
+            done = number_of(chain.pop())
+            chain[-1][1].append(done)
 
     last = b""
     for word in words:
         same = len(os.path.commonprefix([last, word]))
         settle(same)
         for b in word[same:]:
-            nodes.append([False, [], []])
-            nodes[chain[-1]][1].append(b)
-            nodes[chain[-1]][2].append(len(nodes) - 1)
-            chain.append(len(nodes) - 1)
-        nodes[chain[-1]][0] = True
+            chain[-1][0].append(b)
+            chain.append((bytearray(1), array("I")))
+        chain[-1][0][0] = 1
         last = word
     settle(0)
-
-    # number the states that are left so that targets come first, and count the words below each
-    place: dict[int, int] = {}
-    below: list[int] = []
-    keys, targets, skips, finals = [], [], [], []
-    stack = [(0, False)]
-    while stack:
-        node, ready = stack.pop()
-        if node in place:
-            continue
-        final, labels, out = nodes[node]
-        if not ready:
-            stack.append((node, True))
-            stack += [(t, False) for t in out if t not in place]
-            continue
-        me, count = len(finals), int(final)
-        place[node] = me
-        for b, t in zip(labels, out, strict=True):
-            keys.append(me << 8 | b)
-            targets.append(place[t])
-            skips.append(count)
-            count += below[place[t]]
-        finals.append(final)
-        below.append(count)
+    root = number_of(chain[0])
+    del register
     arrays = {
         "keys": np.array(keys, np.uint32),
         "targets": np.array(targets, np.uint32),
         "skips": np.array(skips, np.uint32),
         "finals": np.array(finals, np.uint8),
-        "root": np.array([place[0]], np.uint32),
+        "root": np.array([root], np.uint32),
         "at": np.concatenate([[0], np.cumsum([len(x) for x in outputs])]).astype(np.uint32),
         "out": np.frombuffer(b"".join(outputs), np.uint8),
     }
@@ -296,12 +286,24 @@ def word_counts(docs: DataFrame, model: WordBPE) -> DataFrame:
 
 
 def lexicon(docs: DataFrame, model: WordBPE, share: float = SHARE) -> bytes:
-    """The automaton of the words that make up at least `share` of all words: 1 / share of them at most."""
+    """The automaton of the words that make up at least `share` of all words: 1 / share of them at most.
+
+    The words are merged in tasks; the driver gets those of 60 characters at most with
+    their ids and compiles them.  A million random words took it 200 MB.
+    """
     counts = stored(word_counts(docs, model), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent = sorted(r[0].encode() for r in counts.where((F.col("n") >= F.lit(share * total)) & (F.length("word") <= 60)).select("word").collect())
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()), pa.array([np.array(own.ids_of(w), "<u4").tobytes() for w in words], pa.binary())], ["word", "ids"])
+
+    frequent = counts.where((F.col("n") >= F.lit(share * total)) & (F.length("word") <= 60)).select("word").mapInArrow(merged, "word binary, ids binary").toArrow().sort_by("word")
     discard(counts)
-    return compile_words(frequent, [np.array(model.ids_of(w.decode()), "<u4").tobytes() for w in frequent])
+    return compile_words(frequent["word"].to_pylist(), frequent["ids"].to_pylist())
 
 
 class _Encoder:
@@ -345,7 +347,10 @@ def encode(docs: DataFrame, path: str, share: float = SHARE, decoded: bool = Tru
 
     Ids are those of the vocabulary's own encoding without added special tokens;
     its special strings in a text become their ids.  A null text counts as
-    empty, and an empty one has no ids and decodes to an empty text.
+    empty, and an empty one has no ids and decodes to an empty text.  Every row is
+    encoded for itself, repeated ones alike; a text of any length is encoded whole.
+    An empty table gives an empty result.  A column of `docs` named as one of the
+    added ones raises.
     """
     refuse_clashes(docs, *([ids, text] if decoded else [ids]))
     spark = docs.sparkSession
@@ -385,7 +390,7 @@ def decode(df: DataFrame, path: str, ids: str = "__ids", text: str = "__decoded"
 
 
 def round_trip_digests(docs: DataFrame, path: str, share: float = SHARE) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of `docs`."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of `docs`; other columns are ignored, otherwise as `encode`."""
     done = encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path, share)
     return done.select(
         "doc_id",
