@@ -193,6 +193,16 @@ def colour_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("k", F.array_join(Z.color_codes(F.concat(F.lit("新 "), F.col("t"))), ",").alias("codes"))
 
 
+@query("SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'XXL-S' WHEN 1 THEN 'XXXLS' WHEN 2 THEN 'XXS' END AS size, CASE WHEN p_partkey % 3 = 0 THEN 'DGN,GN' WHEN p_partkey % 3 = 1 THEN 'BNSD' END AS codes FROM part")
+def known_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first word of a specification that is a size of the chart, and the codes of the first that holds a colour of the dictionary."""
+    color = "CASE k % 3 WHEN 0 THEN '一绿色' WHEN 1 THEN '沙土棕' ELSE '无' END"
+    size = "CASE k % 4 WHEN 0 THEN 'XXL-S M' WHEN 1 THEN 'L-Q XXXLS' WHEN 2 THEN 'XXS' ELSE 'Q' END"
+    p = _part(spark, sf_dir).selectExpr("k", f"split(concat({color}, ' ', {size}), ' ') AS words")
+    first = lambda read: F.get(F.filter(F.transform("words", read), lambda x: x.isNotNull()), F.lit(0))
+    return p.select("k", first(Z.known_size).alias("size"), F.array_join(first(lambda w: Z.color_codes(w)), ",").alias("codes"))
+
+
 # --- order, groups and counters -----------------------------------------------------
 
 
@@ -214,6 +224,15 @@ def source_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head.select("event_id", "event_type", F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("place"))
 
 
+@query("WITH g AS (SELECT *, min(event_id) OVER (PARTITION BY event_type) AS f FROM events) SELECT event_id, event_type, row_number() OVER (ORDER BY f, event_id) AS place FROM g")
+def source_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in the order of groups by first appearance, numbered over parts of the order."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    first = events.groupBy("event_type").agg(F.min("event_id").alias("first"))
+    placed = W.batch_ids(events.join(first, "event_type"), ["first", "event_id"], 1, "place", plain_rows=0)
+    return placed.select("event_id", "event_type", (F.col("place") + 1).alias("place"))
+
+
 @query("SELECT event_id, value FROM events ORDER BY value DESC, event_id LIMIT 25")
 def first_rows_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("event_id", "value", "-value AS _down")

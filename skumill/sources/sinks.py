@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from .. import schemas as S
 from ..operators.dedupe import latest
 
 COMMIT = "run_brand string, run_ts string"
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -25,7 +28,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
         root = "file://" + tempfile.mkdtemp(prefix="skumill-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return noted(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def noted(path: str) -> str:
+    """`path`, to be deleted at the end of the `scratch` block that is open, if one is."""
+    if (own := _NOTED.get()) is not None:
+        own.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block at whose end the tables go that operators have written for themselves within it.
+
+    Results that read them have to be written or collected before it ends.
+    """
+    own: list[str] = []
+    before = _NOTED.set(own)
+    try:
+        yield
+    finally:
+        _NOTED.reset(before)
+        for path in own:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -178,3 +178,15 @@ def test_state_with_timers_asks_for_its_store(spark):
     log = spark.createDataFrame([("a", datetime.datetime(2024, 1, 1), 1, True)], "host string, ts timestamp, id long, failed boolean")
     with pytest.raises(ValueError, match="RocksDB"):
         I.ordered_streak_stream(log)
+
+
+def test_scratch_tables_go_with_their_block(spark, tmp_path):
+    kept = O.fresh_path(spark, "kept")
+    with O.scratch(spark):
+        inner = O.written(spark.range(5), "inner")
+        inner.write.parquet(kept)
+        files = inner.inputFiles()
+        assert inner.count() == 5
+    assert spark.read.parquet(kept).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(files[0].rsplit("/", 1)[0]).count()
