@@ -7,11 +7,12 @@ their open siblings, and what is still open at the end is closed.  Rendering
 walks the tree without recursion, so any depth of nesting works.
 
 Not visible: head, script, style, template and the like, the choices of a select,
-comments, what a closed details holds behind its summary, and elements with a hidden
-attribute, type="hidden" or display:none.  visibility:hidden hides text down to
+comments, a closed dialog, what a closed details holds behind its summary, and elements
+with a hidden attribute, type="hidden" or display:none.  An object shows what it holds for those who cannot show it.  visibility:hidden hides text down to
 elements that turn it visible again; what is hidden that way keeps its table cells.
 Both properties are read from style attributes and from the page's own style rules
-that name a single tag, class or id.
+whose selectors name tags, classes and ids, also of ancestors and parents.  An ordered
+list counts as its start, reversed and type and its items' values say.
 
 Table cells stand in a grid: a cell that spans rows or columns keeps its places, and
 columns are as wide as their text is shown, wide characters counting as two.
@@ -34,7 +35,7 @@ from .textscan import column_bytes, slices
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg annotation annotation-xml select datalist meta link title base param".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes audio video canvas svg annotation annotation-xml select datalist meta link title base param".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks with a blank line before and after.
 SPACED = HEADINGS | frozenset("p blockquote pre ul ol dl table figure hr".split())
@@ -68,7 +69,7 @@ _PLAIN = re.compile(r"[^>\"']*")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _LOOK = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)", re.I)
-_SIMPLE = re.compile(r"([a-z][\w-]*)?(?:([.#])([\w-]+))?", re.I)
+_COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
 #: Inputs that show their value as a label.
 BUTTONS = frozenset("submit button reset".split())
 
@@ -136,6 +137,7 @@ def build_tree(page: str) -> Node:
     stack = [root]
     opened: dict[str, int] = {}
     cutter, lower = _Cutter(page), ""
+    ended = 0  # paragraphs that blocks have ended and whose own end tag may still come
 
     def close(to: int) -> None:
         for node in stack[to:]:
@@ -169,14 +171,18 @@ def build_tree(page: str) -> Node:
         if not tag:
             continue
         if slash:
-            names = HEADINGS if tag in HEADINGS else (tag,)
+            names, found = HEADINGS if tag in HEADINGS else (tag,), False
             if any(opened.get(t) for t in names):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in names:
                         close(i)
+                        found = True
                         break
                     if stack[i].tag in SCOPES and tag not in SCOPES and tag not in ("tr", "tbody", "thead", "tfoot"):
                         break
+            if tag == "p" and not found and ended:  # its paragraph has been ended by a block: this is an empty one
+                ended -= 1
+                stack[-1].kids.append(Node("p"))
             continue
         if tag not in IN_HEAD:
             end_head()
@@ -184,6 +190,7 @@ def build_tree(page: str) -> Node:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
                     close(i)
+                    ended += tag != "p"
                     break
                 if stack[i].tag in SCOPES or stack[i].tag in BLOCK:
                     break
@@ -217,8 +224,30 @@ def build_tree(page: str) -> Node:
     return root
 
 
-def style_rules(css: str) -> dict[tuple[str, str], list[tuple[tuple[int, int], str, dict[str, str]]]]:
-    """By ("." or "#" or "", name): (weight, tag, display and visibility) of the rules for a single tag, class or id.
+Compound = tuple[str, frozenset[str], frozenset[str]]
+
+
+def _selector(text: str) -> tuple[list[tuple[str, Compound]], int] | None:
+    """The compounds of a selector from the right, each with what stands left of it (">" or " "), and its weight; None for other selectors."""
+    out, weight, parts = [], 0, re.sub(r"\s*>\s*", " > ", text.strip()).split()
+    for k, part in enumerate(parts):
+        if part == ">":
+            if k in (0, len(parts) - 1) or parts[k - 1] == ">":
+                return None
+            continue
+        m = _COMPOUND.fullmatch(part)
+        if not m:
+            return None
+        names = re.findall(r"([.#])([\w-]+)", m[2])
+        tag = "" if m[1] in (None, "*") else m[1].lower()
+        ids, classes = (frozenset(n for kind, n in names if kind == which) for which in "#.")
+        weight += 100 * len(ids) + 10 * len(classes) + bool(tag)
+        out.append((">" if k and parts[k - 1] == ">" else " ", (tag, ids, classes)))
+    return (out[::-1], weight) if out else None
+
+
+def style_rules(css: str) -> dict[tuple[str, str], list[tuple[tuple[int, int], list[tuple[str, Compound]], dict[str, str]]]]:
+    """By ("." or "#" or "", name) of the element itself: (weight, selector, display and visibility) of the rules for tags, classes and ids.
 
     Rules inside @media and the like are left out.
     """
@@ -233,32 +262,75 @@ def style_rules(css: str) -> dict[tuple[str, str], list[tuple[tuple[int, int], s
             continue
         if depth == 1 and not head.startswith("@") and (found := {k.lower(): v.lower() for k, v in _LOOK.findall(css[at : m.start()])}):
             for selector in head.split(","):
-                one = _SIMPLE.fullmatch(selector.strip())
-                if one and selector.strip():
-                    tag, kind, name = (one[1] or "").lower(), one[2] or "", one[3] or ""
-                    weight = ({"#": 100, ".": 10, "": 0}[kind] + bool(tag), order)
-                    rules.setdefault((kind, name or tag), []).append((weight, tag, found))
+                if one := _selector(selector):
+                    tag, ids, classes = one[0][0][1]
+                    key = ("#", min(ids)) if ids else (".", min(classes)) if classes else ("", tag)
+                    rules.setdefault(key, []).append(((one[1], order), one[0], found))
             order += 1
         depth, at = max(0, depth - 1), m.end()
     return rules
 
 
-def looks(node: Node, rules: dict) -> dict[str, str]:
-    """The display and visibility that a node's style attribute, else the rules give it."""
+def _is(node: Node, compound: Compound) -> bool:
+    tag, ids, classes = compound
+    return tag in ("", node.tag) and (not ids or ids == {node.attrs.get("id")}) and (not classes or classes <= set(node.attrs.get("class", "").split()))
+
+
+def _fits(node: Node, selector: list[tuple[str, Compound]], path: list[Node]) -> bool:
+    """Whether a selector fits a node below `path`: the nearest fitting ancestor is taken, or any further one where that leads nowhere."""
+    if not _is(node, selector[0][1]):
+        return False
+    tries = [(1, len(path))]  # next compound, ancestors that may still fit
+    while tries:
+        k, n = tries.pop()
+        if k == len(selector):
+            return True
+        for i in range(n - 1, -1 if selector[k - 1][0] == " " else max(-1, n - 2), -1):
+            if path[i].tag and _is(path[i], selector[k][1]):
+                if selector[k - 1][0] == " " and i:
+                    tries.append((k, i))
+                tries.append((k + 1, i))
+                break
+    return False
+
+
+def looks(node: Node, rules: dict, path: list[Node]) -> dict[str, str]:
+    """The display and visibility that a node's style attribute, else the rules give it; `path` are its ancestors."""
     a = node.attrs
     out: dict[str, str] = {}
     if rules:
-        keys = [("", node.tag), *[("#", i) for i in (a.get("id"),) if i], *[(".", c) for c in a.get("class", "").split()]]
-        for _, tag, found in sorted((r for k in keys for r in rules.get(k, ()) if not r[1] or r[1] == node.tag), key=lambda r: r[0]):
+        keys = [("", node.tag), ("", ""), *[("#", i) for i in (a.get("id"),) if i], *[(".", c) for c in set(a.get("class", "").split())]]
+        for _, _, found in sorted((r for k in keys for r in rules.get(k, ()) if _fits(node, r[1], path)), key=lambda r: r[0]):
             out |= found
     if "style" in a:
         out |= {k.lower(): v.lower() for k, v in _LOOK.findall(a["style"])}
     return out
 
 
+def numeral(n: int, kind: str) -> str:
+    """A list number in a type: 1, a, A, i or I; what letters or Roman numbers cannot write stays a number."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, k = divmod(n - 1, 26)
+            out = chr(97 + k) + out
+    elif kind in ("i", "I") and 0 < n < 4000:
+        out = ""
+        for value, sign in zip((1000, 900, 500, 400, 100, 90, 50, 40, 10, 9, 5, 4, 1), "m cm d cd c xc l xl x ix v iv i".split(), strict=True):
+            out += sign * (n // value)
+            n %= value
+    else:
+        return str(n)
+    return out.upper() if kind.isupper() else out
+
+
 def hidden(node: Node, look: dict[str, str]) -> bool:
     a = node.attrs
-    return node.tag in UNSEEN or "hidden" in a or look.get("display") == "none" or node.tag == "input" and a.get("type", "").lower() == "hidden"
+    return node.tag in UNSEEN or "hidden" in a or node.tag == "dialog" and "open" not in a or look.get("display") == "none" or node.tag == "input" and a.get("type", "").lower() == "hidden"
+
+
+def _whole(text: str, otherwise: int) -> int:
+    return int(text) if re.fullmatch(r"\s*[-+]?\d{1,9}\s*", text) else otherwise
 
 
 class _Lines:
@@ -382,7 +454,8 @@ def render(root: Node) -> str:
     tables: list[list[list[tuple[list[str], int, int]]]] = []
     rules = style_rules(root.attrs["css"]) if "css" in root.attrs else {}
     seen = [True]  # visibility, for each element that sets it
-    lists: list[list] = []  # kind and next number
+    lists: list[list] = []  # kind, next number, step and type
+    path: list[Node] = []  # the open elements
     pre = 0
     stack: list[tuple[Node | str, bool]] = [(root, False)]
     while stack:
@@ -398,7 +471,7 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            look = looks(node, rules) if node.attrs or rules else {}
+            look = looks(node, rules, path) if node.attrs or rules else {}
             if tag and hidden(node, look):
                 continue
             if "visibility" in look and tag:
@@ -423,6 +496,7 @@ def render(root: Node) -> str:
                 w.margin(True)
                 continue
             stack.append((node, True))
+            path.append(node)
             if tag == "table":
                 w.margin(True)
                 tables.append([])
@@ -432,16 +506,18 @@ def render(root: Node) -> str:
                 if not tables[-1]:
                     tables[-1].append([])
                 writers.append(_Lines())
-                lists.append([None, 0])
+                lists.append([None, 0, 1, ""])
             elif tag in ("ul", "ol", "menu"):
                 w.margin(not any(x[0] for x in lists))
-                first = node.attrs.get("start", "1")
-                lists.append(["ol" if tag == "ol" else "ul", int(first) if re.fullmatch(r"-?\d{1,9}", first) else 1])
+                down = tag == "ol" and "reversed" in node.attrs
+                items = sum(kid.__class__ is Node and kid.tag == "li" for kid in node.kids) if down else 1
+                lists.append(["ol" if tag == "ol" else "ul", _whole(node.attrs.get("start", ""), items), -1 if down else 1, node.attrs.get("type", "")])
             elif tag == "li":
                 w.flush()
-                kind = lists[-1] if lists and lists[-1][0] else ["ul", 0]
-                mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
-                kind[1] += 1
+                kind = lists[-1] if lists and lists[-1][0] else ["ul", 0, 1, ""]
+                kind[1] = _whole(node.attrs.get("value", ""), kind[1])
+                mark = f"{numeral(kind[1], node.attrs.get('type', kind[3]))}. " if kind[0] == "ol" else "- "
+                kind[1] += kind[2]
                 w.mark = w.indent[-1] + mark
                 w.indent.append(w.indent[-1] + " " * len(mark))
             elif tag == "dd":
@@ -462,6 +538,7 @@ def render(root: Node) -> str:
         if node is _SEEN:
             seen.pop()
             continue
+        path.pop()
         if tag in ("pre", "xmp"):
             pre -= 1
         if tag == "table" and tables:
@@ -499,7 +576,12 @@ def page_title(page: str | None) -> str | None:
 
 
 def with_text(pages: DataFrame, text: str = "__text", title: str = "__title") -> DataFrame:
-    """`pages` with the visible text of `html` and the page's title (null if it has none)."""
+    """`pages` with the visible text of `html` and the page's title (null if it has none).
+
+    A null or empty page has an empty text; a page of any length or depth is read
+    whole.  Repeated rows come out alike, an empty table gives an empty one, and
+    columns of `pages` with the names of the two added ones raise.
+    """
     refuse_clashes(pages, text, title)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,7 +596,7 @@ def with_text(pages: DataFrame, text: str = "__text", title: str = "__title") ->
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """page_id, url, title, text and n_lines of every row of `pages`; other columns are ignored."""
+    """page_id, url, title, text and n_lines of every row of `pages`, as `with_text`; other columns are ignored."""
     done = with_text(pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")))
     lines = F.when(F.col("__text") == "", 0).otherwise(F.size(F.split("__text", "\n")))
     return done.select("page_id", "url", F.col("__title").alias("title"), F.col("__text").alias("text"), lines.cast("long").alias("n_lines"))
