@@ -49,6 +49,10 @@ def _children(of: dict[int, float]) -> Column:
     return F.array(*[F.struct(F.lit(i).cast("int").alias("id"), F.lit(float(w)).alias("w")) for i, w in sorted(of.items()) if w > 0])
 
 
+#: Equal rows that one step numbers.
+RUN = 1 << 14
+
+
 def place(key: Column, tree: Tree) -> Column:
     """The shard of a key; a subtree without weight takes nothing."""
     if not any(w > 0 for *_, w in tree):
@@ -77,8 +81,9 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, base: int = BASE) -> Data
 
     size is the text's UTF-8 bytes (a null text: none) plus 16 and text_crc32 that
     of these bytes.  slot numbers the rows of a shard from 0 without gaps, by a
-    hash of doc_id, then doc_id; equal rows are counted before the shuffle and get
-    neighbouring slots.  grown_shard is the shard with one shard more.  An empty
+    hash of its doc_id and text's size and sum, then these; equal rows are counted
+    before the shuffle and get neighbouring slots.  Neither the texts of one doc_id
+    nor the rows without any meet in one task.  grown_shard is the shard with one shard more.  An empty
     table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -90,12 +95,15 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, base: int = BASE) -> Data
         F.coalesce(F.crc32(F.col("text").cast("string").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("_n"))
-    counted = counted.withColumn("shard", place(key, tree_of(shards, base))).withColumn("grown_shard", place(key, tree_of(shards + 1, base))).withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-    totals = docs.select("doc_id", place(key, tree_of(shards, base)).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("_b")).groupBy("shard", "_b").agg(F.count("*").alias("_t"))
+    bucket = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(buckets)).cast("int")
+    counted = counted.withColumn("shard", place(key, tree_of(shards, base))).withColumn("grown_shard", place(key, tree_of(shards + 1, base))).withColumn("_b", bucket)
+    totals = counted.groupBy("shard", "_b").agg(F.sum("_n").alias("_t"))
     before = F.coalesce(F.sum("_t").over(Window.partitionBy("shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = totals.select("shard", "_b", before.alias("_start"))
     own = F.coalesce(F.sum("_n").over(Window.partitionBy("shard", "_b").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # at most shards x buckets rows
     placed = counted.withColumn("_own", own).join(F.broadcast(starts), ["shard", "_b"])
-    placed = placed.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    # two steps, so that no array grows with the number of equal rows
+    placed = placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / RUN))))
+    placed = placed.withColumn("_i", F.explode(F.sequence(F.col("_k") * RUN, F.least(F.col("_n"), (F.col("_k") + 1) * RUN) - 1)))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("_start") + F.col("_own") + F.col("_i")).cast("long").alias("slot"), "grown_shard")

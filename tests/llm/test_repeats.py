@@ -51,3 +51,16 @@ def test_simhash_of_the_given_documents(spark):
 def test_the_latest_operators_are_registered():
     names = __spark_entry__.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
+
+
+def test_many_equal_rows_get_gapless_slots(spark, monkeypatch):
+    from skumill.llm import sharding
+
+    monkeypatch.setattr(sharding, "RUN", 100)
+    df = spark.range(20_000).selectExpr("7L AS doc_id", "'same' AS text").unionByName(spark.range(500).selectExpr("cast(NULL AS bigint) AS doc_id", "cast(id AS string) AS text"))
+    got = sharding.shard_table(df).collect()
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == 20_500 and all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1
