@@ -204,7 +204,9 @@ def with_prefix_counts(docs: DataFrame, path: str, steps: str = "__steps", total
     """`docs` with the prefix steps of each whole text (binary), its token count and the characters that `budget` tokens hold.
 
     A null text counts as empty: no steps, 0 tokens.  The vocabulary's special
-    strings in a text are one token each, as the library encodes by default.
+    strings in a text are one token each, as the library encodes by default.  Texts of
+    any length are counted whole, repeated rows come out alike, an empty table gives
+    an empty one, and a column of `docs` named as one of the three added ones raises.
     """
     refuse_clashes(docs, steps, total, fit)
     sent = docs.sparkSession.sparkContext.broadcast(ByteBPE(path))
@@ -238,7 +240,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit and fit_chars of every row of `docs`.
 
     The count is that of the longest prefix; fit_chars is where a text would have
-    to be cut to hold `limit` tokens at most, read off the prefix steps.
+    to be cut to hold `limit` tokens at most, read off the prefix steps.  Other
+    columns are ignored, otherwise as `with_prefix_counts`.
     """
     done = with_prefix_counts(docs.select("doc_id", F.col("text").cast("string").alias("text")), path, budget=limit)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
