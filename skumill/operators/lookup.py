@@ -7,6 +7,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -19,8 +20,12 @@ from .dedupe import batch_ids
 MOST_WORDS = 5_000
 #: Words of one automaton that every executor gets; a larger dictionary has several.
 PART_WORDS = 100_000
-#: Automata that a Python worker keeps compiled.
+#: Automata that a Python worker keeps compiled; a dictionary of more parts is joined.
 KEPT = 4
+#: Bits of a dictionary's filter for each word, its most bits in all, and the bits of one of its blocks.
+BITS, MOST_BITS, BLOCK_BITS = 16, 1 << 29, 1 << 19
+#: Characters of texts whose pieces are hashed at once.
+PIECES = 1 << 20
 
 
 def color_lookups(sheet: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -121,6 +126,104 @@ def _automaton(words: list[tuple[str, str | None]]) -> tuple[ahocorasick.Automat
     return own, empty
 
 
+_BASE, _MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
+
+
+def _powers(n: int, base: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1), modulo 2 ** 64."""
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), base % (1 << 64), np.uint64)]))[:n]
+
+
+def _bit(hashes: np.ndarray, k: int, size: int) -> np.ndarray:
+    """The k-th place of each hash in a filter of `size` bits, a power of two."""
+    x = (hashes ^ (hashes >> np.uint64(29 + k))) * np.uint64(_MIX[k])
+    return ((x ^ (x >> np.uint64(32))) >> np.uint64(3)) & np.uint64(size - 1)
+
+
+def _piece_hashes(codes: np.ndarray, ends: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, hashes) of the pieces of texts that lie behind each other; `ends` is the end of the text of each character."""
+    longest = max(lengths)
+    for a in range(0, len(codes), PIECES):
+        part = codes[a : a + PIECES + longest]
+        own = min(PIECES, len(codes) - a)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(len(part), _BASE), dtype=np.uint64)])
+        back = _powers(own, pow(_BASE, -1, 1 << 64))
+        for n in lengths:
+            starts = np.flatnonzero(ends[a : a + own] - np.arange(a, a + own) >= n)
+            yield n, starts + a, (sums[starts + n] - sums[starts]) * back[starts]
+
+
+def _laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of texts behind each other, the end of each one's text, and its number."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.repeat(np.cumsum(sizes), sizes), np.repeat(np.arange(len(texts)), sizes)
+
+
+def _filter_of(words: DataFrame) -> tuple[list[int], int, Broadcast]:
+    """The lengths of the words, and a Bloom filter of them: its bits and its blocks by number."""
+    found = words.agg(F.count("*").alias("n"), F.collect_set(F.length("word")).alias("lengths")).first()
+    size = min(MOST_BITS, max(BLOCK_BITS, 1 << (BITS * found.n - 1).bit_length()))
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [w for w in batch["word"] if w]
+            codes, ends, _ = _laid_out(own)
+            firsts = np.cumsum([0, *map(len, own)])[:-1]
+            hashes = np.zeros(len(own), np.uint64)
+            for n, starts, h in _piece_hashes(codes, ends, sorted({len(w) for w in own})) if own else ():
+                at = np.searchsorted(firsts, starts).clip(max=len(own) - 1)
+                whole = (firsts[at] == starts) & (ends[starts] - starts == n)
+                hashes[at[whole]] = h[whole]
+            bits = np.unique(np.concatenate([_bit(hashes, k, size) for k in range(len(_MIX))])) if own else np.zeros(0, np.uint64)
+            yield pd.DataFrame({"block": (bits // BLOCK_BITS).astype(np.int32), "bit": (bits % BLOCK_BITS).astype(np.int32)})
+
+    def block(key, rows: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(BLOCK_BITS, np.uint8)
+        marks[rows["bit"].to_numpy()] = 1
+        return pd.DataFrame({"block": [key[0]], "marks": [np.packbits(marks).tobytes()]})
+
+    blocks = words.select("word").mapInPandas(places, "block int, bit int").groupBy("block").applyInPandas(block, "block int, marks binary")
+    held = {r.block: bytes(r.marks) for r in blocks.toLocalIterator()}
+    empty = bytes(BLOCK_BITS // 8)
+    return sorted(found.lengths), size, words.sparkSession.sparkContext.broadcast(b"".join(held.get(k, empty) for k in range(size // BLOCK_BITS)))
+
+
+def _joined_words(df: DataFrame, text: str, rows: DataFrame, out: str) -> DataFrame:
+    """`first_contained` by a hash join of words with the pieces of each text that are as long as a word and pass the words' filter.
+
+    A text stands for all its copies, by its SHA-256.
+    """
+    words = written(rows.groupBy("word").agg(F.min(F.struct("pos", "value")).alias("_own")), "dictionary")
+    lengths, size, marks = _filter_of(words)
+
+    @F.pandas_udf("array<string>")
+    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = np.frombuffer(marks.value, np.uint8)
+        for batch in batches:
+            texts = list(batch)
+            found = [{""} if 0 in lengths else set() for _ in texts]
+            codes, ends, numbers = _laid_out(texts)
+            begins = np.cumsum([0, *map(len, texts)])
+            for n, starts, hashes in _piece_hashes(codes, ends, [n for n in lengths if n]) if any(lengths) else ():
+                for k in range(len(_MIX)):
+                    at = _bit(hashes, k, size)
+                    kept = (held[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
+                    starts, hashes = starts[kept], hashes[kept]
+                for i in starts:
+                    t = numbers[i]
+                    found[t].add(texts[t][i - begins[t] : i - begins[t] + n])
+            yield pd.Series([sorted(f) for f in found])
+
+    key = F.unhex(F.sha2(text, 256))
+    texts = df.select(key.alias("_text_key"), F.col(text).cast("string").alias("_text")).where("_text is not null")
+    one = texts.groupBy("_text_key").agg(F.first("_text").alias("_text"))
+    asked = one.select("_text_key", F.explode(pieces("_text")).alias("word"))
+    first = asked.join(words, "word").groupBy("_text_key").agg(F.min(F.struct("_own.pos", "word", "_own.value")).alias("_found"))
+    found = df.withColumn("_probe", key).join(first, F.col("_probe") == F.col("_text_key"), "left")
+    return found.withColumn(out, F.col("_found.value")).drop("_probe", "_text_key", "_found")
+
+
 def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, out: str = "value", most_words: int = MOST_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """The value of the first dictionary row (pos, word, value) whose word the text holds; null words hold nowhere.
 
@@ -128,7 +231,10 @@ def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, o
     becomes one literal array that is scanned in order: no join, and no pair of rows.
     A larger one is cut along its order into parts of `part_words`; each is sent to
     the executors, which compile it once, and a text goes from part to part until
-    one of its words is found.  The driver holds one part at a time.
+    one of its words is found.  The driver holds one part at a time.  One of more
+    than `KEPT` parts, which a worker could not keep compiled, is joined by its
+    words: the work grows with the texts' characters times the distinct lengths of
+    words, and only a filter of `BITS` bits a word, `MOST_BITS` at most, is sent.
     """
     spark = df.sparkSession
     rows = dictionary.select("pos", F.col(key).cast("string").alias("word"), F.col("value").cast("string").alias("value")).where("word is not null")
@@ -138,6 +244,8 @@ def first_contained(df: DataFrame, text: str, key: str, dictionary: DataFrame, o
     if len(words) <= most_words:
         entries = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(v).alias("value")) for w, v in words])
         return df.withColumn(out, F.get(F.filter(entries, lambda e: F.col(text).contains(e["word"])), F.lit(0))["value"])
+    if rows.count() > KEPT * part_words:
+        return _joined_words(df, text, rows, out)
     cut = written(batch_ids(rows, ["pos", "word"], part_words, "part"), "dictionary")
     parts = []
     for k in range(cut.agg(F.max("part")).first()[0] + 1):

@@ -68,6 +68,20 @@ def test_large_dictionaries_are_searched_as_small_ones(spark):
     assert {r.c for r in N.first_contained(t, "t", "word", every, "c", most_words=1).where("t is not null").collect()} == {"any"}
 
 
+def test_a_dictionary_of_many_parts_is_joined_not_collected(spark, monkeypatch):
+    words = [((k * 7919) % 503, f"w{'é' * (k % 4)}{k}", f"v{k}" if k % 5 else None) for k in range(700)] + [(9, "😀x", "face"), (2, None, "none"), (600, "w7", "later")]
+    d = spark.createDataFrame(words, "pos int, word string, value string")
+    texts = [f"a w{'é' * (k % 4)}{k} w{k // 2}y{'-' * (k % 50)}" for k in range(0, 700, 3)] + ["nothing", None, "", "b 😀x", "b 😀x"]
+    t = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "id int, t string")
+    held = lambda x: min(((p, w, v) for p, w, v in words if w is not None and w in x), default=(0, "", None))[2]
+    want = [(k, None if x is None else held(x)) for k, x in enumerate(texts)]
+    monkeypatch.setattr(N, "_in_automata", None)  # no part is collected and compiled
+    got = N.first_contained(t, "t", "word", d, "c", most_words=10, part_words=20)
+    assert sorted((r.id, r.c) for r in got.collect()) == want
+    every = d.unionByName(spark.createDataFrame([(-1, "", "any")], "pos int, word string, value string"))
+    assert {r.c for r in N.first_contained(t, "t", "word", every, "c", most_words=10, part_words=20).where("t is not null").collect()} == {"any"}
+
+
 def test_pages_are_parsed_in_their_own_row(spark):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
