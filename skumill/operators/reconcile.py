@@ -3,7 +3,8 @@
 A listing takes the first supply row, by position, of its model whose colour and
 size fit.  Both sides are brought to equal keys, so the match is a hash join: the
 supply is first reduced to the earliest row of each (model, colour, size), and a
-listing with several possible colours or sizes asks once for each of them.  A
+listing with several possible colours or sizes asks once for each of them.
+Listings that agree in all that is read of them are read and matched once.  A
 popular model therefore never meets a popular model pair by pair.
 """
 
@@ -21,6 +22,8 @@ from ..functions.sizes import same_size
 from ..functions.text import let
 from .bind import bound
 
+#: The columns of a listing that profiles read.
+READ = ("article", "spec", "product_name")
 #: Width of a range of numbers in a tolerant join, and how far a number reaches beyond its own.
 RANGE, SLACK = 1e-6, 1.01e-9
 
@@ -63,13 +66,23 @@ def _earliest(supply: DataFrame, profile: Profile) -> DataFrame:
     return keyed.where("_model is not null and _size is not null").groupBy("_model", "_color", "_size").agg(F.min_by("supply", "supply.pos").alias("supply"))
 
 
-def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None, cols: list[str]) -> DataFrame:
-    """The listing's columns with its model and, for a profile of single wants, its colour and size."""
-    rows = profile.wants(listing, sheet)
+def _text(listing: DataFrame) -> Column:
+    """What a profile reads of a listing, as one value; nulls in it are equal."""
+    return F.struct(*[c for c in READ if c in listing.columns])
+
+
+def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None) -> DataFrame:
+    """(_text, _model) of each distinct text and its wants, or for a profile of single wants its colour and size.
+
+    Listings repeat their texts, and reading one is the costly step, so each is read once.
+    """
+    texts = listing.select(*[c for c in READ if c in listing.columns]).distinct()
+    rows = profile.wants(texts.withColumn("_text", _text(texts)), sheet)
+    model = F.upper(profile.listing_model(F.col("article"))).alias("_model")
     if profile.single:
         rows = bound(rows, _want=F.get("_wants", F.lit(0)))
-        return rows.select(*cols, F.upper(profile.listing_model(F.col("article"))).alias("_model"), F.col("_want.color").alias("_color"), F.col("_want.size").alias("_size"))
-    return rows.select(*cols, F.upper(profile.listing_model(F.col("article"))).alias("_model"), "_wants")
+        return rows.select("_text", model, F.col("_want.color").alias("_color"), F.col("_want.size").alias("_size"))
+    return rows.select("_text", model, "_wants")
 
 
 def _size_keys(size: Column, slack: float) -> Column:
@@ -88,15 +101,19 @@ def _size_keys(size: Column, slack: float) -> Column:
     return F.when(F.abs(finite) < float("inf"), let(finite, ranges)).otherwise(F.array(F.concat(F.lit("t"), size)))
 
 
+def _own(asks: DataFrame) -> list[str]:
+    return [c for c in asks.columns if c not in ("_model", "_color", "_want", "_size")]
+
+
 def _close_in_size(asks: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(pos, sku_id, supply) of all pairs of one model and colour whose sizes fit within 1e-9: a hash join on ranges, checked exactly."""
+    """The asking row's own columns and supply of all pairs of one model and colour whose sizes fit within 1e-9: a hash join on ranges, checked exactly."""
     asked = asks.withColumn("_key", F.explode(_size_keys(F.col("_size"), SLACK)))
     given = firsts.withColumnRenamed("_size", "_given").withColumn("_key", F.explode(_size_keys(F.col("_given"), 0.0)))
-    return asked.join(given, ["_model", "_color", "_key"]).where(same_size(F.col("_size"), F.col("_given"))).select("pos", "sku_id", "supply")
+    return asked.join(given, ["_model", "_color", "_key"]).where(same_size(F.col("_size"), F.col("_given"))).select(*_own(asks), "supply")
 
 
 def _holding_colors(asks: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(pos, sku_id, supply) of all pairs of one model and size where the wanted word holds the supply's colour; a null word holds only a blank one.
+    """The asking row's own columns and supply of all pairs of one model and size where the wanted word holds the supply's colour; a null word holds only a blank one.
 
     A word asks once for each of its pieces that is as long as a colour of its model,
     so this is a hash join on equal colours.
@@ -104,27 +121,32 @@ def _holding_colors(asks: DataFrame, firsts: DataFrame) -> DataFrame:
     lengths = firsts.groupBy("_model").agg(F.collect_set(F.length("_color")).alias("_lengths"))
     piece = lambda word, n: F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, n))
     pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= F.length("_want")), lambda n: F.when(n == 0, F.array(F.lit(""))).otherwise(piece(F.col("_want"), n))))
-    asked = asks.join(lengths, "_model").select("pos", "sku_id", "_model", "_size", F.explode(F.when(F.col("_want").isNull(), F.array(F.lit(""))).otherwise(F.array_distinct(pieces))).alias("_color"))
-    return asked.join(firsts, ["_model", "_color", "_size"]).select("pos", "sku_id", "supply")
+    asked = asks.join(lengths, "_model").select(*_own(asks), "_model", "_size", F.explode(F.when(F.col("_want").isNull(), F.array(F.lit(""))).otherwise(F.array_distinct(pieces))).alias("_color"))
+    return asked.join(firsts, ["_model", "_color", "_size"]).select(*_own(asks), "supply")
 
 
-def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
-    """(pos, sku_id, supply): the first fitting supply row of each listing that has one."""
-    asks = _asked(listing, profile, sheet, ["pos", "sku_id"]).where("_model is not null")
-    firsts = _earliest(supply, profile)
+def _first_of_texts(asks: DataFrame, supply: DataFrame, profile: Profile) -> DataFrame:
+    """(_text, supply): the first fitting supply row of each text of `_asked` that has one."""
+    asks, firsts = asks.where("_model is not null"), _earliest(supply, profile)
     if profile.single and not profile.tolerant:
-        return asks.join(firsts, ["_model", "_color", "_size"]).select("pos", "sku_id", "supply")
+        return asks.join(firsts, ["_model", "_color", "_size"]).select("_text", "supply")
     if profile.tolerant and profile.single:
         pairs = _close_in_size(asks, firsts)
     else:
-        asks = asks.select("pos", "sku_id", "_model", F.explode("_wants").alias("_w"))
-        asks = asks.select("pos", "sku_id", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
+        asks = asks.select("_text", "_model", F.explode("_wants").alias("_w"))
+        asks = asks.select("_text", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
         if profile.contains:
             pairs = _holding_colors(asks, firsts)
         else:
             asks = asks.withColumnRenamed("_want", "_color")
             pairs = _close_in_size(asks, firsts) if profile.tolerant else asks.join(firsts, ["_model", "_color", "_size"])
-    return pairs.groupBy("pos").agg(F.first("sku_id").alias("sku_id"), F.min_by("supply", "supply.pos").alias("supply"))
+    return pairs.groupBy("_text").agg(F.min_by("supply", "supply.pos").alias("supply"))
+
+
+def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
+    """(pos, sku_id, supply): the first fitting supply row of each listing that has one."""
+    found = _first_of_texts(_asked(listing, profile, sheet), supply, profile)
+    return listing.select("pos", "sku_id", _text(listing).alias("_text")).join(found, "_text").select("pos", "sku_id", "supply")
 
 
 def _models(df: DataFrame, model: Column) -> DataFrame:
@@ -144,12 +166,13 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     made = ["status", "new_lead_time", "new_bid", "new_stock", "old_cost", "bid_price"]
     rows = listing.drop(*made)
     known = _models(supply, profile.supply_model(F.col("model").cast("string")))
-    if profile.single and not profile.tolerant and matches is None:
-        rows = _asked(rows, profile, sheet, rows.columns).join(_earliest(supply, profile), ["_model", "_color", "_size"], "left")
+    if matches is None:
+        asks = _asked(rows, profile, sheet)
+        texts = asks.select("_text", "_model").join(_first_of_texts(asks, supply, profile), "_text", "left").join(known, "_model", "left").drop("_model")
+        rows = rows.withColumn("_text", _text(rows)).join(texts, "_text", "left")
     else:
-        matches = first_match(listing, supply, profile, sheet) if matches is None else matches
         rows = rows.withColumn("_model", F.upper(profile.listing_model(F.col("article")))).join(matches.select("pos", "supply"), "pos", "left")
-    rows = rows.join(known, "_model", "left")
+        rows = rows.join(known, "_model", "left")
     s = F.col("supply")
     hit = s.isNotNull()
     # one step a projection: each is used several times below
@@ -183,7 +206,7 @@ def reconcile_supply(listing: DataFrame, supply: DataFrame, profile: Profile, sh
     rows = supply.drop("status", "bid_price", "sku_id")
     matches = first_match(listing, supply, profile, sheet) if matches is None else matches
     taken = matches.groupBy(F.col("supply.pos").alias("pos")).agg(F.max_by("sku_id", "pos").alias("sku_id"), F.count("*").alias("_taken"))
-    known = _models(listing, profile.listing_model(F.col("article")))
+    known = _models(listing.select("article").distinct(), profile.listing_model(F.col("article")))
     rows = rows.withColumn("_model", F.upper(profile.supply_model(F.col("model").cast("string")))).join(known, "_model", "left").join(taken, "pos", "left")
     stocked = F.coalesce(F.col("quantity") > 0, F.lit(False))
     status = F.when(F.col("_taken").isNotNull(), S.MATCHED).when(~stocked, S.NOTHING).when(F.col("_known").isNotNull(), S.PUT_UP_SPEC).otherwise(S.PUT_UP)

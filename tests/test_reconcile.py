@@ -1,5 +1,7 @@
 """Profiles, statuses and order stability of the reconciliation."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,28 @@ def test_empty_tables_and_unknown_profiles(spark):
 def test_tables_have_the_declared_widths():
     assert len(S.SUPPLY_POSITIONS) == 10 and len(S.LISTING_POSITIONS) == 42 and len(S.CATALOGUE_COLUMNS) == 19 and len(S.VARIANT_COLUMNS) == 12
     assert len(S.SUPPLY.fields) == 7 and len(S.LISTING.fields) == 39
+
+
+def test_texts_that_listings_share_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(spec):
+        read.add(1)
+        return spec
+
+    def wants(df, sheet):
+        return used.wants(df.withColumn("spec", counted("spec")), sheet)
+
+    stock = supply(spark, [item("7", "M", "RED"), item("7", "", ""), item("8", "M", "RED")])
+    offers = listing(spark, [("7RED", "SIZE M"), ("7", None), (None, None), ("9", "SIZE M")] * 100)
+    for name in ("colour_in_word", "plain_spec", "dotted_model"):
+        used = profile(name)
+        once = replace(used, wants=wants)
+        want = {r.pos: r.supply.pos for r in R.first_match(offers, stock, used).collect()}
+        before = read.value
+        assert {r.pos: r.supply.pos for r in R.first_match(offers, stock, once).collect()} == want
+        assert read.value - before <= 8, name  # four texts, not four hundred listings
+        rows = {r.pos: r.status for r in R.reconcile_listing(offers, stock, used).collect()}
+        assert len(rows) == 400 and all(rows[i] == rows[i % 4] for i in rows)
+    assert rows[2] == S.NO_MODEL
