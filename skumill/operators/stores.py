@@ -13,10 +13,11 @@ from ..functions.text import sku_parts
 def store_rows(skus: DataFrame, pages: DataFrame, site: str = "") -> DataFrame:
     """STORE_ROW for each SKU: its parts, price, names and stores, or a note on what is missing.
 
-    pages: (item, url, html), one product page an item.
+    pages: (item, url, html), one product page an item.  Pages are shuffled, never
+    broadcast: a plan may take a page that it composes for some bytes.
     """
     parts = skus.select("sku", sku_parts(F.col("sku")).alias("p"))
-    found = parts.join(pages.select(F.col("item").alias("_item"), "url", "html"), F.col("p.item") == F.col("_item"), "left")
+    found = parts.join(pages.select(F.col("item").alias("_item"), "url", "html").hint("merge"), F.col("p.item") == F.col("_item"), "left")
     h = F.col("html")
     note = F.when(F.col("p.error").isNotNull(), F.col("p.error")).when(h.isNull(), "product page not found").when(H.is_failover(h), "fail-over page").otherwise("")
     text = lambda c: F.coalesce(c, F.lit(""))

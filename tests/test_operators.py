@@ -337,3 +337,12 @@ def test_products_at_any_level_of_a_script(spark):
     got = E.nested_objects(spark.createDataFrame(pages, "url string, html string")).select("url", F.try_variant_get("object", "$.sku", "string").alias("sku")).where("sku is not null")
     assert sorted(r.url for r in got.collect()) == sorted(u for u, _ in pages)
     assert E.generic_products(spark.createDataFrame(pages, "url string, html string"), "house").count() == len(pages)
+
+
+def test_store_pages_are_shuffled_not_broadcast(spark):
+    skus = spark.createDataFrame([("1-x-Red-M",), ("2-x-Red-M",)], "sku string")
+    pages = spark.range(1, 3).selectExpr("cast(id AS string) AS item", "concat('u', id) AS url", "repeat('<!-- -->', 4000) AS html")
+    rows = K.store_rows(skus, pages)
+    assert rows.count() == 2
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
