@@ -504,7 +504,7 @@ def generic_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, price = F.col("p_partkey").cast("string"), F.floor("p_retailprice").cast("string")
     item = lambda s: F.concat(F.lit('{"@type":"Product","sku":"'), k, F.lit(f'-CCC-{s}","mpn":"'), k, F.lit('-CCC","offers":{"price":"'), price, F.lit('"}}'))
     data = F.concat(F.lit('{"page":{"items":[{"@type":"Product","productGroupID":"'), k, F.lit('","name":"g"},'), item("S"), F.lit(","), item("M"), F.lit("]}}"))
-    pages = _table(spark, sf_dir, "part").select(F.concat(F.lit("https://shop.example/g/"), k, F.lit(".html")).alias("url"), F.concat(F.lit('<script type="application/json">'), data, F.lit("</script>")).alias("html"))
+    pages = _spread_parts(spark, sf_dir, True).select(F.concat(F.lit("https://shop.example/g/"), k, F.lit(".html")).alias("url"), F.concat(F.lit('<script type="application/json">'), data, F.lit("</script>")).alias("html"))
     return E.generic_products(pages, "house").select("url", "model", "color", F.array_join("sizes", ",").alias("sizes"), "msrp")
 
 
@@ -521,7 +521,7 @@ def next_page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT p_brand || '-' || split_part(p_name, ' ', 1) || '-' || CAST(p_size AS VARCHAR) AS sku, split_part(p_name, ' ', 1) AS color, 'Shade' AS color_name, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS price, 'A' AS shop1, 'あり' AS stock1, 'B' AS shop2, 'わずか' AS stock2 FROM part")
 def store_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _table(spark, sf_dir, "part")
+    p = _spread_parts(spark, sf_dir, True)
     color = F.split_part("p_name", F.lit(" "), F.lit(1))
     sku = F.concat_ws("-", "p_brand", color, F.col("p_size").cast("string"))
     card = lambda name, rest: f'<div class="card-body x"><div class="col store-name"><a href="#">{name}</a></div>{rest}</div>'

@@ -10,6 +10,7 @@ from .functions import price as M
 from .functions import urls as U
 from .operators import extract as E
 from .operators import stores as K
+from .queries import _spread_parts
 from .registry import query, table
 from .sources import sinks as O
 
@@ -18,8 +19,8 @@ IMAGES = "https://" + H.IMAGE_HOST
 
 
 def _pages(spark: SparkSession, sf_dir: str, url: str, html: str, *more: str) -> DataFrame:
-    """(url, html) of each part, given as SQL over part."""
-    return table(spark, sf_dir, "part").selectExpr("p_partkey AS k", f"{url} AS url", f"{html} AS html", *more)
+    """(url, html) of each part, given as SQL over part; the parts are dealt over all tasks first."""
+    return _spread_parts(spark, sf_dir, True).selectExpr("p_partkey AS k", f"{url} AS url", f"{html} AS html", *more)
 
 
 # --- rows of a product page: JSON-LD, a bare page, prices of their own -------------
@@ -210,7 +211,7 @@ SELECT k, sku, note, CASE WHEN note = 'product page not found' THEN 0 ELSE n END
 def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store rows of SKUs with their pages, one page an item; the widest row gives the number of columns."""
     sku = "concat_ws('-', p_brand, split_part(p_name, ' ', 1), p_size)"
-    p = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", f"{sku} AS full", "p_size")
+    p = _spread_parts(spark, sf_dir, True).selectExpr("p_partkey AS k", f"{sku} AS full", "p_size")
     skus = p.selectExpr("k", "concat(k, '-x-', split_part(full, '-', 1)) AS sku", "full")
     card = lambda n: f"""'<div class="card-body"><div class="col store-name"><a>{n}</a></div><i class="dot in"></i></div>'"""
     pad = "CASE WHEN k % 4 = 1 THEN '' ELSE repeat('<!-- -->', 4000) END"

@@ -94,6 +94,11 @@ def test_pages_are_parsed_in_their_own_row(spark):
     assert exchanges and not any("html" in line for line in exchanges)
 
 
+def test_pages_of_a_small_part_file_are_dealt_over_all_tasks(spark):
+    for name in ("page_images", "swatchless_pages", "store_stock", "page_urls"):
+        assert queries.queries()[name](spark, SF).rdd.getNumPartitions() == 4, name
+
+
 def test_own_prices_and_repeated_variants(spark):
     own = '{"linkedProduct":{"a":{"sku":"K1","price":{"displayRegularPrice":"¥ 100","displayPrice":"90"}},"b":{"sku":"K1","price":{"displayRegularPrice":"¥ 200","displayPrice":"200"}},"c":{"price":"7"}}}'
     v = '{"productInfo":{"sku":"K1","color":"red","size":"S"},"attributes":{"stockStatus":"in-stock"}}'
