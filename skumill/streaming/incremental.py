@@ -113,19 +113,18 @@ class _Streaks(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "at bigint, tie bigint, failed boolean")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        first = None
-        for row in rows:
-            self.waiting.appendValue((row["at"], row["tie"], bool(row["failed"])))
-            first = row["at"] if first is None else min(first, row["at"])
-        if first is not None:
-            self.handle.registerTimer(_due(first))
+        # one call for all rows: each call of the state is a message to Spark and back
+        new = [(row["at"], row["tie"], bool(row["failed"])) for row in rows]
+        if new:
+            self.waiting.appendList(new)
+            self.handle.registerTimer(_due(min(new)[0]))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         held = sorted(self.waiting.get())
         ripe, later = [r for r in held if _due(r[0]) <= now], [r for r in held if _due(r[0]) > now]
-        n, last = self.streak.get() if self.streak.exists() else (0, None)
+        n, last = self.streak.get() or (0, None)
         out = []
         for at, tie, failed in ripe:
             if last is not None and at - last > self.idle_ms * 1000:

@@ -346,3 +346,25 @@ def test_store_pages_are_shuffled_not_broadcast(spark):
     assert rows.count() == 2
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_hosts_rows_enter_its_state_in_one_call():
+    calls = []
+
+    class Handle:
+        def getValueState(self, *a):
+            return self
+
+        def getListState(self, *a):
+            return self
+
+        def appendList(self, rows):
+            calls.append(list(rows))
+
+        def registerTimer(self, at):
+            calls.append(at)
+
+    state = I._Streaks(2, 3, 1000)
+    state.init(Handle())
+    assert list(state.handleInputRows(("h",), iter([{"at": 5000 - k, "tie": k, "failed": k % 2} for k in range(3)]), None)) == []
+    assert calls == [[(5000, 0, False), (4999, 1, True), (4998, 2, False)], 5]
