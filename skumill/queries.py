@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import html as H
@@ -18,6 +18,7 @@ from .operators import metrics as A
 from .operators import reconcile as R
 from .operators import stores as K
 from .operators import titles as Ti
+from .operators.bind import bound
 from .plans.profiles import profile
 from .registry import Query, registered, registered_sql
 from .registry import query as _query
@@ -449,6 +450,11 @@ def _spread_parts(spark: SparkSession, sf_dir: str, spread: bool) -> DataFrame:
     return p.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if spread else p
 
 
+def _composed(parts: DataFrame, url: Column, html: Column) -> DataFrame:
+    """(url, html) of each part; bound, or a page would be composed anew wherever it is read."""
+    return bound(parts.select(url.alias("url"), html.alias("html")), url=F.col("url"), html=F.col("html"))
+
+
 def layer_pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """A product page with a data layer for each part: two sizes, one in stock."""
     k, size = F.col("p_partkey").cast("string"), F.col("p_size")
@@ -458,7 +464,7 @@ def layer_pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataF
         F.lit('","displayPrice":"'), F.floor(F.col("p_retailprice") * F.lit(0.5)).cast("string"), F.lit('"},"linkedProduct":['), variant(size, "in-stock"), F.lit(","), variant(size + 1, "out-of-stock"), F.lit(","), variant(size, "in-stock"), F.lit("]}"),
     )
     html = F.concat(F.lit("<html><h1> "), "p_name", F.lit('</h1><ol class="breadcrumb"><a href="https://shop.example/ja-jp/c/'), F.lower("p_type"), F.lit('">x</a></ol><script>digitalData.product.push('), data, F.lit(");</script></html>"))
-    return _spread_parts(spark, sf_dir, spread).select(F.concat(F.lit("https://shop.example/p/prod"), k, F.lit(".html")).alias("url"), html.alias("html"))
+    return _composed(_spread_parts(spark, sf_dir, spread), F.concat(F.lit("https://shop.example/p/prod"), k, F.lit(".html")), html)
 
 
 @_query(
@@ -479,7 +485,7 @@ def grouped_pages(spark: SparkSession, sf_dir: str, spread: bool = False) -> Dat
     item = lambda c: F.concat(F.lit('{"@type":"Product","mpn":"'), k, F.lit(f'-{c}","sku":"'), k, F.lit(f'-{c}","color":"Colour {c}","offers":{{"price":"'), F.floor("p_retailprice").cast("string"), F.lit('","url":"/product/x/'), k, F.lit(f'.html?dwvar_'), k, F.lit(f'_color={c}"}}}}'))
     data = F.concat(F.lit('[{"@type":"ProductGroup","productGroupID":"'), k, F.lit('","name":"'), "p_name", F.lit('","brand":{"name":"House"},"color":["AAA","BBB"]},'), item("AAA"), F.lit(","), item("BBB"), F.lit("]"))
     html = F.concat(F.lit('<html><body><script type="application/ld+json">'), data, F.lit("</script>"), swatch("AAA", "{}"), swatch("BBB", "{&quot;M&quot;:&quot;4512345678901&quot;}"), F.lit("</body></html>"))
-    return _spread_parts(spark, sf_dir, spread).select(F.concat(F.lit("https://shop.example/product/x/"), k, F.lit(".html")).alias("url"), html.alias("html"))
+    return _composed(_spread_parts(spark, sf_dir, spread), F.concat(F.lit("https://shop.example/product/x/"), k, F.lit(".html")), html)
 
 
 @_query(
@@ -504,7 +510,7 @@ def generic_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, price = F.col("p_partkey").cast("string"), F.floor("p_retailprice").cast("string")
     item = lambda s: F.concat(F.lit('{"@type":"Product","sku":"'), k, F.lit(f'-CCC-{s}","mpn":"'), k, F.lit('-CCC","offers":{"price":"'), price, F.lit('"}}'))
     data = F.concat(F.lit('{"page":{"items":[{"@type":"Product","productGroupID":"'), k, F.lit('","name":"g"},'), item("S"), F.lit(","), item("M"), F.lit("]}}"))
-    pages = _spread_parts(spark, sf_dir, True).select(F.concat(F.lit("https://shop.example/g/"), k, F.lit(".html")).alias("url"), F.concat(F.lit('<script type="application/json">'), data, F.lit("</script>")).alias("html"))
+    pages = _composed(_spread_parts(spark, sf_dir, True), F.concat(F.lit("https://shop.example/g/"), k, F.lit(".html")), F.concat(F.lit('<script type="application/json">'), data, F.lit("</script>")))
     return E.generic_products(pages, "house").select("url", "model", "color", F.array_join("sizes", ",").alias("sizes"), "msrp")
 
 
@@ -527,7 +533,7 @@ def store_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = lambda name, rest: f'<div class="card-body x"><div class="col store-name"><a href="#">{name}</a></div>{rest}</div>'
     stores = 'class="results__stores"' + card("A", '<div class="store-availability-message">あり<div></div>') + card("B", '<i class="dot low"></i>') + card("A", "") + 'class="results__dealers"' + card("C", "")
     html = F.concat(F.lit('<h1 class="product-name">x</h1><button data-attr-value="'), color, F.lit('" data-caption="Shade"></button><span itemprop="price" content="'), F.format_number(F.floor("p_retailprice"), 0), F.lit('"></span>' + stores))
-    one = p.select(sku.alias("sku"), html.alias("html"))
+    one = bound(p.select(sku.alias("sku"), html.alias("html")), sku=F.col("sku"), html=F.col("html"))
     rows = one.select("sku", color_of_sku(F.col("sku")).alias("color"), H.color_name(F.col("html"), color_of_sku(F.col("sku"))).alias("color_name"), M.page_price(F.col("html")).alias("price"), H.stores(F.col("html")).alias("stores"))
     return K.wide(rows, 2)
 

@@ -10,6 +10,7 @@ from .functions import price as M
 from .functions import urls as U
 from .operators import extract as E
 from .operators import stores as K
+from .operators.bind import bound
 from .queries import _spread_parts
 from .registry import query, table
 from .sources import sinks as O
@@ -19,8 +20,12 @@ IMAGES = "https://" + H.IMAGE_HOST
 
 
 def _pages(spark: SparkSession, sf_dir: str, url: str, html: str, *more: str) -> DataFrame:
-    """(url, html) of each part, given as SQL over part; the parts are dealt over all tasks first."""
-    return _spread_parts(spark, sf_dir, True).selectExpr("p_partkey AS k", f"{url} AS url", f"{html} AS html", *more)
+    """(url, html) of each part, given as SQL over part; the parts are dealt over all tasks first.
+
+    A page is bound, or it would be composed anew wherever it is read.
+    """
+    parts = _spread_parts(spark, sf_dir, True)
+    return bound(parts.selectExpr("p_partkey AS k", f"{url} AS url", f"{html} AS html", *more), url=F.col("url"), html=F.col("html"))
 
 
 # --- rows of a product page: JSON-LD, a bare page, prices of their own -------------

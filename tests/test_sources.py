@@ -99,6 +99,11 @@ def test_pages_of_a_small_part_file_are_dealt_over_all_tasks(spark):
         assert queries.queries()[name](spark, SF).rdd.getNumPartitions() == 4, name
 
 
+def test_a_composed_page_is_not_composed_anew_for_each_reading(spark):
+    rows, _ = E.variant_rows(queries.layer_pages(spark, SF), "house", "https://images.example/is/image/")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("<html><h1> ") == 1
+
+
 def test_own_prices_and_repeated_variants(spark):
     own = '{"linkedProduct":{"a":{"sku":"K1","price":{"displayRegularPrice":"¥ 100","displayPrice":"90"}},"b":{"sku":"K1","price":{"displayRegularPrice":"¥ 200","displayPrice":"200"}},"c":{"price":"7"}}}'
     v = '{"productInfo":{"sku":"K1","color":"red","size":"S"},"attributes":{"stockStatus":"in-stock"}}'
