@@ -56,13 +56,11 @@ class Profile:
 
 
 def _earliest(supply: DataFrame, profile: Profile) -> DataFrame:
-    """The first supply row, by position, of each (model, colour, size)."""
-    keyed = supply.select(
-        F.upper(profile.supply_model(F.col("model").cast("string"))).alias("_model"),
-        profile.supply_color(F.col("color")).alias("_color"),
-        profile.supply_size(F.col("size")).alias("_size"),
-        F.struct("pos", "msrp", "discounted_price", "quantity").alias("supply"),
-    )
+    """The first supply row, by position, of each (model, colour, size); rows that are written alike are read once."""
+    written = [F.col(c).cast("string").alias(c) for c in ("model", "color", "size")]
+    rows = supply.select(*written, F.struct("pos", "msrp", "discounted_price", "quantity").alias("supply"))
+    alike = rows.groupBy("model", "color", "size").agg(F.min_by("supply", "supply.pos").alias("supply"))
+    keyed = bound(alike, _model=F.upper(profile.supply_model(F.col("model"))), _color=profile.supply_color(F.col("color")), _size=profile.supply_size(F.col("size")))
     return keyed.where("_model is not null and _size is not null").groupBy("_model", "_color", "_size").agg(F.min_by("supply", "supply.pos").alias("supply"))
 
 
@@ -71,18 +69,21 @@ def _text(listing: DataFrame) -> Column:
     return F.struct(*[c for c in READ if c in listing.columns])
 
 
-def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None) -> DataFrame:
+def _asked(listing: DataFrame, profile: Profile, sheet: DataFrame | None, **carried: Column) -> DataFrame:
     """(_text, _model) of each distinct text and its wants, or for a profile of single wants its colour and size.
 
-    Listings repeat their texts, and reading one is the costly step, so each is read once.
+    Listings repeat their texts, and reading one is the costly step, so each is read
+    once; the model is bound, or a filter on it would read that of every listing.
+    `carried` are aggregates over the listings of a text.
     """
-    texts = listing.select(*[c for c in READ if c in listing.columns]).distinct()
-    rows = profile.wants(texts.withColumn("_text", _text(texts)), sheet)
-    model = F.upper(profile.listing_model(F.col("article"))).alias("_model")
+    read = [c for c in READ if c in listing.columns]
+    texts = listing.groupBy(*read).agg(*[c.alias(n) for n, c in carried.items()]) if carried else listing.select(*read).distinct()
+    rows = profile.wants(texts.withColumn("_text", _text(listing)), sheet)
+    model = F.upper(profile.listing_model(F.col("article")))
     if profile.single:
-        rows = bound(rows, _want=F.get("_wants", F.lit(0)))
-        return rows.select("_text", model, F.col("_want.color").alias("_color"), F.col("_want.size").alias("_size"))
-    return rows.select("_text", model, "_wants")
+        rows = bound(rows, _model=model, _want=F.get("_wants", F.lit(0)))
+        return rows.select(*carried, "_text", "_model", F.col("_want.color").alias("_color"), F.col("_want.size").alias("_size"))
+    return bound(rows, _model=model).select(*carried, "_text", "_model", "_wants")
 
 
 def _size_keys(size: Column, slack: float) -> Column:
@@ -102,7 +103,7 @@ def _size_keys(size: Column, slack: float) -> Column:
 
 
 def _own(asks: DataFrame) -> list[str]:
-    return [c for c in asks.columns if c not in ("_model", "_color", "_want", "_size")]
+    return [c for c in asks.columns if c not in ("_model", "_color", "_want", "_wants", "_size")]
 
 
 def _close_in_size(asks: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -126,21 +127,22 @@ def _holding_colors(asks: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def _first_of_texts(asks: DataFrame, supply: DataFrame, profile: Profile) -> DataFrame:
-    """(_text, supply): the first fitting supply row of each text of `_asked` that has one."""
+    """_text, what `_asked` carries and supply: the first fitting supply row of each text of `_asked` that has one."""
+    own = _own(asks)
     asks, firsts = asks.where("_model is not null"), _earliest(supply, profile)
     if profile.single and not profile.tolerant:
-        return asks.join(firsts, ["_model", "_color", "_size"]).select("_text", "supply")
+        return asks.join(firsts, ["_model", "_color", "_size"]).select(*own, "supply")
     if profile.tolerant and profile.single:
         pairs = _close_in_size(asks, firsts)
     else:
-        asks = asks.select("_text", "_model", F.explode("_wants").alias("_w"))
-        asks = asks.select("_text", "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
+        asks = asks.select(*own, "_model", F.explode("_wants").alias("_w"))
+        asks = asks.select(*own, "_model", F.col("_w.size").alias("_size"), F.col("_w.color").alias("_want"))
         if profile.contains:
             pairs = _holding_colors(asks, firsts)
         else:
             asks = asks.withColumnRenamed("_want", "_color")
             pairs = _close_in_size(asks, firsts) if profile.tolerant else asks.join(firsts, ["_model", "_color", "_size"])
-    return pairs.groupBy("_text").agg(F.min_by("supply", "supply.pos").alias("supply"))
+    return pairs.groupBy(*own).agg(F.min_by("supply", "supply.pos").alias("supply"))
 
 
 def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None) -> DataFrame:
@@ -149,8 +151,10 @@ def first_match(listing: DataFrame, supply: DataFrame, profile: Profile, sheet:
     return listing.select("pos", "sku_id", _text(listing).alias("_text")).join(found, "_text").select("pos", "sku_id", "supply")
 
 
-def _models(df: DataFrame, model: Column) -> DataFrame:
-    return df.select(F.upper(model).alias("_model")).where("_model is not null").distinct().withColumn("_known", F.lit(True))
+def _models(df: DataFrame, name: str, model: Callable[[Column], Column]) -> DataFrame:
+    """The models of a column; each distinct value is read once, and not again where a filter asks for it."""
+    values = df.select(F.col(name).cast("string").alias(name)).distinct()
+    return bound(values, _model=F.upper(model(F.col(name)))).select("_model").where("_model is not null").distinct().withColumn("_known", F.lit(True))
 
 
 def _joined_status(*parts: Column) -> Column:
@@ -165,7 +169,7 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
     """
     made = ["status", "new_lead_time", "new_bid", "new_stock", "old_cost", "bid_price"]
     rows = listing.drop(*made)
-    known = _models(supply, profile.supply_model(F.col("model").cast("string")))
+    known = _models(supply, "model", profile.supply_model)
     if matches is None:
         asks = _asked(rows, profile, sheet)
         texts = asks.select("_text", "_model").join(_first_of_texts(asks, supply, profile), "_text", "left").join(known, "_model", "left").drop("_model")
@@ -202,11 +206,16 @@ def reconcile_listing(listing: DataFrame, supply: DataFrame, profile: Profile, s
 
 
 def reconcile_supply(listing: DataFrame, supply: DataFrame, profile: Profile, sheet: DataFrame | None = None, matches: DataFrame | None = None) -> DataFrame:
-    """`supply` with status, bid_price and the sku_id of the last listing that took it."""
+    """`supply` with status, bid_price and the sku_id of the last listing that took it.
+
+    Listings of one text take the same row, so the last of each text stands for them.
+    """
     rows = supply.drop("status", "bid_price", "sku_id")
-    matches = first_match(listing, supply, profile, sheet) if matches is None else matches
+    if matches is None:
+        last = _asked(listing, profile, sheet, sku_id=F.max_by("sku_id", "pos"), pos=F.max("pos"))
+        matches = _first_of_texts(last, supply, profile)
     taken = matches.groupBy(F.col("supply.pos").alias("pos")).agg(F.max_by("sku_id", "pos").alias("sku_id"), F.count("*").alias("_taken"))
-    known = _models(listing.select("article").distinct(), profile.listing_model(F.col("article")))
+    known = _models(listing, "article", profile.listing_model)
     rows = rows.withColumn("_model", F.upper(profile.supply_model(F.col("model").cast("string")))).join(known, "_model", "left").join(taken, "pos", "left")
     stocked = F.coalesce(F.col("quantity") > 0, F.lit(False))
     status = F.when(F.col("_taken").isNotNull(), S.MATCHED).when(~stocked, S.NOTHING).when(F.col("_known").isNotNull(), S.PUT_UP_SPEC).otherwise(S.PUT_UP)

@@ -167,3 +167,39 @@ def test_texts_that_listings_share_are_read_once(spark):
         rows = {r.pos: r.status for r in R.reconcile_listing(offers, stock, used).collect()}
         assert len(rows) == 400 and all(rows[i] == rows[i % 4] for i in rows)
     assert rows[2] == S.NO_MODEL
+
+
+def test_models_of_repeated_rows_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    stock = supply(spark, [item("7", "M", "RED"), item("7", "", ""), item("8", "M", "RED"), item("7", "M", "RED", 0)] * 50)
+    offers = listing(spark, [("7RED", "SIZE M"), ("7", None), (None, None), ("9", "SIZE M")] * 100)
+    for name in ("colour_in_word", "lettered_article", "plain_spec", "dotted_model"):
+        used = profile(name)
+        once = replace(used, listing_model=lambda c, p=used: p.listing_model(counted(c)), supply_model=lambda c, p=used: p.supply_model(counted(c)))
+        R.first_match(offers, stock, once).collect()
+        assert read.value <= 20, name  # four texts and three written supply rows, not 600
+        R._models(offers, "article", once.listing_model).collect()
+        assert read.value <= 30, name
+        read.value = 0
+
+
+def test_the_last_listing_of_a_supply_row_over_all_its_texts(spark):
+    stock = supply(spark, [item("7", "M", "RED"), item("7", "S", "RED", 0), item("8", "M", "RED"), item("9", "M", "BLK", 0)])
+    texts = [("7RED", "SIZE M"), ("7RED", "M"), ("07RED", "SIZE M 均码"), ("7RED", "SIZE S"), ("8BLK", "SIZE M"), (None, None)]
+    offers = listing(spark, [texts[(k * 7) % 6] for k in range(90)])
+    offers = offers.withColumn("sku_id", F.when(F.col("pos") != 87, F.col("sku_id"))).repartition(5)
+    for name in ("colour_in_word", "lettered_article", "plain_spec", "dotted_model", "size_list"):
+        used = profile(name)
+        want = R.reconcile_supply(offers, stock, used, matches=R.first_match(offers, stock, used)).orderBy("pos").collect()
+        plan = R.reconcile_supply(offers, stock, used)
+        assert plan.orderBy("pos").collect() == want
+        # listings are grouped by their texts, never joined with what the texts found
+        joins = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+        assert joins and not any("_text" in line for line in joins), name
+    assert [r.sku_id for r in R.reconcile_supply(offers, stock, profile("colour_in_word")).orderBy("pos").collect()][2:] == [None, None]
