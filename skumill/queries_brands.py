@@ -9,8 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import dedupe as W
 from .operators import reconcile as R
 from .plans.profiles import profile
 from .queries import _BID, _LINE_ORDER
@@ -18,8 +18,14 @@ from .registry import query, registered_sql, table
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pos, sku_id, k, size, word, d (the brand's digits) and prices of each line item."""
-    lines = W.first_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_LINE_ORDER), ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+    """pos, sku_id, k, size, word, d (the brand's digits) and prices of each line item.
+
+    The first row of a line item by `_LINE_ORDER` has its least part, and its price is in
+    the least tuple of the leading columns up to it; nulls come last, as in the SQL.
+    """
+    leading = _LINE_ORDER[: _LINE_ORDER.index("l_extendedprice") + 1]
+    least = F.min(F.struct(*[x for c in leading for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), least["l_extendedprice"].alias("l_extendedprice"))
     rows = lines.join(table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_brand", "p_name", "p_size"), "l_partkey")
     return rows.selectExpr(
         "l_orderkey * 100 + l_linenumber AS pos", "l_partkey AS k", "p_size AS size", "split_part(p_name, ' ', 1) AS word", "substr(p_brand, 7) AS d",

@@ -2,9 +2,11 @@
 
 from dataclasses import replace
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from skumill import queries_brands as B
 from skumill import schemas as S
 from skumill.operators import reconcile as R
 from skumill.plans.profiles import PROFILES, profile
@@ -203,3 +205,20 @@ def test_the_last_listing_of_a_supply_row_over_all_its_texts(spark):
         joins = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
         assert joins and not any("_text" in line for line in joins), name
     assert [r.sku_id for r in R.reconcile_supply(offers, stock, profile("colour_in_word")).orderBy("pos").collect()][2:] == [None, None]
+
+
+def test_repeated_line_items_count_by_their_first_row(spark, tmp_path):
+    part = "(VALUES (1, 'Brand#12', 'red x', 3, 9.5), (2, 'Brand#34', 'tan y', 4, 8.5)) t(p_partkey, p_brand, p_name, p_size, p_retailprice)"
+    rows = "(1, 1, 2, 1, 1, 5.5), (1, 1, 1, 9, 9, 7.5), (1, 1, 1, 9, 9, 7.25), (1, 1, NULL, 0, 0, 0.5), (1, 2, 2, NULL, 1, 1.5), (1, 2, 2, 5, 8, 3.5), (1, 2, 2, 5, 8, NULL), (2, 1, NULL, 1, 1, 1.5), (2, 2, 1, NULL, NULL, NULL)"
+    con = duckdb.connect()
+    con.sql(f"COPY (SELECT * REPLACE (CAST(p_retailprice AS DOUBLE) AS p_retailprice) FROM {part}) TO '{tmp_path}/part.parquet'")
+    con.sql(f"""COPY (SELECT * REPLACE (CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice), 0.1 AS l_discount, 0.2 AS l_tax, 'A' AS l_returnflag, 'F' AS l_linestatus, DATE '2024-01-01' AS l_shipdate
+      FROM (VALUES {rows}) t(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)) TO '{tmp_path}/lineitem.parquet'""")
+    for t in ("part", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    want = con.sql(f"WITH {B._BASE} SELECT pos, k, cost FROM offers ORDER BY pos").fetchall()
+    assert [tuple(r) for r in B.offers(spark, str(tmp_path)).select("pos", "k", "cost").orderBy("pos").collect()] == want
+    assert want == [(101, 1, 7.25), (102, 2, 3.5), (202, 1, None)]
+    # a match needs no price: neither a sort of whole rows nor the columns of the order
+    plan = B.brand_colour_in_word(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "min(struct" not in plan
